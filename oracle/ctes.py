@@ -280,6 +280,16 @@ CTES: dict[str, str] = {
         SELECT 'department', department, o * 0.5e0 + f * 0.25e0 + b * 0.25e0, o, NULL, b, f, 'derived_portfolio_dimension'
         FROM (SELECT department, (1 - readmission) * 100 AS o, greatest(0e0, least(100e0, 100 - wait / 90 * 100)) AS f,
             greatest(0e0, least(100e0, pressure / greatest(max(pressure) OVER (), 0.01e0) * 100)) AS b FROM dep_care)""",
+    "ward_census": """SELECT w AS series, d AS date, greatest(sum(coalesce(i.n, 0) - coalesce(o.n, 0))
+          OVER (PARTITION BY w ORDER BY d), 0) AS beds FROM days CROSS JOIN (SELECT DISTINCT ward_type AS w FROM model_features)
+        LEFT JOIN (SELECT ward_type, admit_date, count(*) AS n FROM model_features GROUP BY ALL) i
+          ON i.admit_date = d AND i.ward_type = w
+        LEFT JOIN (SELECT ward_type, discharge_date + 1 AS gone, count(*) AS n FROM model_features GROUP BY ALL) o
+          ON o.gone = d AND o.ward_type = w""",
+    "lagged": """SELECT * FROM (SELECT d, CAST(beds AS DOUBLE) AS beds, avg(beds) OVER (ORDER BY d ROWS BETWEEN 7 PRECEDING
+          AND 1 PRECEDING) AS week, row_number() OVER (ORDER BY d) AS k FROM census) WHERE k > 7""",
+    "baseline": """SELECT 'Hospital portfolio' AS series, d, beds, week, row_number() OVER (ORDER BY d) AS step FROM lagged
+        WHERE k > 7 + floor((SELECT count(*) FROM lagged) * 0.8e0)""",
     "urgent_daily": """SELECT admit_date, count(*) AS n FROM model_features WHERE admit_type = 'Emergency' GROUP BY 1""",
     "recent": """SELECT d, isodow(d) AS w, coalesce(n, 0) AS n FROM days LEFT JOIN urgent_daily ON admit_date = d
         ORDER BY d DESC LIMIT 56""",

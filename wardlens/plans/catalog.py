@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wardlens.functions.columns import stable_int
 from wardlens.functions.scale import new_path
+from wardlens.ml import explain, forecasting, metrics, models, splits
 from wardlens.operators import cleaning, contracts, features, marts, measures, reports, validation, views
 from wardlens.operators.analyses import ANALYSES
 from wardlens.plans.dataset import HospitalData, open_fixture
@@ -363,3 +364,114 @@ def _orphans(spark: SparkSession, sf: str) -> DataFrame:
     wh = open_fixture(spark, sf).warehouse
     damaged = wh.with_tables({"admissions": wh["admissions"].where("ward_type <> 'ICU'")})
     return contracts.orphan_counts(damaged)
+
+
+# --- splits, metrics and forecasting -----------------------------------------------------------------------------
+
+query("group_split")(lambda d: splits.split_audit(splits.with_group_side(d.features, "patient_id"), "patient_id"))
+query("chronological_split")(lambda d: splits.chronological_split(d.census, ["date", "series"])[0])
+query("sample_rows")(lambda d: splits.sample_rows(d.features.select("admission_id", "patient_id"), "admission_id", 500))
+
+
+@query("classification_metrics")
+def _classified(d: HospitalData) -> DataFrame:
+    # The risk score as a simple classifier of readmission.
+    scored = d.features.select(
+        F.col("readmitted_30d").alias("label"),
+        F.col("risk_score").alias("probability"),
+        (F.col("risk_score") >= 7).cast("double").alias("prediction"),
+    )
+    return metrics.classification_metrics(scored)
+
+
+query("occupancy_features")(lambda d: forecasting.occupancy_features(forecasting.census_by(d.features, "ward_type")))
+
+
+def _baseline(d: HospitalData) -> DataFrame:
+    return forecasting.moving_average_baseline(forecasting.occupancy_features(d.census))
+
+
+query("moving_average_baseline")(_baseline)
+query("regression_metrics")(lambda d: metrics.regression_metrics(_baseline(d)))
+
+
+def _baseline_forecast(d: HospitalData) -> DataFrame:
+    """The baseline read as a forecast of the test period."""
+    beds = F.col("prediction")
+    return _baseline(d).select(
+        "series", F.col("date").alias("forecast_date"), beds.alias("forecast_occupied_beds"),
+        F.least(beds / d.config.bed_capacity * 100, F.lit(100.0)).alias("forecast_occupancy_pct"),
+    )
+
+
+query("horizon_summary")(lambda d: forecasting.horizon_summary(_baseline_forecast(d)))
+query("forecast_horizon")(lambda d: reports.forecast_horizon(_baseline_forecast(d), 30))
+
+
+@query("forecast_summary_with_beds")
+def _with_beds(d: HospitalData) -> DataFrame:
+    # The bed baseline of the test period stands in for a trained forecast.
+    return marts.forecast_summary(d.features, _baseline_forecast(d), marts.emergency_forecast(d.features))
+
+
+query("occupancy_models")(lambda d: forecasting.compare_occupancy_models(forecasting.occupancy_features(d.census)))
+query("occupancy_forecast")(lambda d: d.occupancy_forecast)
+query("command_center_with_forecast")(lambda d: views.command_center(d.marts_with_forecast))
+
+
+@query("occupancy_forecast_by_department")
+def _department_beds(d: HospitalData) -> DataFrame:
+    daily = forecasting.census_by(d.features, "department")
+    model = forecasting.fit_occupancy(forecasting.occupancy_features(daily))
+    return forecasting.forecast_recursive(daily, model, horizon=30)
+
+
+# --- models -------------------------------------------------------------------------------------------------------
+
+query("train_readmission")(lambda d: d.trained("readmission").metrics)
+query("train_waiting")(lambda d: d.trained("waiting_simulation").metrics)
+query("train_revenue")(lambda d: d.trained("revenue_scenario").metrics)
+query("grid_search")(lambda d: models.grid_search(d.features, trees=(6, 10), depths=(4,), leaves=(1, 3)))
+query("ward_predictions")(lambda d: models.ward_predictions(d.trained("revenue_scenario").holdout))
+query("residuals")(lambda d: models.residuals(d.trained("waiting_simulation").holdout))
+query("readmission_scores")(lambda d: explain.score_readmission(d.readmission_logistic.model, d.features))
+query("waiting_scenario")(
+    lambda d: explain.scenario_scores(d.trained("waiting_simulation").model, d.features, "waiting_time_minutes")
+)
+query("revenue_scenario")(
+    lambda d: explain.scenario_scores(d.trained("revenue_scenario").model, d.features, "revenue_per_patient", 250)
+)
+query("readmission_drivers")(
+    lambda d: explain.linear_contributions(d.readmission_logistic.model, d.features, models.READMISSION_FEATURES)
+)
+query("readmission_importance")(
+    lambda d: explain.global_importance(d.readmission_logistic.model, d.features, models.READMISSION_FEATURES)
+)
+query("top_positive_driver")(
+    lambda d: explain.top_positive_driver(d.readmission_logistic.model, d.features, models.READMISSION_FEATURES)
+)
+query("department_forecast")(lambda d: reports.department_forecast(d.trained("revenue_scenario").holdout))
+
+
+@query("planned_revenue_monthly")
+def _planned(d: HospitalData) -> DataFrame:
+    scored = d.trained("revenue_scenario").model.transform(d.features).select("admit_date", "prediction")
+    return reports.planned_revenue_monthly(reports.planned_revenue_daily(scored))
+
+
+def _registry(d: HospitalData) -> DataFrame:
+    model_data = forecasting.occupancy_features(d.census)
+    scores = forecasting.compare_occupancy_models(model_data).where("model = 'linear_lags'").first().asDict()
+    signature = models.model_signature(forecasting.fit_occupancy(model_data))
+    lineages = [d.trained(t).lineage for t in ("readmission", "waiting_simulation", "revenue_scenario")]
+    return models.registry(d.spark, [*lineages, forecasting.occupancy_lineage(scores, d.census.count(), signature)])
+
+
+query("model_registry")(lambda d: _registry(d).withColumn("features", F.concat_ws(",", "features")))
+
+
+@query("check_model_lineage")
+def _lineage(d: HospitalData) -> DataFrame:
+    registry = _registry(d)
+    explained = registry.where("task IN ('readmission', 'revenue_scenario')").select("task", "model_hash")
+    return contracts.check_model_lineage(registry, explained)

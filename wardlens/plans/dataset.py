@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.config import CONFIG, OpsConfig
 from wardlens.functions.scale import bucket_count, materialize, materialize_bucketed, materialize_small
+from wardlens.ml import forecasting, models
 from wardlens.operators import cleaning, marts, warehouse
 from wardlens.operators.features import engineer_features
 from wardlens.operators.warehouse import Warehouse
@@ -27,6 +28,7 @@ class HospitalData:
         self.raw_billing = raw_billing
         self.config = config
         self.spark = raw_admissions.sparkSession
+        self._trained: dict[tuple, models.TrainedModel] = {}
 
     @cached_property
     def admissions_clean(self) -> DataFrame:
@@ -63,6 +65,36 @@ class HospitalData:
     def warehouse_with_marts(self) -> Warehouse:
         return self.warehouse.with_tables(self.marts)
 
+    @cached_property
+    def census(self) -> DataFrame:
+        """Daily census of the whole hospital: one row per calendar day."""
+        return materialize_small(forecasting.census_by(self.features), "census")
+
+    @cached_property
+    def occupancy_forecast(self) -> DataFrame:
+        model = forecasting.fit_occupancy(forecasting.occupancy_features(self.census))
+        forecast = forecasting.forecast_recursive(self.census, model, capacity=self.config.bed_capacity)
+        return materialize_small(forecast, "occupancy_forecast")
+
+    @cached_property
+    def marts_with_forecast(self) -> dict[str, DataFrame]:
+        """The marts with the additional beds taken from the trained bed forecast."""
+        return marts.build_marts(self.features, self.warehouse["billing"], self.occupancy_forecast, self.config)
+
+    def trained(self, task: str, sizes: models.ModelSizes = models.LIGHT) -> models.TrainedModel:
+        """Candidate comparison of one task, run once per data set and size."""
+        key = (task, sizes)
+        if key not in self._trained:
+            if task == "readmission":
+                self._trained[key] = models.train_readmission(self.features, sizes)
+            else:
+                self._trained[key] = models.train_regression(self.features, task, sizes)
+        return self._trained[key]
+
+    @cached_property
+    def readmission_logistic(self) -> models.TrainedModel:
+        return models.train_readmission(self.features, candidates=("logistic",))
+
 
 _open: dict[tuple[str, str], HospitalData] = {}
 
