@@ -158,8 +158,8 @@ SQL["link_billing_to_admissions"] = f"""SELECT b.billing_id, a.admission_id, a.p
   {day("coalesce(CAST(try_strptime(b.claim_billing_date, '%d/%m/%Y') AS DATE), a.discharge_date)", 'claim_billing_date')},
   'deterministic_surrogate_no_shared_source_key' AS linkage_method
   FROM (SELECT *, row_number() OVER (ORDER BY billing_id) - 1 AS pos FROM bill_text) b
-  JOIN (SELECT *, row_number() OVER (ORDER BY admission_id) - 1 AS slot, count(*) OVER () AS total FROM adm_raw) a
-    ON b.pos % a.total = a.slot"""
+  JOIN (SELECT *, row_number() OVER (ORDER BY admission_id) - 1 AS slot FROM adm_raw) a
+    ON b.pos % (SELECT count(*) FROM adm_raw) = a.slot"""
 SQL["link_billing_by_encounter"] = f"""SELECT * EXCLUDE (encounter_id) REPLACE ({day('claim_billing_date')}, {m('billed_amount')},
   {m('paid_amount')}, {m('claim_gap')}, {i('claim_approved')}) FROM bills"""
 

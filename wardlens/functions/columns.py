@@ -20,6 +20,11 @@ def pick(values: Sequence[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
 
 
+def position_in(values: Sequence[str], column: Column) -> Column:
+    """1-based position in a fixed list, null for other values."""
+    return F.nullif(F.array_position(F.array(*[F.lit(v) for v in values]), column), F.lit(0)).cast("int")
+
+
 def flag(condition: Column) -> Column:
     """0/1 with a null comparison counted as false."""
     return F.coalesce(condition, F.lit(False)).cast("int")
@@ -76,5 +81,5 @@ def month_start(day: Column) -> Column:
 
 
 def percent_text(column: Column) -> Column:
-    """Share as text with one decimal, e.g. ``11.8%``."""
-    return F.format_string("%.1f%%", column * 100)
+    """Share as text with one decimal, ties to even, e.g. ``11.8%``."""
+    return F.format_string("%.1f%%", half_even(column * 100, 1))

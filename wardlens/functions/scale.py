@@ -11,6 +11,7 @@ import math
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -119,7 +120,10 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str, column: str =
 
 
 def order_statistics(df: DataFrame, order: Sequence[str], ranks: Sequence[int], name: str) -> dict[int, Row]:
-    """Rows at the given 0-based positions of the sorted frame; only those rows reach the driver."""
+    """Rows at the given 0-based positions of the sorted frame; only those rows reach the driver.
+
+    ``order`` must be unique per row, so that equal leading values can still be split over chunks.
+    """
     chunked = with_order_chunks(df.select(*order), order, name)
     sizes = {r["chunk"]: r["count"] for r in chunked.groupBy("chunk").count().collect()}
     wanted: dict[tuple[int, int], int] = {}
@@ -150,32 +154,61 @@ def _interpolation(count: int, p: float) -> tuple[int, int, float]:
     return low, min(low + 1, count - 1), position - low
 
 
-def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+def _values_at(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float]:
+    """Values at 0-based positions of a sorted column, counted per value first so a hot value is one row."""
+    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("copies"))
+    sweep = running_totals(counted, [column], {"up_to": F.col("copies")}, "quantiles")
+    covers = [(F.col("up_to") > r) & (F.col("up_to") - F.col("copies") <= r) for r in ranks]
+    hit = F.lit(False)
+    for cover in covers:
+        hit = hit | cover
+    found = sweep.where(hit).select(column, "up_to", "copies").collect()
+    return {
+        r: float(row[column]) for r in ranks for row in found if row["up_to"] - row["copies"] <= r < row["up_to"]
+    }
+
+
+@dataclass(frozen=True)
+class ColumnCounts:
+    """Rows, values and roughly how many distinct values a column has."""
+
+    values: int
+    nulls: int
+    distinct: int
+
+
+def count_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnCounts]:
+    """One pass over the given columns."""
+    row = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(columns)],
+    ).first()
+    return {
+        c: ColumnCounts(row[f"n_{i}"], row["rows"] - row[f"n_{i}"], row[f"d_{i}"]) for i, c in enumerate(columns)
+    }
+
+
+def exact_quantiles(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], counts: Mapping[str, ColumnCounts] | None = None
+) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of numeric columns, nulls skipped.
 
     Columns whose distinct values fit one aggregation buffer share one ``percentile`` pass; the others
     go through a range partitioning and read only the rows at the requested ranks.
     """
-    columns = list(wanted)
-    probe = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(columns)],
-    ).first()
+    counts = counts or count_columns(df, list(wanted))
     result: dict[str, list[float | None]] = {}
     narrow = []
-    for i, c in enumerate(columns):
-        if probe[f"n_{i}"] == 0:
-            result[c] = [None] * len(wanted[c])
-        elif probe[f"d_{i}"] <= HISTOGRAM_LIMIT:
+    for c, probabilities in wanted.items():
+        if counts[c].values == 0:
+            result[c] = [None] * len(probabilities)
+        elif counts[c].distinct <= HISTOGRAM_LIMIT:
             narrow.append(c)
         else:
-            spans = [_interpolation(probe[f"n_{i}"], p) for p in wanted[c]]
-            ranks = sorted({r for low, high, _ in spans for r in (low, high)})
-            at = order_statistics(df.where(F.col(c).isNotNull()), [c], ranks, "quantiles")
-            result[c] = [
-                float(at[low][c]) + (float(at[high][c]) - float(at[low][c])) * share
-                for low, high, share in spans
-            ]
+            spans = [_interpolation(counts[c].values, p) for p in probabilities]
+            at = _values_at(df, c, sorted({r for low, high, _ in spans for r in (low, high)}))
+            result[c] = [at[low] + (at[high] - at[low]) * share for low, high, share in spans]
     if narrow:
         row = df.agg(
             *[

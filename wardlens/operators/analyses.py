@@ -439,23 +439,29 @@ def department_wait_gap(wh: Tables) -> DataFrame:
     return departments.crossJoin(hospital).select("department", "average_wait", gap).orderBy(F.desc("wait_gap"))
 
 
-def _with_patient(wh: Tables, attribute: str) -> DataFrame:
-    """Admissions as the streamed side, so a very frequent patient can be split."""
-    facts = _adm(wh).select("patient_id", "readmitted_30d", "los_days")
-    return facts.join(wh["patients"].select("patient_id", attribute), "patient_id")
+def _by_patient_attribute(wh: Tables, attribute: str) -> DataFrame:
+    """Sums per patient before the patient attributes are joined: a frequent patient is one row."""
+    per_patient = _adm(wh).groupBy("patient_id").agg(
+        _n("visits"), F.sum("readmitted_30d").alias("readmits"), F.count("readmitted_30d").alias("known"),
+        F.sum("los_days").alias("days"), F.count("los_days").alias("stays"),
+    )
+    joined = per_patient.join(wh["patients"].select("patient_id", attribute), "patient_id")
+    return joined.groupBy(attribute).agg(
+        F.sum("visits").alias("admissions"),
+        ratio(F.sum("days"), F.sum("stays")).alias("avg_los"),
+        ratio(F.sum("readmits"), F.sum("known")).alias("rate"),
+    )
 
 
 @analysis(55)
 def readmission_by_age_group(wh: Tables) -> DataFrame:
-    bands = _with_patient(wh, "age_group").groupBy("age_group")
-    return bands.agg(mean("readmitted_30d").alias("readmission_rate"), _n("admissions")).orderBy(F.desc("readmission_rate"))
+    bands = _by_patient_attribute(wh, "age_group")
+    return bands.select("age_group", F.col("rate").alias("readmission_rate"), "admissions").orderBy(F.desc("readmission_rate"))
 
 
 @analysis(56)
 def gender_utilization(wh: Tables) -> DataFrame:
-    return _with_patient(wh, "gender").groupBy("gender").agg(
-        _n("admissions"), mean("los_days").alias("avg_los"), mean("readmitted_30d").alias("readmit")
-    )
+    return _by_patient_attribute(wh, "gender").withColumnRenamed("rate", "readmit")
 
 
 @analysis(57)

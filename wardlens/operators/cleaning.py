@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import GOVERNED_LINK, SURROGATE_LINK
 from wardlens.functions.columns import flag
-from wardlens.functions.scale import exact_quantiles, with_row_index
+from wardlens.functions.scale import count_columns, exact_quantiles, materialize, with_row_index
 
 ADMISSION_NUMERICS = (
     "los_days", "num_procedures", "charlson_index", "hba1c", "creatinine", "haemoglobin", "systolic_bp",
@@ -53,9 +53,9 @@ def to_numbers(df: DataFrame, columns: Sequence[str], kind: str = "double") -> D
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact medians of the columns that have something to fill."""
-    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    needed = [c for c in columns if missing[c]]
-    return {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in needed}).items()} if needed else {}
+    counts = count_columns(df, columns)
+    needed = {c: [0.5] for c in columns if counts[c].nulls}
+    return {c: q[0] for c, q in exact_quantiles(df, needed, counts).items()}
 
 
 def impute(df: DataFrame, values: Mapping[str, float | None]) -> DataFrame:
@@ -73,13 +73,16 @@ def fill_unknown_trim(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("Unknown"))) for c in columns})
 
 
+def _fence(q1: float | None, q3: float | None, k: float) -> tuple[float, float] | None:
+    """Lower and upper fence, none for a column without spread."""
+    if q1 is None or q3 - q1 <= 0:
+        return None
+    return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+
+
 def fit_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict[str, tuple[float, float]]:
-    """Lower and upper fence per column; columns without spread have none."""
-    fences = {}
-    for c, (q1, q3) in exact_quantiles(df, {c: [0.25, 0.75] for c in columns}).items():
-        if q1 is not None and q3 - q1 > 0:
-            fences[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    return fences
+    quartiles = exact_quantiles(df, {c: [0.25, 0.75] for c in columns})
+    return {c: fence for c, (q1, q3) in quartiles.items() if (fence := _fence(q1, q3, k))}
 
 
 def apply_fences(df: DataFrame, fences: Mapping[str, tuple[float, float]]) -> DataFrame:
@@ -110,37 +113,54 @@ class CleaningRules:
     fences: Mapping[str, tuple[float, float]] = field(default_factory=dict)
 
 
-def _typed_admissions(raw: DataFrame) -> DataFrame:
+def typed_admissions(raw: DataFrame) -> DataFrame:
+    """First row per admission with readable dates and numbers."""
     first = drop_duplicate_keys(raw, "admission_id", [c for c in raw.columns if c != "admission_id"])
     return to_numbers(coerce_dates(first, ["admit_date", "discharge_date"]), ADMISSION_NUMERICS)
 
 
-def fit_admissions(raw: DataFrame) -> CleaningRules:
-    typed = _typed_admissions(raw).select(*ADMISSION_NUMERICS)
-    medians = fit_medians(typed, ADMISSION_NUMERICS)
-    return CleaningRules(medians, fit_fences(impute(typed, medians), ADMISSION_NUMERICS))
+def fit_admissions(typed: DataFrame) -> CleaningRules:
+    """Medians, and fences of the imputed values.
 
+    Columns without gaps get their quartiles in the same pass as the medians; only columns that had gaps
+    are read again after filling.
+    """
+    counts = count_columns(typed, ADMISSION_NUMERICS)
+    quartiles = exact_quantiles(typed, {c: [0.25, 0.5, 0.75] for c in ADMISSION_NUMERICS}, counts)
+    medians = {c: quartiles[c][1] for c in ADMISSION_NUMERICS if counts[c].nulls}
+    fences = {c: f for c in ADMISSION_NUMERICS if c not in medians and (f := _fence(quartiles[c][0], quartiles[c][2], 1.5))}
+    if medians:
+        fences.update(fit_fences(impute(typed.select(*medians), medians), list(medians)))
+    return CleaningRules(medians, fences)
 
-def clean_admissions(raw: DataFrame, rules: CleaningRules | None = None) -> DataFrame:
-    rules = rules or fit_admissions(raw)
-    filled = fill_unknown_trim(impute(_typed_admissions(raw), rules.medians), ADMISSION_LABELS)
+
+def apply_admission_rules(typed: DataFrame, rules: CleaningRules) -> DataFrame:
+    filled = fill_unknown_trim(impute(typed, rules.medians), ADMISSION_LABELS)
     return clip_lower(apply_fences(filled, rules.fences), ["los_days", "num_procedures", "charlson_index"])
 
 
-def _typed_billing(raw: DataFrame) -> DataFrame:
+def clean_admissions(raw: DataFrame) -> DataFrame:
+    """Deduplicate and type the extract once, as a written table; learn the rules from its narrow columns.
+
+    The result is a row-wise transformation of that table.
+    """
+    typed = materialize(typed_admissions(raw), "admissions_typed")
+    return apply_admission_rules(typed, fit_admissions(typed))
+
+
+def typed_billing(raw: DataFrame) -> DataFrame:
+    """First row per bill with readable dates and amounts; billing dates are day-first."""
     first = drop_duplicate_keys(raw, "billing_id", [c for c in raw.columns if c != "billing_id"])
     dated = coerce_dates(first, ["claim_billing_date"], dayfirst=True)
     return to_numbers(dated, ["billed_amount", "paid_amount"], "decimal(14,2)")
 
 
-def fit_billing(raw: DataFrame) -> CleaningRules:
-    amounts = ["billed_amount", "paid_amount"]
-    return CleaningRules(fit_medians(_typed_billing(raw).select(*amounts), amounts))
+def fit_billing(typed: DataFrame) -> CleaningRules:
+    return CleaningRules(fit_medians(typed, ["billed_amount", "paid_amount"]))
 
 
-def clean_billing(raw: DataFrame, rules: CleaningRules | None = None) -> DataFrame:
-    rules = rules or fit_billing(raw)
-    floored = clip_lower(impute(_typed_billing(raw), rules.medians), ["billed_amount", "paid_amount"])
+def apply_billing_rules(typed: DataFrame, rules: CleaningRules) -> DataFrame:
+    floored = clip_lower(impute(typed, rules.medians), ["billed_amount", "paid_amount"])
     labelled = fill_unknown_trim(floored, BILLING_LABELS)
     status = F.when(F.col("claim_status") == "Rejected", "Denied").otherwise(F.col("claim_status"))
     return labelled.withColumn("claim_status", status).withColumns(
@@ -151,6 +171,11 @@ def clean_billing(raw: DataFrame, rules: CleaningRules | None = None) -> DataFra
     )
 
 
+def clean_billing(raw: DataFrame) -> DataFrame:
+    typed = materialize(typed_billing(raw), "billing_typed")
+    return apply_billing_rules(typed, fit_billing(typed))
+
+
 def derive_claim_fields(df: DataFrame) -> DataFrame:
     """Ingest rule for new bills: the gap never goes below zero. Works on batch and streaming frames."""
     gap = F.col("billed_amount") - F.col("paid_amount")

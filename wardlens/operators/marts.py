@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -302,10 +304,15 @@ def recommendations(feat: DataFrame, bill: DataFrame, snapshot: DataFrame, confi
 
 
 def build_marts(
-    feat: DataFrame, bill: DataFrame, occupancy_forecast: DataFrame | None = None, config: OpsConfig = CONFIG
+    feat: DataFrame,
+    bill: DataFrame,
+    occupancy_forecast: DataFrame | None = None,
+    config: OpsConfig = CONFIG,
+    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> dict[str, DataFrame]:
-    snapshot = latest_snapshot(feat, config.bed_capacity)
-    scores = efficiency_scores(feat, bill, snapshot, config)
+    """The five marts. ``store`` may write each mart, so those built on another one read it back."""
+    snapshot = store(latest_snapshot(feat, config.bed_capacity), "snapshot")
+    scores = store(efficiency_scores(feat, bill, snapshot, config), "hospital_efficiency_scores")
     overall = scores.where(F.col("scope_type") == "hospital").select(
         F.col("efficiency_score").alias("hospital_efficiency_score")
     )
@@ -314,13 +321,14 @@ def build_marts(
         .withColumn("capacity_assumption", F.lit(config.bed_capacity))
         .withColumn("snapshot_provenance", F.lit("observed_latest_date_with_derived_and_simulated_metrics"))
     )
-    emergency = emergency_forecast(feat)
+    emergency = store(emergency_forecast(feat), "emergency_forecast")
+    outlook = forecast_summary(feat, occupancy_forecast, emergency, config.bed_capacity)
     return {
         "command_center_kpis": center,
         "hospital_efficiency_scores": scores,
         "emergency_forecast": emergency,
-        "operational_forecast_summary": forecast_summary(feat, occupancy_forecast, emergency, config.bed_capacity),
-        "operational_recommendations": recommendations(feat, bill, snapshot, config),
+        "operational_forecast_summary": store(outlook, "operational_forecast_summary"),
+        "operational_recommendations": store(recommendations(feat, bill, snapshot, config), "operational_recommendations"),
     }
 
 
@@ -397,7 +405,7 @@ def business_insights(feat: DataFrame, bill: DataFrame) -> DataFrame:
         _insight(
             _leader(wait, "ward_type", "v"), "Waiting scenario", "Simulated",
             "Demonstrates queue-model workflow only; replace with timestamp data.",
-            F.concat("label", F.lit(" has the highest simulated average wait at "), F.format_string("%.1f", value), F.lit(" minutes.")),
+            F.concat("label", F.lit(" has the highest simulated average wait at "), F.format_string("%.1f", half_even(value, 1)), F.lit(" minutes.")),
         ),
         _insight(
             top, "Risk", "Derived from observed clinical fields",

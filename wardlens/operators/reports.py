@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.config import CONFIG, DOCTOR_NAMES, WEEKDAYS
-from wardlens.functions.columns import clip, half_even, mean, ratio
+from wardlens.functions.columns import clip, half_even, mean, pick, ratio
 from wardlens.functions.scale import exact_quantiles
 from wardlens.operators import marts
 
@@ -316,7 +316,10 @@ def age_histogram(feat: DataFrame, bins: int = 18) -> DataFrame:
 
 def weekday_volume(feat: DataFrame) -> DataFrame:
     """Admissions from Monday to Sunday; a weekday without admissions has no value."""
-    days = feat.sparkSession.createDataFrame(list(enumerate(WEEKDAYS)), "day_number int, weekday string")
+    number = F.col("id").cast("int")
+    days = feat.sparkSession.range(0, len(WEEKDAYS), 1, 1).select(
+        number.alias("day_number"), pick(WEEKDAYS, number).alias("weekday")
+    )
     counts = feat.groupBy(F.weekday("admit_date").alias("day_number")).agg(F.count("*").alias("admissions"))
     return days.join(counts, "day_number", "left").orderBy("day_number")
 

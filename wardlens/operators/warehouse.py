@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardlens.config import DEPARTMENTS
+from wardlens.functions.columns import pick, position_in
 
 
 class Warehouse(Mapping):
@@ -43,20 +44,27 @@ def patients(feat: DataFrame) -> DataFrame:
 
 
 def departments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(DEPARTMENTS, start=1)), "department_id int, department string")
+    """The fixed departments, numbered from one. A range has an exact size, so joins broadcast it unasked."""
+    number = F.col("id").cast("int")
+    return spark.range(1, len(DEPARTMENTS) + 1, 1, 1).select(
+        number.alias("department_id"), pick(DEPARTMENTS, number - 1).alias("department")
+    )
+
 
+def _department_id() -> Column:
+    """The department number is the position in the fixed list: no join is needed to attach it."""
+    return position_in(DEPARTMENTS, F.col("department")).alias("department_id")
 
-def doctors(feat: DataFrame, departments: DataFrame) -> DataFrame:
+
+def doctors(feat: DataFrame) -> DataFrame:
     distinct = feat.select("doctor_id", "department", "doctor_experience").dropDuplicates(["doctor_id"])
-    return distinct.join(departments, "department", "left").select(
-        "doctor_id", "department", "doctor_experience", "department_id"
-    )
+    return distinct.select("doctor_id", "department", "doctor_experience", _department_id())
 
 
-def admissions(feat: DataFrame, departments: DataFrame) -> DataFrame:
+def admissions(feat: DataFrame) -> DataFrame:
     whole = lambda c: F.round(c).cast("int").alias(c)
-    return feat.join(F.broadcast(departments), "department", "left").select(
-        "admission_id", "patient_id", "doctor_id", "department_id", "hospital_id", "admit_date", "discharge_date",
+    return feat.select(
+        "admission_id", "patient_id", "doctor_id", _department_id(), "hospital_id", "admit_date", "discharge_date",
         whole("los_days"), "admit_type", "ward_type", "discharge_type", whole("readmitted_30d"),
         whole("readmitted_7d"), "waiting_time_minutes",
     )
@@ -88,15 +96,20 @@ def insurance(bill: DataFrame) -> DataFrame:
     )
 
 
+def with_insurance_id(bill: DataFrame, insurance: DataFrame) -> DataFrame:
+    """Bills with the number of their payer; bills that already carry it are left alone."""
+    return bill if "insurance_id" in bill.columns else bill.join(insurance, "insurance_provider", "left")
+
+
 def billing(bill: DataFrame, insurance: DataFrame) -> DataFrame:
-    return bill.join(insurance, "insurance_provider", "left").select(
+    return with_insurance_id(bill, insurance).select(
         "billing_id", "admission_id", "patient_id", "insurance_id", "payment_method", "claim_billing_date",
         "billed_amount", "paid_amount", "claim_gap",
     )
 
 
 def claims(bill: DataFrame, insurance: DataFrame) -> DataFrame:
-    return bill.join(insurance, "insurance_provider", "left").select(
+    return with_insurance_id(bill, insurance).select(
         F.concat(F.lit("CLINE-"), "billing_id").alias("claim_line_id"),
         F.coalesce("claim_id", F.concat(F.lit("NOCLAIM-"), "billing_id")).alias("claim_id"),
         "billing_id", "insurance_id", "claim_status", "claim_approved", "source_patient_id", "source_encounter_id",
@@ -118,14 +131,13 @@ def build_warehouse_tables(
 ) -> Warehouse:
     """All thirteen tables. ``dimensions`` may supply already written patients, doctors and insurance."""
     given = dict(dimensions or {})
-    dept = departments(feat.sparkSession)
     payers = given.get("insurance") or insurance(bill)
-    adm = admissions(feat, dept)
+    adm = admissions(feat)
     return Warehouse(
         {
             "patients": given.get("patients") or patients(feat),
-            "departments": dept,
-            "doctors": given.get("doctors") or doctors(feat, dept),
+            "departments": departments(feat.sparkSession),
+            "doctors": given.get("doctors") or doctors(feat),
             "admissions": adm,
             "diagnoses": diagnoses(feat),
             "procedures": procedures(feat),

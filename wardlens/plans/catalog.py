@@ -194,7 +194,7 @@ def _link(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-query("link_billing_by_encounter")(lambda d: d.billing_linked)
+query("link_billing_by_encounter")(lambda d: d.billing_linked.drop("insurance_id"))
 
 # --- features ------------------------------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.config import CONFIG, OpsConfig
-from wardlens.functions.scale import bucket_count, materialize, materialize_bucketed, materialize_small
+from wardlens.functions.scale import bucket_count, materialize_bucketed, materialize_small
 from wardlens.ml import forecasting, models
 from wardlens.operators import cleaning, marts, warehouse
 from wardlens.operators.features import engineer_features
@@ -32,13 +32,23 @@ class HospitalData:
 
     @cached_property
     def admissions_clean(self) -> DataFrame:
-        return materialize(cleaning.clean_admissions(self.raw_admissions), "admissions_typed")
+        return cleaning.clean_admissions(self.raw_admissions)
+
+    @cached_property
+    def billing_clean(self) -> DataFrame:
+        return cleaning.clean_billing(self.raw_billing)
+
+    @cached_property
+    def insurance(self) -> DataFrame:
+        return materialize_small(warehouse.insurance(self.billing_clean), "insurance")
 
     @cached_property
     def billing_linked(self) -> DataFrame:
-        clean = cleaning.clean_billing(self.raw_billing)
-        linked = cleaning.link_billing_by_encounter(clean, self.admissions_clean)
-        return materialize_bucketed(linked, "billing", "billing_id", bucket_count(self.spark, self.raw_billing.count()))
+        """Linked bills with their payer number, so billing and claims are projections of one table."""
+        linked = cleaning.link_billing_by_encounter(self.billing_clean, self.admissions_clean)
+        numbered = warehouse.with_insurance_id(linked, self.insurance)
+        buckets = bucket_count(self.spark, self.billing_clean.count())
+        return materialize_bucketed(numbered, "billing", "billing_id", buckets)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -48,18 +58,16 @@ class HospitalData:
 
     @cached_property
     def warehouse(self) -> Warehouse:
-        departments = warehouse.departments(self.spark)
         written: Mapping[str, DataFrame] = {
             "patients": materialize_small(warehouse.patients(self.features), "patients"),
-            "doctors": materialize_small(warehouse.doctors(self.features, departments), "doctors"),
-            "insurance": materialize_small(warehouse.insurance(self.billing_linked), "insurance"),
+            "doctors": materialize_small(warehouse.doctors(self.features), "doctors"),
+            "insurance": self.insurance,
         }
         return warehouse.build_warehouse_tables(self.features, self.billing_linked, written)
 
     @cached_property
     def marts(self) -> dict[str, DataFrame]:
-        built = marts.build_marts(self.features, self.warehouse["billing"], None, self.config)
-        return {name: materialize_small(df, name) for name, df in built.items()}
+        return marts.build_marts(self.features, self.warehouse["billing"], None, self.config, materialize_small)
 
     @cached_property
     def warehouse_with_marts(self) -> Warehouse:
