@@ -68,19 +68,17 @@ def bucket_count(spark: SparkSession, rows: int) -> int:
     return max(1, min(wanted, MAX_BUCKETS))
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Write ``df`` hash-bucketed and sorted by ``key`` so later joins and groupings on it do not shuffle."""
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, partitioned: bool = False) -> DataFrame:
+    """Write ``df`` hash-bucketed and sorted by ``key`` so later joins and groupings on it do not shuffle.
+
+    ``partitioned`` says that the rows already sit in ``buckets`` hash partitions of ``key``; each task then
+    writes exactly one bucket without another shuffle.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"wardlens_{name}_{uuid.uuid4().hex[:12]}"
-    (
-        df.repartition(buckets, key)
-        .write.format("parquet")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", path)
-        .saveAsTable(table)
-    )
+    placed = df if partitioned else df.repartition(buckets, key)
+    placed.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
     return spark.table(table)
 
 
@@ -221,6 +219,14 @@ def exact_quantiles(
     return result
 
 
+def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Columns of one-row aggregates next to each other. Each frame must have a single row."""
+    out = first
+    for other in others:
+        out = out.crossJoin(other)
+    return out
+
+
 def join_many_to_one_keep_all(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """``one LEFT JOIN many`` with the fan-out side streamed.
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from wardlens.config import CONFIG
 from wardlens.functions.columns import flag
 from wardlens.ml.metrics import regression_metrics
-from wardlens.operators.marts import calendar, day_span
 
 HOSPITAL = "Hospital portfolio"
 OCCUPANCY_FEATURES = ("dayofweek", "month", "is_weekend", "lag_1_beds", "lag_7_beds", "rolling_7_beds")
@@ -33,7 +32,10 @@ def census_by(feat: DataFrame, key: str | None = None) -> DataFrame:
         .agg((-F.count("*")).alias("change"))
     )
     changes = admits.unionByName(leaves).groupBy("series", "date").agg(F.sum("change").alias("change"))
-    days = calendar(day_span(feat)).crossJoin(admits.select("series").distinct())
+    first, last = (feat.agg(f("admit_date")).scalar() for f in (F.min, F.max))
+    days = admits.select("series").distinct().select(
+        "series", F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date")
+    )
     so_far = Window.partitionBy("series").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return (
         days.join(changes, ["series", "date"], "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.columns import ratio
-from wardlens.functions.scale import running_totals
+from wardlens.functions.scale import beside, running_totals
 
 
 def roc_auc(pred: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
@@ -47,7 +47,7 @@ def classification_metrics(
         F.coalesce(ratio(tp * 2, tp * 2 + fp + fn), zero).alias("f1"),
         "tn", "fp", "fn", "tp",
     )
-    return rates.crossJoin(roc_auc(pred, label, score))
+    return beside(rates, roc_auc(pred, label, score))
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

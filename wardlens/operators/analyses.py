@@ -433,10 +433,9 @@ def doctor_revenue_rank(wh: Tables) -> DataFrame:
 
 @analysis(54)
 def department_wait_gap(wh: Tables) -> DataFrame:
-    hospital = _adm(wh).agg(mean("waiting_time_minutes").alias("hospital_wait"))
+    hospital = _adm(wh).agg(mean("waiting_time_minutes")).scalar()
     departments = views.department_kpis(wh).select("department", "average_wait")
-    gap = (F.col("average_wait") - F.col("hospital_wait")).alias("wait_gap")
-    return departments.crossJoin(hospital).select("department", "average_wait", gap).orderBy(F.desc("wait_gap"))
+    return departments.withColumn("wait_gap", F.col("average_wait") - hospital).orderBy(F.desc("wait_gap"))
 
 
 def _by_patient_attribute(wh: Tables, attribute: str) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardlens.functions.scale import beside
 from wardlens.sources.schemas import CONTRACT_KEYS, FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
 
 Tables = Mapping[str, DataFrame]
@@ -152,7 +153,7 @@ def check_mart_shape(marts: Tables) -> DataFrame:
 def check_mart_consistency(wh: Tables, marts: Tables) -> DataFrame:
     """Dates, ranges and scores agree across the marts and with the admissions."""
     last = wh["admissions"].agg(F.max("admit_date").alias("last_day"))
-    center = marts["command_center_kpis"].crossJoin(last)
+    center = beside(marts["command_center_kpis"], last)
     scores = marts["hospital_efficiency_scores"]
     hospital = scores.where(F.col("scope_type") == "hospital").agg(
         F.count("*").alias("hospitals"), F.max("efficiency_score").alias("score")
@@ -160,10 +161,13 @@ def check_mart_consistency(wh: Tables, marts: Tables) -> DataFrame:
     in_range = lambda c: F.coalesce(F.col(c).between(0, 100), F.lit(False))
     ranges = in_range("occupancy_pct") & in_range("doctor_utilization_pct") & in_range("hospital_efficiency_score")
     one = F.lit(1)
-    dates = marts["emergency_forecast"].agg(
-        F.count("*").alias("rows"), F.countDistinct("forecast_date").alias("days"),
-        F.min("forecast_date").alias("first"), F.max("forecast_date").alias("final"),
-    ).crossJoin(last)
+    dates = beside(
+        marts["emergency_forecast"].agg(
+            F.count("*").alias("rows"), F.countDistinct("forecast_date").alias("days"),
+            F.min("forecast_date").alias("first"), F.max("forecast_date").alias("final"),
+        ),
+        last,
+    )
     accountable = reduce(
         Column.__or__, [F.col(c).isNull() for c in ("owner", "timeframe", "success_measure", "reliability")]
     )
@@ -176,7 +180,7 @@ def check_mart_consistency(wh: Tables, marts: Tables) -> DataFrame:
             _check(center, "consistency:as_of_date", F.col("as_of_date") != F.col("last_day"), one),
             _check(center, "consistency:center_ranges", ~ranges, one),
             _check(spread, "consistency:efficiency_range", F.col("bad") > 0, F.col("rows")),
-            _check(center.crossJoin(hospital), "consistency:hospital_score", ~F.coalesce(same, F.lit(False)), one),
+            _check(beside(center, hospital), "consistency:hospital_score", ~F.coalesce(same, F.lit(False)), one),
             _check(
                 dates, "consistency:forecast_dates",
                 (F.col("first") <= F.col("last_day")) | (F.col("days") != F.col("rows")), F.col("rows"),

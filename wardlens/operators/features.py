@@ -71,12 +71,14 @@ def with_derived_dimensions(adm: DataFrame) -> DataFrame:
     )
 
 
-def with_visit_history(chunked: DataFrame) -> DataFrame:
-    """Visit number and earlier readmissions per patient, from rows range-partitioned in visit order.
+def visit_history(adm: DataFrame) -> DataFrame:
+    """Visit number and earlier readmissions per admission.
 
-    A patient whose visits fill several chunks is counted chunk by chunk; only the carried totals of such
+    Only the four columns this needs are range-partitioned in visit order and frozen with their chunk. A
+    patient whose visits fill several chunks is counted chunk by chunk; only the carried totals of such
     patients (at most one patient per chunk boundary) are broadcast.
     """
+    chunked = with_order_chunks(adm.select(*VISIT_ORDER, "readmitted_30d"), VISIT_ORDER, "visits")
     per_chunk = chunked.groupBy("patient_id", "chunk").agg(
         F.count("*").alias("visits"), F.sum("readmitted_30d").alias("readmits")
     )
@@ -88,18 +90,16 @@ def with_visit_history(chunked: DataFrame) -> DataFrame:
         .select("patient_id", "chunk", "visits_before", "readmits_before")
     )
     visits = Window.partitionBy("patient_id", "chunk").orderBy("admit_date", "admission_id")
+    before = F.sum("readmitted_30d").over(visits.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        chunked.withColumn("previous_admissions", F.row_number().over(visits).cast("bigint") - 1)
-        .withColumn(
-            "readmission_history",
-            F.coalesce(
-                F.sum("readmitted_30d").over(visits.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-            ),
-        )
+        chunked.withColumn("visit", F.row_number().over(visits).cast("bigint") - 1)
+        .withColumn("readmits", F.coalesce(before, F.lit(0.0)))
         .join(F.broadcast(carried), ["patient_id", "chunk"], "left")
-        .withColumn("previous_admissions", F.col("previous_admissions") + F.coalesce("visits_before", F.lit(0)))
-        .withColumn("readmission_history", F.col("readmission_history") + F.coalesce("readmits_before", F.lit(0.0)))
-        .drop("chunk", "visits_before", "readmits_before")
+        .select(
+            "admission_id",
+            (F.col("visit") + F.coalesce("visits_before", F.lit(0))).alias("previous_admissions"),
+            (F.col("readmits") + F.coalesce("readmits_before", F.lit(0.0))).alias("readmission_history"),
+        )
     )
 
 
@@ -110,16 +110,26 @@ def department_daily(adm: DataFrame) -> DataFrame:
 
 
 def with_load(adm: DataFrame, daily: DataFrame) -> DataFrame:
-    peak = daily.agg(F.max("department_daily_admissions").alias("peak"))
-    sized = daily.crossJoin(peak).select(
-        "department",
-        "admit_date",
-        "department_daily_admissions",
-        ratio(F.col("department_daily_admissions"), F.col("peak")).alias("department_load"),
-    )
+    peak = daily.agg(F.max("department_daily_admissions")).scalar()
+    sized = daily.withColumn("department_load", ratio(F.col("department_daily_admissions"), peak))
     return adm.join(sized, ["department", "admit_date"], "left")
 
 
+def with_waiting_time(adm: DataFrame) -> DataFrame:
+    """Simulated wait, rounded half to even."""
+    extra = F.lit(WAIT_OTHER)
+    for kind, minutes in WAIT_BY_TYPE.items():
+        extra = F.when(F.col("admit_type") == kind, F.lit(minutes)).otherwise(extra)
+    minutes = (
+        F.lit(18)
+        + F.col("department_daily_admissions") * F.lit(1.7)
+        + extra
+        + F.col("is_weekend_admission") * 9
+        + F.col("charlson_index") * 2
+    )
+    return adm.withColumn("waiting_time_minutes", half_even(minutes))
+
+
 def with_clinical_scores(adm: DataFrame) -> DataFrame:
     abnormal = (
         flag(F.col("hba1c") > 7)
@@ -127,9 +137,6 @@ def with_clinical_scores(adm: DataFrame) -> DataFrame:
         + flag(F.col("haemoglobin") < 11)
         + flag(F.col("systolic_bp") > 140)
     )
-    extra = F.lit(WAIT_OTHER)
-    for kind, minutes in WAIT_BY_TYPE.items():
-        extra = F.when(F.col("admit_type") == kind, F.lit(minutes)).otherwise(extra)
     return (
         adm.withColumn("lab_abnormality_score", abnormal)
         .withColumn("disease_severity_score", F.col("charlson_index") * 2 + F.col("lab_abnormality_score"))
@@ -148,16 +155,6 @@ def with_clinical_scores(adm: DataFrame) -> DataFrame:
             + F.col("lab_abnormality_score") * 0.15
             + F.col("department_load") * 0.10,
         )
-        .withColumn(
-            "waiting_time_minutes",
-            half_even(
-                F.lit(18)
-                + F.col("department_daily_admissions") * F.lit(1.7)
-                + extra
-                + F.col("is_weekend_admission") * 9
-                + F.col("charlson_index") * 2
-            ),
-        )
     )
 
 
@@ -177,13 +174,20 @@ def billing_summary(bill: DataFrame) -> DataFrame:
     )
 
 
-def with_finance(adm: DataFrame, summary: DataFrame) -> DataFrame:
+def with_amounts(adm: DataFrame) -> DataFrame:
+    """Billed and paid per admission; an admission without bills gets the cost formula."""
     estimate = F.col("los_days") * 650 + 900 + F.col("num_procedures") * 1200 + F.col("charlson_index") * 300
-    billed = money(F.coalesce(F.col("billed_sum").cast("decimal(24,2)"), estimate.cast("decimal(24,2)")))
+    billed = F.coalesce(F.col("billed_sum").cast("decimal(24,2)"), estimate.cast("decimal(24,2)"))
+    share = F.lit("0.72").cast("decimal(2,2)")
+    return adm.withColumn("billed_amount", money(billed)).withColumn(
+        "paid_amount", money(F.coalesce(F.col("paid_sum"), F.col("billed_amount") * share))
+    )
+
+
+def with_finance(adm: DataFrame) -> DataFrame:
+    """Financial features of admissions that already carry their bill summary."""
     return (
-        adm.join(summary, "admission_id", "left")
-        .withColumn("billed_amount", billed)
-        .withColumn("paid_amount", money(F.coalesce(F.col("paid_sum"), F.col("billed_amount") * F.lit("0.72").cast("decimal(2,2)"))))
+        with_amounts(adm)
         .withColumn("claim_approval_ratio", F.coalesce("approval_mean", F.lit(0.72)))
         .withColumn("claim_count", F.coalesce("bills", F.lit(0)))
         .withColumn("revenue_per_patient", F.col("paid_amount"))
@@ -200,26 +204,27 @@ def with_finance(adm: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
-def billing_cut_rows(df: DataFrame) -> list[tuple]:
+BILLING_ORDER = ("billed_amount", *VISIT_ORDER)
+
+
+def billing_cut_rows(priced: DataFrame, rows: int) -> list[tuple]:
     """The last row of each of the first three billed-amount quartiles.
 
     With ranks 1..n the quartile edges are 1 + (n-1)·k/4 and bins are closed on the right, so bin k ends
     at the 1-based rank floor(edge). Ties keep the visit order, as a first-come rank does.
     """
-    order = ["billed_amount", *VISIT_ORDER]
-    n = df.count()
-    ranks = {k: (n - 1) * k // 4 for k in (1, 2, 3)}
-    rows = order_statistics(df, order, sorted(set(ranks.values())), "billing_ranks")
-    return [tuple(rows[ranks[k]][c] for c in order) for k in (1, 2, 3)]
+    ranks = {k: (rows - 1) * k // 4 for k in (1, 2, 3)}
+    found = order_statistics(priced, BILLING_ORDER, sorted(set(ranks.values())), "billing_ranks")
+    return [tuple(found[ranks[k]][c] for c in BILLING_ORDER) for k in (1, 2, 3)]
 
 
-def with_billing_category(df: DataFrame) -> DataFrame:
-    order = ["billed_amount", *VISIT_ORDER]
+def with_billing_category(df: DataFrame, cuts: list[tuple]) -> DataFrame:
+    """Quartile label by comparing each row with the three cut rows."""
     types = dict(df.dtypes)
-    position = F.struct(*order)
+    position = F.struct(*BILLING_ORDER)
     label = F.lit(BILLING_LABELS[3])
-    for name, cut in reversed(list(zip(BILLING_LABELS, billing_cut_rows(df)))):
-        edge = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, cut)])
+    for name, cut in reversed(list(zip(BILLING_LABELS, cuts))):
+        edge = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(BILLING_ORDER, cut)])
         label = F.when(position <= edge, F.lit(name)).otherwise(label)
     return df.withColumn("billing_category", label)
 
@@ -237,14 +242,29 @@ def with_origins(df: DataFrame) -> DataFrame:
     )
 
 
-def engineer_features(adm: DataFrame, bill: DataFrame) -> DataFrame:
-    staged = with_order_chunks(adm, VISIT_ORDER, "admissions_clean")
-    shaped = with_derived_dimensions(staged)
-    daily = department_daily(shaped)
-    scored = with_clinical_scores(with_load(with_visit_history(shaped), daily))
-    waits = average_wait_by_department(scored)
-    priced = with_finance(scored.join(F.broadcast(waits), "department", "left"), billing_summary(bill))
-    return with_origins(with_billing_category(priced)).select(*FEATURE_COLUMNS)
+def engineer_features(adm: DataFrame, bill: DataFrame, partitions: int | None = None) -> DataFrame:
+    """All features, one row per admission.
+
+    The wide rows are moved once, by admission id: visit history and bill summary are narrow tables joined
+    on that key, department figures are small. With ``partitions`` all sides of those joins share one
+    partitioning, which a table bucketed into that many buckets can be written from directly.
+    """
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df if partitions is None else df.repartition(partitions, "admission_id")
+
+    shaped = with_derived_dimensions(adm)
+    timed = with_waiting_time(with_load(shaped, department_daily(shaped)))
+    waits = average_wait_by_department(timed)
+    summary = billing_summary(bill)
+    cuts = billing_cut_rows(with_amounts(adm.join(summary, "admission_id", "left")), adm.count())
+    joined = (
+        spread(timed.join(F.broadcast(waits), "department", "left"))
+        .join(spread(visit_history(adm)), "admission_id")
+        .join(spread(summary), "admission_id", "left")
+    )
+    priced = with_finance(with_clinical_scores(joined))
+    return with_origins(with_billing_category(priced, cuts)).select(*FEATURE_COLUMNS)
 
 
 # Features a model row may not miss: the union of the model inputs.

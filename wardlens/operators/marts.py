@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import CONFIG, OpsConfig
 from wardlens.functions.columns import clip, half_even, mean, percent_text, ratio
-from wardlens.functions.scale import exact_quantiles
+from wardlens.functions.scale import beside, exact_quantiles
 
 FORECAST_DAYS = 7
 BASELINE_DAYS = 56
@@ -74,8 +74,7 @@ def latest_snapshot(feat: DataFrame, capacity: int = CONFIG.bed_capacity) -> Dat
         F.max_by("occupied_beds", "date").alias("occupied_beds"), F.max_by("occupancy_pct", "date").alias("occupancy_pct")
     )
     return (
-        today.crossJoin(census)
-        .crossJoin(reference)
+        beside(today, census, reference)
         .select(
             "as_of_date",
             "patients_today",
@@ -111,7 +110,7 @@ def hospital_rates(feat: DataFrame, bill: DataFrame) -> DataFrame:
             F.greatest(F.coalesce(F.sum("billed_amount"), F.lit(0)).cast("decimal(28,2)"), F.lit(1).cast("decimal(28,2)")),
         ).alias("collection")
     )
-    return care.crossJoin(cash)
+    return beside(care, cash)
 
 
 def efficiency_scores(
@@ -120,8 +119,7 @@ def efficiency_scores(
     """Weighted score of the hospital and of every department."""
     span = config.readmission_ceiling - config.readmission_target
     hospital = (
-        hospital_rates(feat, bill)
-        .crossJoin(snapshot.select("occupancy_pct"))
+        beside(hospital_rates(feat, bill), snapshot.select("occupancy_pct"))
         .select(
             F.lit("hospital").alias("scope_type"),
             F.lit("Hospital portfolio").alias("scope_name"),
@@ -183,15 +181,14 @@ def emergency_forecast(feat: DataFrame) -> DataFrame:
         F.weekday("date").alias("weekday"), F.coalesce("patients", F.lit(0)).alias("patients")
     )
     by_weekday = recent.groupBy("weekday").agg(mean("patients").alias("weekday_mean"))
-    overall = recent.agg(mean("patients").alias("overall_mean"))
+    overall = recent.agg(mean("patients")).scalar()
     return (
         next_days(span, FORECAST_DAYS)
         .withColumn("weekday", F.weekday("forecast_date"))
         .join(by_weekday, "weekday", "left")
-        .crossJoin(overall)
         .select(
             "forecast_date",
-            F.coalesce("weekday_mean", "overall_mean").alias("forecast_emergency_patients"),
+            F.coalesce("weekday_mean", overall).alias("forecast_emergency_patients"),
             F.lit("eight_week_weekday_seasonal_baseline").alias("method"),
             F.lit("forecast_from_observed_daily_emergency_admissions").alias("provenance"),
         )
@@ -217,12 +214,12 @@ def forecast_summary(
         F.min(F.struct((-F.col("forecast_emergency_patients")).alias("v"), F.col("forecast_date").alias("d"))).alias("peak"),
     )
     beds_now = historical_occupancy(feat, capacity).agg(F.max_by("occupied_beds", "date").alias("beds_now"))
-    combined = outlook.crossJoin(last_week).crossJoin(beds_now)
+    combined = beside(outlook, last_week, beds_now)
     if occupancy_forecast is None:
         combined = combined.withColumn("bed_peak", F.lit(None).cast("bigint"))
     else:
         first_week = occupancy_forecast.orderBy("forecast_date").limit(7)
-        combined = combined.crossJoin(first_week.agg(F.ceil(F.max("forecast_occupied_beds")).alias("bed_peak")))
+        combined = beside(combined, first_week.agg(F.ceil(F.max("forecast_occupied_beds")).alias("bed_peak")))
     return combined.select(
         "forecast_start_date",
         "forecast_end_date",
@@ -264,7 +261,7 @@ QUEUE_RULE = (
 
 def recommendations(feat: DataFrame, bill: DataFrame, snapshot: DataFrame, config: OpsConfig = CONFIG) -> DataFrame:
     """Threshold rules over one row of rates; a rule that does not apply yields no row."""
-    rates = hospital_rates(feat, bill).crossJoin(snapshot.select("emergency_wait_minutes"))
+    rates = beside(hospital_rates(feat, bill), snapshot.select("emergency_wait_minutes"))
     rules = (
         (
             READMISSION_RULE,
@@ -317,7 +314,7 @@ def build_marts(
         F.col("efficiency_score").alias("hospital_efficiency_score")
     )
     center = (
-        snapshot.crossJoin(overall)
+        beside(snapshot, overall)
         .withColumn("capacity_assumption", F.lit(config.bed_capacity))
         .withColumn("snapshot_provenance", F.lit("observed_latest_date_with_derived_and_simulated_metrics"))
     )
@@ -349,7 +346,7 @@ def executive_kpi_rows(wh: dict[str, DataFrame]) -> DataFrame:
     cash = wh["billing"].agg(F.sum("paid_amount").alias("m"))
     approval = wh["claims"].agg(mean("claim_approved").alias("c"))
     return metric_rows(
-        care.crossJoin(people).crossJoin(cash).crossJoin(approval),
+        beside(care, people, cash, approval),
         {
             "a": "Admissions",
             "p": "Patients",

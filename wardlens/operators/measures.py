@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions.columns import flag, mean, ratio
+from wardlens.functions.scale import beside
 from wardlens.operators.marts import calendar, day_span
 from wardlens.operators.reports import monthly_finance
 from wardlens.operators.views import Tables
@@ -42,7 +43,7 @@ def measures(wh: Tables, by: Sequence[str] = ()) -> DataFrame:
             F.sum("approved").alias("approved"), F.sum("rated").alias("rated"),
         )
     )
-    doctors = wh["doctors"].agg(F.countDistinct("doctor_id").alias("doctors"))
+    doctors = wh["doctors"].agg(F.countDistinct("doctor_id")).scalar()
     weekend = flag(F.weekday("admit_date") >= 5)
     grouped = (
         _sliced_admissions(wh, by)
@@ -62,11 +63,9 @@ def measures(wh: Tables, by: Sequence[str] = ()) -> DataFrame:
         )
     )
     return (
-        grouped.crossJoin(doctors)
-        .withColumn("revenue_per_patient", ratio(F.col("paid_revenue"), F.col("patients")))
-        .withColumn("admissions_per_doctor", ratio(F.col("admissions"), F.col("doctors")))
+        grouped.withColumn("revenue_per_patient", ratio(F.col("paid_revenue"), F.col("patients")))
+        .withColumn("admissions_per_doctor", ratio(F.col("admissions"), doctors))
         .withColumn("weekend_admission_rate", ratio(F.col("weekend_admissions"), F.col("admissions")))
-        .drop("doctors")
     )
 
 
@@ -99,7 +98,7 @@ def command_center_measures(wh: Tables) -> DataFrame:
         F.col("emergency_patients").alias("next_week_emergency_patients"), share("emergency_growth_pct"),
         F.col("additional_beds").alias("additional_beds_required"), F.col("peak_day").alias("peak_forecast_day"),
     )
-    return center.crossJoin(outlook)
+    return beside(center, outlook)
 
 
 def department_efficiency_score(wh: Tables) -> DataFrame:

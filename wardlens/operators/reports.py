@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import CONFIG, DOCTOR_NAMES, WEEKDAYS
 from wardlens.functions.columns import clip, half_even, mean, pick, ratio
-from wardlens.functions.scale import exact_quantiles
+from wardlens.functions.scale import beside, exact_quantiles
 from wardlens.operators import marts
 
 Tables = Mapping[str, DataFrame]
@@ -126,7 +126,7 @@ def finance_totals(bill: DataFrame, claims: DataFrame) -> DataFrame:
     money = bill.agg(
         F.sum("billed_amount").alias("billed"), F.sum("paid_amount").alias("paid"), F.sum("claim_gap").alias("gap")
     )
-    return money.crossJoin(claims.agg(mean("claim_approved").alias("approval_rate"))).withColumn(
+    return beside(money, claims.agg(mean("claim_approved").alias("approval_rate"))).withColumn(
         "collection_rate", ratio(F.col("paid"), F.col("billed"))
     )
 
@@ -301,12 +301,13 @@ def patient_flow_funnel(feat: DataFrame) -> DataFrame:
 def age_histogram(feat: DataFrame, bins: int = 18) -> DataFrame:
     """Equal-width bins between the youngest and the oldest age, last bin closed, counted per gender."""
     by_age = feat.groupBy("age", "gender").agg(F.count("*").alias("n"))
-    span = by_age.agg(F.min("age").alias("lo"), F.max("age").alias("hi"))
+    everything = Window.partitionBy()  # one row per age and gender
     position = F.floor(F.try_divide((F.col("age") - F.col("lo")) * bins, F.col("hi") - F.col("lo")))
     bin_no = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return (
-        by_age.crossJoin(span)
+        by_age.withColumn("lo", F.min("age").over(everything))
+        .withColumn("hi", F.max("age").over(everything))
         .withColumn("bin", bin_no)
         .groupBy("bin", "gender", (F.col("lo") + F.col("bin") * width).alias("age_from"))
         .agg(F.sum("n").alias("patients"))
@@ -364,7 +365,7 @@ def bed_status(history: DataFrame, capacity: int = CONFIG.bed_capacity) -> DataF
     """Mean beds of the last week, free beds, occupancy and the trailing 30-day mean percentage."""
     week = history.orderBy(F.desc("date")).limit(7).agg(half_even(F.avg("occupied_beds")).cast("bigint").alias("current_beds"))
     month = history.orderBy(F.desc("date")).limit(30).agg(F.avg("occupancy_pct").alias("mean_pct_30d"))
-    return week.crossJoin(month).select(
+    return beside(week, month).select(
         "current_beds",
         F.greatest(F.lit(capacity) - F.col("current_beds"), F.lit(0)).alias("available_beds"),
         F.least(F.col("current_beds") / F.lit(float(capacity)), F.lit(1.0)).alias("occupancy_rate"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import VALID_CLAIM_STATUSES
 from wardlens.functions.columns import flag
-from wardlens.functions.scale import exact_quantiles
+from wardlens.functions.scale import beside, exact_quantiles
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -38,7 +38,7 @@ def profile_dataset(df: DataFrame, keys: Sequence[str], name: str = "dataset") -
         F.lit(len(df.columns)).alias("columns"),
         _missing(df).alias("missing_cells"),
     )
-    return size.crossJoin(_repeats(df, df.columns, "duplicate_rows")).crossJoin(_repeats(df, keys, "duplicate_keys"))
+    return beside(size, _repeats(df, df.columns, "duplicate_rows"), _repeats(df, keys, "duplicate_keys"))
 
 
 def validate_raw(adm: DataFrame, bill: DataFrame) -> DataFrame:
@@ -90,19 +90,22 @@ def quality_comparison(pairs: Mapping[str, tuple[DataFrame, DataFrame, str]]) ->
         before = raw.agg(F.count("*").alias("raw_rows"), _missing(raw).alias("raw_missing"))
         after = clean.agg(F.count("*").alias("clean_rows"), _missing(clean).alias("clean_missing"))
         left = _repeats(clean, [key], "duplicate_keys_after")
-        rows.append(before.crossJoin(after).crossJoin(left).withColumn("dataset", F.lit(name)))
+        rows.append(beside(before, after, left).withColumn("dataset", F.lit(name)))
     return _union(rows)
 
 
 def table_quality(wh: Mapping[str, DataFrame]) -> DataFrame:
     return _union(
         [
-            df.agg(
-                F.lit(name).alias("table_name"),
-                F.count("*").alias("rows"),
-                F.lit(len(df.columns)).alias("columns"),
-                _missing(df).alias("missing_cells"),
-            ).crossJoin(_repeats(df, df.columns, "duplicate_rows"))
+            beside(
+                df.agg(
+                    F.lit(name).alias("table_name"),
+                    F.count("*").alias("rows"),
+                    F.lit(len(df.columns)).alias("columns"),
+                    _missing(df).alias("missing_cells"),
+                ),
+                _repeats(df, df.columns, "duplicate_rows"),
+            )
             for name, df in wh.items()
         ]
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import CONFIG
 from wardlens.functions.columns import month_start, ratio
-from wardlens.functions.scale import join_many_to_one_keep_all
+from wardlens.functions.scale import beside, join_many_to_one_keep_all
 
 Tables = Mapping[str, DataFrame]
 
@@ -77,7 +77,7 @@ def command_center(wh: Tables) -> DataFrame:
         F.col("emergency_patients").alias("next_week_emergency_patients"),
         "emergency_growth_pct", "additional_beds", "peak_day", "peak_day_volume", "peak_hour_status",
     )
-    return wh["command_center_kpis"].drop("snapshot_provenance").crossJoin(outlook)
+    return beside(wh["command_center_kpis"].drop("snapshot_provenance"), outlook)
 
 
 def efficiency_ranking(wh: Tables) -> DataFrame:

@@ -52,9 +52,9 @@ class HospitalData:
 
     @cached_property
     def features(self) -> DataFrame:
-        feat = engineer_features(self.admissions_clean, self.billing_linked)
-        rows = self.admissions_clean.count()
-        return materialize_bucketed(feat, "features", "admission_id", bucket_count(self.spark, rows))
+        buckets = bucket_count(self.spark, self.admissions_clean.count())
+        feat = engineer_features(self.admissions_clean, self.billing_linked, buckets)
+        return materialize_bucketed(feat, "features", "admission_id", buckets, partitioned=True)
 
     @cached_property
     def warehouse(self) -> Warehouse:

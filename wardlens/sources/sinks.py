@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.functions.columns import mean
+from wardlens.functions.scale import beside
 from wardlens.operators.marts import metric_rows
 from wardlens.sources.schemas import LOAD_ORDER
 
@@ -87,12 +88,13 @@ def query_evidence(wh: Mapping[str, DataFrame]) -> DataFrame:
     care = wh["admissions"].agg(
         F.count("*").alias("a"), mean("readmitted_30d").alias("r"), mean("los_days").alias("l")
     )
-    one = (
-        care.crossJoin(wh["patients"].agg(F.count("*").alias("p")))
-        .crossJoin(wh["billing"].agg(F.sum("paid_amount").alias("m")))
-        .crossJoin(wh["claims"].agg(mean("claim_approved").alias("c")))
-        .crossJoin(wh["command_center_kpis"].agg(F.first("hospital_efficiency_score").alias("s")))
-        .crossJoin(wh["operational_forecast_summary"].agg(F.first("emergency_patients").alias("e")))
+    one = beside(
+        care,
+        wh["patients"].agg(F.count("*").alias("p")),
+        wh["billing"].agg(F.sum("paid_amount").alias("m")),
+        wh["claims"].agg(mean("claim_approved").alias("c")),
+        wh["command_center_kpis"].agg(F.first("hospital_efficiency_score").alias("s")),
+        wh["operational_forecast_summary"].agg(F.first("emergency_patients").alias("e")),
     )
     names = {
         "a": "Admissions",
