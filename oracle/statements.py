@@ -51,6 +51,10 @@ UNION ALL SELECT 'Claim approval ratio', round(avg(claim_approved), 6) FROM clai
 UNION ALL SELECT 'Hospital efficiency score', round(efficiency_score, 6) FROM scores WHERE scope_type = 'hospital'
 UNION ALL SELECT 'Next-week emergency patients', round_even(next_week, 0) FROM plan"""
 
+SQL["stored_admissions_by_year"] = f"""SELECT year(admit_date) AS admit_year, {n('admissions')}, {i('sum(los_days)', 'days')}
+  FROM admissions GROUP BY 1"""
+SQL["read_table"] = f"SELECT patient_id, {i('age')}, gender, age_group FROM patients"
+
 # --- validation and cleaning ---
 ADM_COLS = ("admission_id", "patient_id", "hospital_id", "admit_date", "discharge_date", "los_days", "admit_type",
             "ward_type", "discharge_type", "num_procedures", "charlson_index", "hba1c", "creatinine", "haemoglobin",
@@ -155,11 +159,11 @@ SQL["derive_claim_fields"] = f"""SELECT billing_id, {m('paid', 'paid_amount')},
         FROM bill_raw)"""
 SQL["link_billing_to_admissions"] = f"""SELECT b.billing_id, a.admission_id, a.patient_id, b.patient_id AS source_patient_id,
   b.encounter_id AS source_encounter_id,
-  {day("coalesce(CAST(try_strptime(b.claim_billing_date, '%d/%m/%Y') AS DATE), a.discharge_date)", 'claim_billing_date')},
+  {day("coalesce(b.claim_billing_date, a.discharge_date)", 'claim_billing_date')},
   'deterministic_surrogate_no_shared_source_key' AS linkage_method
-  FROM (SELECT *, row_number() OVER (ORDER BY billing_id) - 1 AS pos FROM bill_text) b
-  JOIN (SELECT *, row_number() OVER (ORDER BY admission_id) - 1 AS slot FROM adm_raw) a
-    ON b.pos % (SELECT count(*) FROM adm_raw) = a.slot"""
+  FROM (SELECT *, row_number() OVER (ORDER BY billing_id) - 1 AS pos FROM bill_text_clean) b
+  JOIN (SELECT *, row_number() OVER (ORDER BY admission_id) - 1 AS slot FROM adm_text_clean) a
+    ON b.pos % (SELECT count(*) FROM adm_text_clean) = a.slot"""
 SQL["link_billing_by_encounter"] = f"""SELECT * EXCLUDE (encounter_id) REPLACE ({day('claim_billing_date')}, {m('billed_amount')},
   {m('paid_amount')}, {m('claim_gap')}, {i('claim_approved')}) FROM bills"""
 
@@ -688,6 +692,11 @@ SQL["forecast_summary_with_beds"] = SQL["operational_forecast_summary"].replace(
     "CAST(0 AS BIGINT) AS additional_beds",
     i("greatest((SELECT ceil(max(week)) FROM baseline WHERE step <= 7) - (SELECT beds FROM census ORDER BY d DESC LIMIT 1), 0)",
       "additional_beds"))
+SCALED = ("los_days", "num_procedures", "charlson_index", "hba1c", "creatinine", "haemoglobin", "systolic_bp",
+          "previous_admissions", "readmission_history", "disease_severity_score", "lab_abnormality_score",
+          "patient_complexity_index")
+SQL["standardized_features"] = f"""SELECT admission_id, {', '.join(r(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()', c)
+  for c in SCALED)} FROM model_features"""
 SQL["check_model_lineage"] = """SELECT 'model:' || t AS "check", 'passed' AS status, CASE WHEN t = 'occupancy' THEN (SELECT count(*) FROM days)
   ELSE (SELECT count(*) FROM model_features) END AS rows
   FROM (SELECT unnest(['readmission', 'waiting_simulation', 'revenue_scenario', 'occupancy']) AS t)

@@ -71,5 +71,21 @@ def test_outer_join_from_the_many_side(spark):
     assert found == {(1, "a", 10), (1, "a", 11), (2, "b", 20), (3, "c", None)}
 
 
+def test_intermediates_live_under_the_application(spark):
+    stored = scale.materialize(spark.range(3), "kept")
+    assert f"/wardlens/{spark.sparkContext.applicationId}/kept-" in stored.inputFiles()[0]
+
+
+def test_intermediates_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scale, "shared_dir", lambda session: str(tmp_path))
+    monkeypatch.setattr(scale, "_bucketed_tables", {})
+    scale.materialize(spark.range(3), "gone")
+    scale.materialize_bucketed(spark.range(30), "gone_too", "id", 4)
+    assert len(list(tmp_path.rglob("*.parquet"))) >= 5
+    table = scale._bucketed_tables[spark.sparkContext.applicationId][0]
+    assert scale.remove_intermediates(spark) and not list(tmp_path.rglob("*.parquet"))
+    assert not spark.catalog.tableExists(table)
+
+
 def test_shared_folder_setting_is_used(spark):
     assert scale.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -22,6 +22,7 @@ ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 20_000
 
 _local_dirs: dict[str, str] = {}
+_bucketed_tables: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,6 +45,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wardlens/{app}/{name}-{uuid.uuid4().hex[:8]}"
 
 
+def remove_intermediates(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application; every frame read from them becomes unusable."""
+    for table in _bucketed_tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/wardlens/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss, gives Catalyst its size.
 
@@ -79,6 +89,7 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, parti
     table = f"wardlens_{name}_{uuid.uuid4().hex[:12]}"
     placed = df if partitioned else df.repartition(buckets, key)
     placed.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    _bucketed_tables.setdefault(spark.sparkContext.applicationId, []).append(table)
     return spark.table(table)
 
 

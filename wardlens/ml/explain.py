@@ -55,7 +55,7 @@ def scenario_scores(model, feat: DataFrame, target: str, volume: int = 1) -> Dat
     value = F.greatest(F.col("prediction"), F.lit(0.0))
     return (
         scored.select("admission_id", "department", value.alias("predicted"))
-        .join(baseline, "department", "left")
+        .join(F.broadcast(baseline), "department", "left")  # one row per fixed department
         .select(
             "admission_id", "department", "predicted",
             (F.col("predicted") * volume).alias("planned_total"),

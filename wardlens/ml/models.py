@@ -30,6 +30,7 @@ from wardlens.config import CONFIG
 from wardlens.ml.metrics import classification_metrics, regression_metrics
 from wardlens.ml.splits import _bucket, group_split
 
+# Model inputs per task.
 CATEGORICAL = ("admit_type", "ward_type", "season", "hospital_id")
 READMISSION_FEATURES = (
     "los_days", "num_procedures", "charlson_index", "hba1c", "creatinine", "haemoglobin", "systolic_bp",
@@ -104,6 +105,14 @@ def preprocessor(features: Sequence[str], rows: int) -> list:
     ]
 
 
+def standardized(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The numeric features as the models see them, one column each."""
+    numeric = split_features(features)[0]
+    fitted = Pipeline(stages=preprocessor(features, df.count())).fit(df)
+    slots = vector_to_array("features")
+    return fitted.transform(df).select("admission_id", *[slots[k].alias(c) for k, c in enumerate(numeric)])
+
+
 def feature_names(model: PipelineModel, features: Sequence[str]) -> list[str]:
     """Names of the vector slots: ``numeric__x`` and ``categorical__column_value``."""
     numeric, categorical = split_features(features)

@@ -381,7 +381,7 @@ def readmission_gaps(wh: Tables) -> DataFrame:
     gaps = visits.where("previous_admissions > 0").join(earlier, ["patient_id", "previous_admissions"])
     return gaps.select(
         "patient_id", "admit_date", "prev_discharge", F.datediff("admit_date", "prev_discharge").alias("gap_days")
-    ).orderBy("gap_days")
+    ).orderBy("gap_days", "patient_id", "admit_date")
 
 
 @analysis(47)

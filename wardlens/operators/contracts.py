@@ -13,7 +13,7 @@ from wardlens.sources.schemas import CONTRACT_KEYS, FOREIGN_KEYS, NOT_NULL, PRIM
 
 Tables = Mapping[str, DataFrame]
 
-# Columns and exact row counts (None: at least one row) of the marts.
+# Columns and exact row counts (None: at least one row) of the marts.
 MART_CONTRACTS = {
     "command_center_kpis": (
         {
@@ -42,6 +42,7 @@ MART_CONTRACTS = {
         None,
     ),
 }
+# Accepted lineage and provenance labels.
 TARGET_ORIGINS = ("observed", "simulated_formula", "mixed_surrogate_and_simulated", "observed_active_census")
 PORTFOLIO_TIERS = ("core_analytical", "sandbox")
 PROVENANCE_KINDS = ("Observed", "Derived", "Simulated", "Mixed", "Assumption")

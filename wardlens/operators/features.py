@@ -267,7 +267,7 @@ def engineer_features(adm: DataFrame, bill: DataFrame, partitions: int | None =
     return with_origins(with_billing_category(priced, cuts)).select(*FEATURE_COLUMNS)
 
 
-# Features a model row may not miss: the union of the model inputs.
+# Features a model row may not miss, the union of the model inputs.
 REQUIRED_FEATURES = (
     "admit_type", "charlson_index", "creatinine", "department_load", "disease_severity_score", "haemoglobin",
     "hba1c", "is_weekend_admission", "lab_abnormality_score", "los_days", "medicine_count", "num_procedures",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import CONFIG, DOCTOR_NAMES, WEEKDAYS
 from wardlens.functions.columns import clip, half_even, mean, pick, ratio
-from wardlens.functions.scale import beside, exact_quantiles
+from wardlens.functions.scale import beside, exact_quantiles, materialize_small
 from wardlens.operators import marts
 
 Tables = Mapping[str, DataFrame]
@@ -265,7 +265,8 @@ def latest_encounter(feat: DataFrame) -> DataFrame:
     """
     visit = F.struct("previous_admissions", *LATEST_COLUMNS)
     latest = feat.groupBy("patient_id").agg(F.max(visit).alias("v")).select("patient_id", "v.*").drop("previous_admissions")
-    wards = feat.groupBy("ward_type").agg(mean("los_days").alias("ward_average_los"))
+    # Written, so that its real size decides whether it is broadcast to the patients.
+    wards = materialize_small(feat.groupBy("ward_type").agg(mean("los_days").alias("ward_average_los")), "ward_means")
     return latest.join(wards, "ward_type", "left")
 
 

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.functions.columns import stable_int
-from wardlens.functions.scale import new_path
+from wardlens.functions.scale import materialize, new_path
 from wardlens.ml import explain, forecasting, metrics, models, splits
 from wardlens.operators import cleaning, contracts, features, marts, measures, reports, validation, views
 from wardlens.operators.analyses import ANALYSES
 from wardlens.plans.dataset import HospitalData, open_fixture
-from wardlens.sources import fixtures, sinks
+from wardlens.sources import fixtures, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,6 +73,23 @@ def _load(d: HospitalData) -> DataFrame:
     )
 
 
+@query("stored_admissions_by_year")
+def _stored(d: HospitalData) -> DataFrame:
+    """Admissions written by year and read back."""
+    folder = new_path(d.spark, "stored")
+    sinks.write_warehouse({"admissions": d.warehouse["admissions"]}, folder)
+    stored = sinks.read_warehouse(d.spark, folder, ["admissions"])["admissions"]
+    return stored.groupBy("admit_year").agg(F.count("*").alias("admissions"), F.sum("los_days").alias("days"))
+
+
+@query("read_table")
+def _read_table(d: HospitalData) -> DataFrame:
+    """Patients written as compressed CSV and found again by table name."""
+    folder = new_path(d.spark, "csv")
+    d.warehouse["patients"].write.option("header", True).option("compression", "gzip").csv(f"{folder}/patients.csv.gz")
+    return readers.read_table(d.spark, folder, "patients")
+
+
 # --- validation and cleaning, on the dirty extracts -----------------------------------------------------
 
 @raw_query("profile_raw")
@@ -135,7 +152,8 @@ def _numbers(spark: SparkSession, sf: str) -> DataFrame:
         fixtures.dirty_admissions(spark, sf).select("admission_id", *cleaning.ADMISSION_NUMERICS),
         "admission_id", cleaning.ADMISSION_NUMERICS,
     )
-    return cleaning.to_numbers(adm, cleaning.ADMISSION_NUMERICS)
+    # Written once: learning medians and fences reads the narrow table, not the extract.
+    return materialize(cleaning.to_numbers(adm, cleaning.ADMISSION_NUMERICS), "numbers")
 
 
 raw_query("impute_median")(lambda s, sf: cleaning.impute_median(_numbers(s, sf), cleaning.ADMISSION_NUMERICS))
@@ -187,8 +205,9 @@ def _derive(spark: SparkSession, sf: str) -> DataFrame:
 @raw_query("link_billing_to_admissions")
 def _link(spark: SparkSession, sf: str) -> DataFrame:
     # The dirty bills have missing dates, so the fallback to the discharge date is exercised.
-    bill = cleaning.coerce_dates(fixtures.dirty_billing(spark, sf), ["claim_billing_date"], dayfirst=True)
-    return cleaning.link_billing_to_admissions(bill, fixtures.raw_admissions(spark, sf)).select(
+    bill = cleaning.clean_billing(fixtures.dirty_billing(spark, sf))
+    adm = cleaning.clean_admissions(fixtures.dirty_admissions(spark, sf))
+    return cleaning.link_billing_to_admissions(bill, adm).select(
         "billing_id", "admission_id", "patient_id", "source_patient_id", "source_encounter_id", "claim_billing_date",
         "linkage_method",
     )
@@ -431,6 +450,7 @@ def _department_beds(d: HospitalData) -> DataFrame:
 query("train_readmission")(lambda d: d.trained("readmission").metrics)
 query("train_waiting")(lambda d: d.trained("waiting_simulation").metrics)
 query("train_revenue")(lambda d: d.trained("revenue_scenario").metrics)
+query("standardized_features")(lambda d: models.standardized(d.features, models.READMISSION_FEATURES))
 query("grid_search")(lambda d: models.grid_search(d.features, trees=(6, 10), depths=(4,), leaves=(1, 3)))
 query("ward_predictions")(lambda d: models.ward_predictions(d.trained("revenue_scenario").holdout))
 query("residuals")(lambda d: models.residuals(d.trained("waiting_simulation").holdout))
