@@ -631,12 +631,32 @@ SQL["orphaned_bills"] = "WITH damaged AS (SELECT * FROM admissions WHERE ward_ty
 )
 SQL["check_admission_dates"] = """SELECT 'business_rule:admission_date_order' AS "check",
   CASE WHEN bool_and(discharge_date >= admit_date) THEN 'passed' ELSE 'failed' END AS status, count(*) AS rows FROM admissions"""
-DOMAIN = ("patients.age_range", "admissions.discharge_after_admit", "patients.required_columns", "departments.required_columns",
-          "doctors.required_columns", "admissions.required_columns", "procedures.required_columns", "insurance.required_columns",
-          "billing.required_columns", "claims.required_columns", "appointments.required_columns",
-          "departments.unique_department", "insurance.unique_insurance_provider")
+REQUIRED = {
+    "patients": "patient_id age gender age_group", "departments": "department_id department",
+    "doctors": "doctor_id department doctor_experience department_id",
+    "admissions": "admission_id patient_id doctor_id department_id hospital_id admit_date readmitted_30d readmitted_7d",
+    "procedures": "admission_id num_procedures", "insurance": "insurance_id insurance_provider",
+    "billing": "billing_id admission_id patient_id billed_amount paid_amount claim_gap",
+    "claims": "claim_line_id claim_id billing_id claim_status claim_approved",
+    "appointments": "appointment_id patient_id doctor_id department_id admit_date appointment_status",
+}
+
+
+def judged(name: str, table: str, broken: str) -> str:
+    return f"""SELECT '{name}' AS "check", CASE WHEN {broken} THEN 'failed' ELSE 'passed' END AS status, count(*) AS rows FROM {table}"""
+
+
 SQL["check_domain_rules"] = " UNION ALL ".join(
-    f"""SELECT 'domain:{d}' AS "check", 'passed' AS status, count(*) AS rows FROM {d.split('.')[0]}""" for d in DOMAIN
+    [
+        judged("domain:patients.age_range", "patients", "bool_or(age NOT BETWEEN 0 AND 120)"),
+        judged("domain:admissions.discharge_after_admit", "admissions", "bool_or(discharge_date < admit_date)"),
+        judged("domain:departments.unique_department", "departments", "count(*) > count(DISTINCT department)"),
+        judged("domain:insurance.unique_insurance_provider", "insurance", "count(*) > count(DISTINCT insurance_provider)"),
+    ]
+    + [
+        judged(f"domain:{t}.required_columns", t, " OR ".join(f"count({c}) < count(*)" for c in columns.split()))
+        for t, columns in REQUIRED.items()
+    ]
 )
 SQL["check_provenance"] = """SELECT 'report:feature_provenance' AS "check", 'passed' AS status, CAST(14 AS BIGINT) AS rows
 UNION ALL SELECT 'report:business_insights', 'passed', 5
@@ -646,13 +666,27 @@ UNION ALL SELECT 'operational_mart:hospital_efficiency_scores', 'passed', count(
 UNION ALL SELECT 'operational_mart:emergency_forecast', 'passed', count(*) FROM outlook
 UNION ALL SELECT 'operational_mart:operational_forecast_summary', 'passed', 1
 UNION ALL SELECT 'operational_mart:operational_recommendations', 'passed', count(*) FROM actions"""
-SQL["check_mart_consistency"] = """SELECT 'consistency:as_of_date' AS "check", 'passed' AS status, CAST(1 AS BIGINT) AS rows
-UNION ALL SELECT 'consistency:center_ranges', 'passed', 1
-UNION ALL SELECT 'consistency:efficiency_range', 'passed', count(*) FROM scores
-UNION ALL SELECT 'consistency:hospital_score', 'passed', 1
-UNION ALL SELECT 'consistency:forecast_dates', 'passed', count(*) FROM outlook
-UNION ALL SELECT 'consistency:peak_hour_status', 'passed', 1
-UNION ALL SELECT 'consistency:accountable_recommendations', 'passed', count(*) FROM actions"""
+SQL["check_mart_consistency"] = " UNION ALL ".join(
+    [
+        judged("consistency:as_of_date", "snapshot", "bool_or(as_of_date <> (SELECT max(admit_date) FROM admissions))"),
+        judged(
+            "consistency:center_ranges", "snapshot",
+            """NOT bool_and(occupancy_pct BETWEEN 0 AND 100 AND doctor_utilization_pct BETWEEN 0 AND 100)
+            OR (SELECT NOT bool_and(efficiency_score BETWEEN 0 AND 100) FROM scores WHERE scope_type = 'hospital')""",
+        ),
+        judged("consistency:efficiency_range", "scores", "NOT bool_and(efficiency_score BETWEEN 0 AND 100)"),
+        judged("consistency:hospital_score", "scores WHERE scope_type = 'hospital'", "count(*) <> 1"),
+        judged(
+            "consistency:forecast_dates", "outlook",
+            "min(forecast_date) <= (SELECT max(admit_date) FROM admissions) OR count(DISTINCT forecast_date) < count(*)",
+        ),
+        judged("consistency:peak_hour_status", "plan", "false"),
+        judged(
+            "consistency:accountable_recommendations", "actions",
+            " OR ".join(f"count({c}) < count(*)" for c in ("owner", "timeframe", "success_measure", "reliability")),
+        ),
+    ]
+)
 SQL["validate"] = " UNION ALL ".join(
     f"({SQL[k]})" for k in ("check_primary_keys", "check_foreign_keys", "check_admission_dates", "check_domain_rules",
                             "check_mart_shape", "check_mart_consistency")
