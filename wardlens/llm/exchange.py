@@ -36,20 +36,42 @@ def id_bucket_column(column: Column, total: int) -> Column:
 
 
 def packed(arrays: Sequence[np.ndarray]) -> bytes:
-    return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    """The columns of some entries, each in the narrowest width that holds its values.
+
+    Layout: number of entries (8 bytes), width of each column (1 byte each), the columns. An ascending column
+    is stored as its first value (8 bytes) and differences, marked by a width of 16 or more.
+    """
+    rows = len(arrays[0])
+    widths, parts = [], []
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        ascending = a.dtype.itemsize == 8 and a.dtype.kind == "i" and bool((a[1:] >= a[:-1]).all())
+        if ascending:
+            parts.append(a[:1].astype("i8").tobytes())
+            a = np.diff(a, prepend=a[:1]).view("u8")
+        if a.dtype.kind == "u" or (len(a) and a.min() >= 0):
+            a = a.astype(np.min_scalar_type(int(a.max(initial=0))))
+        widths.append(a.dtype.itemsize + 16 * ascending)
+        parts.append(a.tobytes())
+    return b"".join([rows.to_bytes(8, "little"), bytes(widths), *parts])
 
 
 def unpacked(blobs: Iterable[bytes], dtypes: Sequence[str]) -> list[np.ndarray]:
-    """The columns of all blobs, one after the other."""
-    kinds = [np.dtype(t) for t in dtypes]
-    width = sum(t.itemsize for t in kinds)
-    parts: list[list[np.ndarray]] = [[] for _ in kinds]
+    """The columns of all blobs, one after the other, in the given types."""
+    parts: list[list[np.ndarray]] = [[] for _ in dtypes]
     for blob in blobs:
-        rows, at = len(blob) // width, 0
-        for part, t in zip(parts, kinds):
-            part.append(np.frombuffer(blob, t, rows, at))
-            at += rows * t.itemsize
-    return [np.concatenate(p) if p else np.empty(0, t) for p, t in zip(parts, kinds)]
+        rows, at = int.from_bytes(blob[:8], "little"), 8 + len(dtypes)
+        for part, t, width in zip(parts, dtypes, blob[8:at]):
+            if width >= 16 and rows:
+                first = np.frombuffer(blob, "i8", 1, at)
+                at += 8
+            narrow = np.dtype(f"u{width % 16}") if width % 16 < 8 else np.dtype(t)
+            values = np.frombuffer(blob, "u8" if width >= 16 and width % 16 == 8 else narrow, rows, at)
+            at += rows * (width % 16)
+            if width >= 16 and rows:
+                values = np.cumsum(values.astype("i8")) + first
+            part.append(values.astype(t, copy=False))
+    return [np.concatenate(p) if p else np.empty(0, t) for p, t in zip(parts, dtypes)]
 
 
 def by_bucket(kind: int, target: np.ndarray, arrays: Sequence[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
@@ -86,7 +108,7 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def text_batches(batches: Iterable[pa.RecordBatch], max_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``max_bytes``, or a single longer row."""
     for batch in batches:
         rows = batch.num_rows
@@ -97,6 +119,32 @@ def text_batches(batches: Iterable[pa.RecordBatch], max_bytes: int = 32 << 20) -
             yield batch.slice(at, per)
 
 
-def frame_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Only the wanted columns, by exact name, so other columns cannot clash with internal ones."""
-    return df.select(*[F.col(f"`{c}`") for c in wanted])
+def packed_tables(kind: int, total: int, id_bucket_name: str = "bucket"):
+    """Rows of a table as compressed Arrow streams, one per (batch, bucket); ``tables_of`` reads them back."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in text_batches(batches):
+            target = batch.column(id_bucket_name).to_numpy()
+            order = np.argsort(target, kind="stable")
+            ordered = batch.drop_columns([id_bucket_name]).take(pa.array(order))
+            starts = np.flatnonzero(first_of_runs(target[order])).tolist()
+            rows = []
+            for a, b in zip(starts, [*starts[1:], len(order)]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, ordered.schema, options=options) as writer:
+                    writer.write_batch(ordered.slice(a, b - a))
+                rows.append((kind, int(target[order[a]]), sink.getvalue().to_pybytes()))
+            yield from packed_rows(rows).to_batches()
+
+    return run
+
+
+def tables_of(blobs: Iterable[bytes]) -> Iterator[pa.Table]:
+    for blob in blobs:
+        yield pa.ipc.open_stream(blob).read_all()
+
+
+def blobs_of(table: pa.Table, kind: int) -> list[bytes]:
+    """The data of the rows of one kind."""
+    return [d for k, d in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()) if k == kind]

@@ -11,8 +11,15 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
+BATCH_ROWS = 2000  # rows of whole texts that go to a Python worker at once
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Spark distribute a zip of the package to all executors, once per application."""
+    """Let Spark distribute a zip of the package to all executors, once per application.
+
+    Also bounds the rows per Arrow batch, as the default of 10,000 is meant for narrow rows, not whole texts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

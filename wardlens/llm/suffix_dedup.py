@@ -38,13 +38,16 @@ from wardlens.functions.scale import materialize
 from wardlens.llm.exchange import (
     PACKED,
     PACKED_DDL,
+    blobs_of,
     bucket_total,
     by_bucket,
     first_of_runs,
     id_bucket,
     id_bucket_column,
     packed_rows,
+    packed_tables,
     release,
+    tables_of,
     text_batches,
     unpacked,
 )
@@ -53,7 +56,8 @@ from wardlens.llm.shipping import ship_package
 
 MIN_LENGTH = 50
 BLOCK = 1 << 20  # windows hashed at once; bounds the memory that a very long text takes
-MATCH, PROBE = 0, 1
+MATCH, PROBE, DOCS = 0, 1, 2
+NAME_BITS = 48  # of anchor and stretch names on the way; compared together, so 96 bits name a stretch
 ENTRY = ("u8", "u8", "i8", "i8", "u4", "u4")  # anchor name, stretch name, id, text key, first window, windows
 RANGE = ENTRY[2:]
 WINDOW = ("u8", "i8", "i8", "u4")
@@ -122,20 +126,28 @@ def _rank_anchors(length: int, total: int):
                 continue
             columns = [np.concatenate(p).astype(t) for p, t in zip(parts, ENTRY)]
             known, home = _split_off_known(columns[1], columns[2], columns)
-            rows = list(by_bucket(1, (home[0] % U64(total)).astype(np.int64), home))
+            target = (home[0] % U64(total)).astype(np.int64)
+            rows = list(by_bucket(1, target, [*_short(home[0]), *_short(home[1]), *home[2:]]))
             rows += by_bucket(0, id_bucket(known[2], total), known[2:])
             yield from packed_rows(rows).to_batches()
 
     return run
 
 
+def _short(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The upper ``NAME_BITS`` bits of names, as two narrow columns."""
+    return (names >> U64(32)).astype("u4"), (names >> U64(16) & U64(0xFFFF)).astype("u2")
+
+
 def _judge_stretches(total: int):
     """Of one bucket: stretches with a smaller id are matched; first holders of one name among several are probed."""
 
     def run(table: pa.Table) -> pa.Table:
         if not table.num_rows or table.column("kind")[0].as_py() == 0:
             return _relabel(table, MATCH)
-        anchor, name, doc, key, first, count = unpacked(table.column("data").to_pylist(), ENTRY)
+        columns = unpacked(table.column("data").to_pylist(), ("u4", "u2", "u4", "u2", *RANGE))
+        anchor, name = (high.astype("u8") << U64(16) | low for high, low in (columns[:2], columns[2:4]))
+        doc, key, first, count = columns[4:]
         order = np.lexsort((doc, name, anchor))
         anchor, name, doc, key, first, count = (a[order] for a in (anchor, name, doc, key, first, count))
         new_anchor = first_of_runs(anchor)
@@ -160,16 +172,13 @@ def _relabel(table: pa.Table, kind: int) -> pa.Table:
 def _rank_windows(length: int, total: int):
     """Round 3, one bucket of documents with its probed stretches: names of the single windows."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not right.num_rows or not left.num_rows:
-            return packed_rows([])
-        doc, key, first, count = unpacked(right.column("data").to_pylist(), RANGE)
+    def run(table: pa.Table) -> pa.Table:
         parts: list[list[np.ndarray]] = [[] for _ in WINDOW]
-        wanted = _ranges_by_row(doc, key, first, count)
-        for i, k, text in _texts(left):
+        wanted = _ranges_by_row(*unpacked(blobs_of(table, PROBE), RANGE))
+        for i, k, text in (row for docs in tables_of(blobs_of(table, DOCS)) for row in _texts(docs)):
             if (i, k) not in wanted:
                 continue
-            at = _covered(*wanted[i, k])
+            at = _covered(*wanted.pop((i, k)))
             data = np.frombuffer(text, np.uint8)
             for start in range(0, len(data), BLOCK):
                 here = at[(at >= start) & (at < start + BLOCK)]
@@ -181,6 +190,8 @@ def _rank_windows(length: int, total: int):
         if not parts[0]:
             return packed_rows([])
         columns = [np.concatenate(p).astype(t) for p, t in zip(parts, WINDOW)]
+        order = np.argsort(columns[1], kind="stable")
+        columns = [c[order] for c in columns]
         known, home = _split_off_known(columns[0], columns[1], columns)
         rows = list(by_bucket(1, (home[0] % U64(total)).astype(np.int64), home))
         rows += by_bucket(0, id_bucket(known[1], total), [*known[1:], np.ones(len(known[0]), "u4")])
@@ -232,14 +243,12 @@ def removed_spans(first: np.ndarray, count: np.ndarray, length: int) -> tuple[np
     return first[new], stop[last]
 
 
-def _cut(length: int, names: Sequence[str], as_text: bool):
+def _cut(length: int, carried: Sequence[str], as_text: bool):
     """The documents of one bucket without their removed bytes."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        doc, key, first, count = unpacked(right.column("data").to_pylist() if right.num_rows else [], RANGE)
-        found = _ranges_by_row(doc, key, first, count)
-        texts, out = left.column("_text"), []
-        for n, row in enumerate(zip(left.column("_id").to_pylist(), left.column("_key").to_pylist())):
+    def cut(docs: pa.Table, found) -> pa.Table:
+        texts, out = docs.column("_text"), []
+        for n, row in enumerate(zip(docs.column("_id").to_pylist(), docs.column("_key").to_pylist())):
             text = texts[n].as_py() or b""
             kept, spans = text, ()
             if row in found:
@@ -251,12 +260,15 @@ def _cut(length: int, names: Sequence[str], as_text: bool):
             out.append((kept.decode("utf-8", "ignore") if as_text else kept, *facts))
         kinds = (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         columns = list(zip(*out)) if out else [()] * 5
-        carried = [left.column(f"_c{n}") for n in range(len(names))]
         return pa.Table.from_arrays(
-            [*carried, *[pa.array(c, type=t) for c, t in zip(columns, kinds)]],
-            names=[*[f"_c{n}" for n in range(len(names))], *OUTPUT],
+            [*[docs.column(c) for c in carried], *[pa.array(c, type=t) for c, t in zip(columns, kinds)]],
+            names=[*carried, *OUTPUT],
         )
 
+    def run(table: pa.Table) -> pa.Table:
+        found = _ranges_by_row(*unpacked(blobs_of(table, MATCH), RANGE))
+        return pa.concat_tables([cut(docs, found) for docs in tables_of(blobs_of(table, DOCS))])
+
     return run
 
 
@@ -292,8 +304,8 @@ def cut_repeats(
         ranked.groupBy("kind", "bucket").applyInArrow(_judge_stretches(total), PACKED_DDL), "stretches"
     )
     release(spark)
-    probes = judged.where(F.col("kind") == PROBE)
-    windows = rows.groupBy("bucket").cogroup(probes.groupBy("bucket")).applyInArrow(
+    texts = rows.mapInArrow(packed_tables(DOCS, total), PACKED_DDL)
+    windows = texts.unionByName(judged.where(F.col("kind") == PROBE)).groupBy("bucket").applyInArrow(
         _rank_windows(length, total), PACKED_DDL
     )
     singles = materialize(
@@ -301,14 +313,14 @@ def cut_repeats(
     )
     release(spark)
     matches = judged.where(F.col("kind") == MATCH).unionByName(singles)
+    carried = [f"_c{n}" for n in range(len(carry))]
     kinds = (T.StringType() if as_text else T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.StringType())
     schema = T.StructType(
-        [T.StructField(f"_c{n}", docs.schema[c].dataType) for n, c in enumerate(carry)]
+        [T.StructField(n, docs.schema[c].dataType) for n, c in zip(carried, carry)]
         + [T.StructField(n, t) for n, t in zip(OUTPUT, kinds)]
     )
-    cut = read.groupBy("bucket").cogroup(matches.groupBy("bucket")).applyInArrow(
-        _cut(length, carry, as_text), schema
-    )
+    whole = read.mapInArrow(packed_tables(DOCS, total), PACKED_DDL).unionByName(matches)
+    cut = whole.groupBy("bucket").applyInArrow(_cut(length, carried, as_text), schema)
     return cut.select(*[F.col(f"_c{n}").alias(c) for n, c in enumerate(carry)], *OUTPUT)
 
 
