@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import suffix_dedup
+from wardlens.llm import language_id, mixing, ngram_join, packing, suffix_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +16,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "source", "copy", "text", "shuffle_key")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
+    "op3_packing": op3_packing,
+    "op4_ngram_join": op4_ngram_join,
+    "op8_source_mix": op8_source_mix,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_language_id": op10_language_id,
 }

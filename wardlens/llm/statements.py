@@ -2,4 +2,8 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from wardlens.llm import mixing
+
+SQL: dict[str, str] = {
+    "op8_source_mix": mixing.statement(),
+}
