@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from wardlens.llm import language_id, mixing, ngram_join, packing, suffix_dedup, token_counts
+from pyspark.sql import functions as F
+
+from wardlens.llm import (
+    arc_to_warc,
+    exact_topk,
+    importance_resampling,
+    language_id,
+    mixing,
+    ngram_join,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +32,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -28,6 +44,18 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_to_warc.pages_through_archives(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "source", "copy", "text", "shuffle_key")
@@ -43,8 +71,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_importance_resampling": op2_importance_resampling,
     "op3_packing": op3_packing,
     "op4_ngram_join": op4_ngram_join,
+    "op5_arc_to_warc": op5_arc_to_warc,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_exact_topk": op7_exact_topk,
     "op8_source_mix": op8_source_mix,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from wardlens.llm import mixing
+from wardlens.llm import exact_topk, mixing
 
 SQL: dict[str, str] = {
+    "op7_exact_topk": exact_topk.statement(),
     "op8_source_mix": mixing.statement(),
 }
