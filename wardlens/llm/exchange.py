@@ -119,15 +119,15 @@ def text_batches(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) ->
             yield batch.slice(at, per)
 
 
-def packed_tables(kind: int, total: int, id_bucket_name: str = "bucket"):
+def packed_tables(kind: int, bucket_name: str = "bucket"):
     """Rows of a table as compressed Arrow streams, one per (batch, bucket); ``tables_of`` reads them back."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in text_batches(batches):
-            target = batch.column(id_bucket_name).to_numpy()
+            target = batch.column(bucket_name).to_numpy()
             order = np.argsort(target, kind="stable")
-            ordered = batch.drop_columns([id_bucket_name]).take(pa.array(order))
+            ordered = batch.drop_columns([bucket_name]).take(pa.array(order))
             starts = np.flatnonzero(first_of_runs(target[order])).tolist()
             rows = []
             for a, b in zip(starts, [*starts[1:], len(order)]):

@@ -33,11 +33,14 @@ from wardlens.functions.scale import materialize
 from wardlens.llm.components import component_roots
 from wardlens.llm.exchange import (
     PACKED_DDL,
+    blobs_of,
     bucket_total,
     by_bucket,
     first_of_runs,
     packed_rows,
+    packed_tables,
     release,
+    tables_of,
     text_batches,
     unpacked,
 )
@@ -134,15 +137,19 @@ def _describe(words: int, percent: int, totals: np.ndarray):
 
 
 def _route(total: int):
-    """(shingle, representative) entries, packed by shingle bucket."""
+    """(shingle, row) entries, packed by shingle bucket; of equal sets in a batch only the first row's."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
-            routes = [np.frombuffer(r, U64) for r in batch.column("route").to_pylist()]
+            firsts: dict[tuple[int, int], tuple[int, bytes]] = {}
+            for row, a, b, route in zip(*(batch.column(c).to_pylist() for c in ("row", "s1", "s2", "route"))):
+                firsts.setdefault((a, b), (row, route))
+            rows, routes = zip(*sorted(firsts.values()))
+            routes = [np.frombuffer(r, U64) for r in routes]
             shingle = np.concatenate(routes)
-            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), [len(r) for r in routes])
+            node = np.repeat(np.array(rows, "i8"), [len(r) for r in routes])
             yield from packed_rows(
-                by_bucket(0, (shingle % U64(total)).astype(np.int64), (shingle, node.astype("i8")))
+                by_bucket(0, (shingle % U64(total)).astype(np.int64), (shingle, node))
             ).to_batches()
 
     return run
@@ -152,7 +159,10 @@ _EDGES = pa.schema([("center", pa.int64()), ("node", pa.int64())])
 
 
 def _units(table: pa.Table) -> pa.Table:
-    """(center, node): holders of a shingle that has several, under the smallest of them."""
+    """(center, row): holders of a shingle that has several, under the smallest of them.
+
+    Equal sets hold the same shingles, so the smallest holder is always its class's representative.
+    """
     shingle, node = unpacked(table.column("data").to_pylist(), ("u8", "i8"))
     order = np.lexsort((node, shingle))
     shingle, node = shingle[order], node[order]
@@ -245,7 +255,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _link(percent: int):
+def _link(words: int, percent: int):
     """A spanning forest of the verified links of each unit."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -256,7 +266,7 @@ def _link(percent: int):
             unit = unit.take(np.sort(once))
             nodes = unit.column("node").to_pylist()
             blocks = unit.column("block").to_numpy()
-            sets = [np.frombuffer(s, U64) for s in unit.column("shingles").to_pylist()]
+            sets = [shingle_set(_shipped_text(t), words) for t in unit.column("text").to_pylist()]
             sizes = np.array([len(s) for s in sets])
             vectors = np.stack([count_vector(s).astype(np.int64) for s in sets])
             same = unit.column("low")[0].as_py() == unit.column("high")[0].as_py()
@@ -282,13 +292,35 @@ def _link(percent: int):
     return run
 
 
-def _with_shingles(words: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, 8 << 20):
-            sets = [shingle_set(t.as_py(), words).tobytes() for t in batch.column("_text")]
-            yield batch.drop_columns(["_text"]).append_column("shingles", pa.array(sets, pa.binary()))
+WANTED, TEXTS = 1, 2
+_SHIPPED_DDL = "center long, low int, high int, node long, n_shingles long, block int, bucket int, text binary"
+
+
+def _attach_texts(table: pa.Table) -> pa.Table:
+    """Of one bucket of documents: the wanted unit members with their compressed texts."""
+    codec = pa.Codec("zstd")
+    wanted = list(tables_of(blobs_of(table, WANTED)))
+    wanted = pa.concat_tables(wanted) if wanted else _NOBODY
+    keys = list(zip(wanted.column("_id").to_pylist(), wanted.column("_key").to_pylist()))
+    asked, found = set(keys), {}
+    for docs in tables_of(blobs_of(table, TEXTS)) if asked else ():
+        texts = docs.column("_text")
+        for n, key in enumerate(zip(docs.column("_id").to_pylist(), docs.column("_key").to_pylist())):
+            if key in asked and key not in found:
+                text = (texts[n].as_py() or "").encode("utf-8", "surrogatepass")
+                found[key] = len(text).to_bytes(8, "little") + codec.compress(text, asbytes=True)
+    return wanted.drop_columns(["_id", "_key"]).append_column("text", pa.array([found[k] for k in keys], pa.binary()))
 
-    return run
+
+_NOBODY = pa.table({
+    **{c: pa.array([], pa.int64()) for c in ("center", "node", "n_shingles", "_id", "_key")},
+    **{c: pa.array([], pa.int32()) for c in ("low", "high", "block", "bucket")},
+}).select(["center", "low", "high", "node", "n_shingles", "block", "bucket", "_id", "_key"])
+
+
+def _shipped_text(blob: bytes) -> str:
+    size = int.from_bytes(blob[:8], "little")
+    return pa.Codec("zstd").decompress(blob[8:], size, asbytes=True).decode("utf-8", "surrogatepass") if size else ""
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -312,12 +344,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("front"),
     )
     classes = materialize(classes, "classes")
-    nodes = classes.select("node")
-    routed = sets.select(F.col("row").alias("node"), "route").join(nodes, "node", "left_semi")
-    edges = routed.mapInArrow(_route(total), PACKED_DDL).groupBy("bucket").applyInArrow(
+    routed = sets.where("n_shingles > 0").select("row", "s1", "s2", "route")
+    held = routed.mapInArrow(_route(total), PACKED_DDL).groupBy("bucket").applyInArrow(
         _units, "center long, node long"
     )
-    edges = materialize(edges.distinct(), "units")
+    edges = materialize(held.distinct().join(classes.select("node"), "node", "left_semi"), "units")
     release(spark)
 
     links = materialize(_links(docs, sets, edges, total, words, percent), "links")
@@ -360,19 +391,16 @@ def _links(docs: DataFrame, sets: DataFrame, edges: DataFrame, total: int, words
         _prune(percent), "center long, low int, high int, node long, n_shingles long, block int"
     )
     pruned = materialize(pruned, "pruned")
-    wanted = pruned.join(
+    wanted = pruned.select("*", unit).join(
         sets.select(F.col("row").alias("node"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "node"
     )
-    texts = _keyed(docs)
-    shipped = (
-        texts.join(wanted, texts["_id"].eqNullSafe(wanted["_id"]) & (texts["_key"] == wanted["_key"]))
-        .select("center", "low", "high", "node", "n_shingles", "block", "_text")
-        .mapInArrow(
-            _with_shingles(words),
-            "center long, low int, high int, node long, n_shingles long, block int, shingles binary",
-        )
-    )
-    return shipped.select("*", unit).groupBy("bucket").applyInArrow(_link(percent), "u long, v long").distinct()
+    home = F.pmod(F.xxhash64("_id", "_key"), F.lit(total)).cast("int").alias("home")
+    members = wanted.select(
+        "center", "low", "high", "node", "n_shingles", "block", "bucket", "_id", "_key", home
+    ).mapInArrow(packed_tables(WANTED, "home"), PACKED_DDL)
+    texts = _keyed(docs).select("*", home).mapInArrow(packed_tables(TEXTS, "home"), PACKED_DDL)
+    shipped = texts.unionByName(members).groupBy("bucket").applyInArrow(_attach_texts, _SHIPPED_DDL)
+    return shipped.groupBy("bucket").applyInArrow(_link(words, percent), "u long, v long").distinct()
 
 
 def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -304,7 +304,7 @@ def cut_repeats(
         ranked.groupBy("kind", "bucket").applyInArrow(_judge_stretches(total), PACKED_DDL), "stretches"
     )
     release(spark)
-    texts = rows.mapInArrow(packed_tables(DOCS, total), PACKED_DDL)
+    texts = rows.mapInArrow(packed_tables(DOCS), PACKED_DDL)
     windows = texts.unionByName(judged.where(F.col("kind") == PROBE)).groupBy("bucket").applyInArrow(
         _rank_windows(length, total), PACKED_DDL
     )
@@ -319,7 +319,7 @@ def cut_repeats(
         [T.StructField(n, docs.schema[c].dataType) for n, c in zip(carried, carry)]
         + [T.StructField(n, t) for n, t in zip(OUTPUT, kinds)]
     )
-    whole = read.mapInArrow(packed_tables(DOCS, total), PACKED_DDL).unionByName(matches)
+    whole = read.mapInArrow(packed_tables(DOCS), PACKED_DDL).unionByName(matches)
     cut = whole.groupBy("bucket").applyInArrow(_cut(length, carried, as_text), schema)
     return cut.select(*[F.col(f"_c{n}").alias(c) for n, c in enumerate(carry)], *OUTPUT)
 
