@@ -19,11 +19,11 @@ packings are resolved by island number, and seeds come from shard and island, so
 from __future__ import annotations
 
 import random
+import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ POPULATION = 4
 GENERATIONS = 3
 ELITES = 2
 DENSE = 0.95
-MEMO = 200_000
+MEMO = 400_000
 _PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -60,25 +60,17 @@ class Encoder:
                 parts.append(run.to_bytes(4, "little"))
                 continue
             known = self.known
-            new = list({p for p in run if p not in known})
-            if new:
-                ids = {p: np.array(i, "<u4").tobytes() for p, i in zip(new, merged(self.split.piece, new))}
-                if len(known) + len(ids) <= MEMO:
-                    known.update(ids)
-                else:
-                    known = _Both(known, ids)
-            parts.extend(map(known.__getitem__, run))
+            found = list(map(known.get, run))
+            if None in found:
+                new = list({p for p, ids in zip(run, found) if ids is None})
+                merges = {p: struct.pack(f"<{len(i)}I", *i) for p, i in zip(new, merged(self.split.piece, new))}
+                if len(known) + len(merges) <= MEMO:
+                    known.update(merges)
+                found = [merges[p] if ids is None else ids for p, ids in zip(run, found)]
+            parts += found
         return b"".join(parts)
 
 
-class _Both:
-    def __init__(self, first: dict, second: dict):
-        self.first, self.second = first, second
-
-    def __getitem__(self, key):
-        return self.first[key] if key in self.first else self.second[key]
-
-
 @lru_cache(maxsize=1)
 def _encoder(rules: Rules) -> Encoder:
     return Encoder(rules)

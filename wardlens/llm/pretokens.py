@@ -21,6 +21,7 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers  # noqa: E402
 #: Characters put to the test: Latin with its supplements, and general punctuation.
 CANDIDATES = [chr(c) for c in (*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC)]
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+CONTRACTED = "'(?:s|t|re|ve|m|ll|d)"  # the same strings, tried once per apostrophe
 PART = 1 << 20  # characters of a text that are split at once
 
 
@@ -104,23 +105,32 @@ class PreTokens(Splitter):
 
     def __init__(self, rules: Rules):
         super().__init__(rules.config)
-        letters, digits, spaces, others = (re.escape(x) for x in (rules.letters, rules.digits, rules.spaces, rules.others))
-        self.irregular = re.compile(f"[^'{letters}{digits}{spaces}{others}]")
-        if rules.lower:
-            low = re.escape("".join(dict.fromkeys(c.lower() for c in rules.letters)))
-            other = re.escape("".join(dict.fromkeys(c.lower() for c in rules.others)))
-            pattern = f"{CONTRACTIONS}|[{low}]+|[{digits}]|['{other}]+"
-        else:
-            pattern = (
-                f"{CONTRACTIONS}| ?[{letters}]+| ?[{digits}]+| ?['{others}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
-            )
-        self.find = re.compile(pattern).findall
+        regular = re.escape(rules.letters + rules.digits + rules.spaces + rules.others)
+        self.irregular = re.compile(f"[^'{regular}]")
+        self.find = re.compile(self._pattern(rules, 0x110000)).findall
+        self.find_ascii = re.compile(self._pattern(rules, 128)).findall  # smaller classes are matched faster
         names = "|".join(re.escape(x) for x in self.specials)
         self.special = re.compile(f"({names})") if names else None
 
+    @staticmethod
+    def _pattern(rules: Rules, limit: int) -> str:
+        def chars(found: str) -> str:
+            plain = found.lower() if rules.lower else found
+            return re.escape("".join(dict.fromkeys(c for c in plain if ord(c) < limit)))
+
+        letters, digits, spaces, others = (
+            chars(x) for x in (rules.letters, rules.digits, rules.spaces, rules.others)
+        )
+        if rules.lower:
+            return f"{CONTRACTED}|[{letters}]+|[{digits}]|['{others}]+"
+        return (
+            f"{CONTRACTED}| ?[{letters}]+| ?[{digits}]+| ?['{others}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
+        )
+
     def _run(self, text: str) -> list[str]:
-        if text.isascii() and self.ascii_regular or not self.irregular.search(text):
-            return self.find(text.lower() if self.lower else text)
+        ascii_only = text.isascii() and self.ascii_regular
+        if ascii_only or not self.irregular.search(text):
+            return (self.find_ascii if ascii_only else self.find)(text.lower() if self.lower else text)
         return self.library_split(self.normalised(text))
 
     @property
@@ -158,4 +168,4 @@ def _shorter(text: str) -> Iterator[str]:
 
 def merged(piece: Tokenizer, pieces: Iterable[str]) -> list[list[int]]:
     """Ids of pre-tokens, by the library's merges."""
-    return [e.ids for e in piece.encode_batch(list(pieces), add_special_tokens=False)]
+    return [e.ids for e in piece.encode_batch_fast(list(pieces), add_special_tokens=False)]

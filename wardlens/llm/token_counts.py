@@ -24,7 +24,7 @@ from wardlens.llm.pretokens import PreTokens, Rules, Splitter, merged, prove_rul
 from wardlens.llm.shipping import ship_package
 
 TOKEN_LIMIT = 2048
-MEMO = 200_000
+MEMO = 400_000
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 def prove_whole_tokens(config: str, word_end: str = "</w>") -> frozenset[str]:
-    """Vocabulary strings that encode alone as exactly their one token."""
+    """Vocabulary strings that encode alone as exactly their one token, as a text and as a pre-token."""
     splitter, letters = Splitter(config), _byte_letters()
     candidates = {}
     for name, token in splitter.piece.get_vocab(with_added_tokens=False).items():
@@ -51,8 +51,10 @@ def prove_whole_tokens(config: str, word_end: str = "</w>") -> frozenset[str]:
                 candidates[bytes(letters[c] for c in name[: -len(word_end)]).decode()] = token
             except (KeyError, UnicodeDecodeError):
                 continue
-    found = merged(splitter.piece, candidates)
-    return frozenset(s for (s, token), ids in zip(candidates.items(), found) if ids == [token])
+    alone, inside = merged(splitter.whole, candidates), merged(splitter.piece, candidates)
+    return frozenset(
+        s for (s, token), ids, piece in zip(candidates.items(), alone, inside) if ids == piece == [token]
+    )
 
 
 def counting(config: str) -> Counting:
