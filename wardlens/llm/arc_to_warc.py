@@ -262,7 +262,7 @@ def _warc_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_warc(records: DataFrame, path: str) -> None:
     """Write typed records as gzip-compressed WARC archives, one per partition."""
     lines = records.mapInArrow(_warc_lines, "value binary").select(F.col("value").cast("string").alias("value"))
-    lines.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+    lines.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def warc_records(content: bytes, name: str = "") -> Iterator[tuple[dict[str, str], bytes]]:
@@ -321,8 +321,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def pages_through_archives(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Pages to ARC, ARC to WARC, and back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
-    records = materialize(convert_archives(arc_archives(pages)), "arc-records")
-    path = new_path(spark, "warc")
+    converted, path = new_path(spark, "arc-records"), new_path(spark, "warc")
+    convert_archives(arc_archives(pages)).write.option("compression", "zstd").parquet(converted)
+    records = spark.read.schema(_RECORD_DDL).parquet(converted)
     write_warc(with_record_types(records, min_bytes), path)
     back = materialize(read_warc(spark, path), "warc-records")
     responses = back.where("record_type = 'response'").select(
