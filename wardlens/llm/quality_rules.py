@@ -3,7 +3,8 @@
 Statistics of every whole text are computed once and written. Rules are learned on the labelled rows by sequential covering: two
 thirds of them (by hash) grow a conjunction of thresholds, adding the condition with the largest information gain on
 "bad" until it covers hardly any good row or has ``MAX_CONDITIONS``; the other third prunes its last conditions. A rule
-that stays precise on the pruning rows is kept, the rows it covers are set aside, and the next one is grown. Growing and
+that stays precise on the pruning rows is kept and the rows it covers are set aside; else no later rule opens with
+the statistic that it opened with. Growing and
 pruning see counts per (statistic, threshold) only, aggregated by Spark over all labelled rows; thresholds
 are quantiles of them. The list becomes one ordered conditional expression, applied to all rows.
 
@@ -160,9 +161,11 @@ def _bins(labelled: DataFrame) -> tuple[DataFrame, dict[str, list[float]]]:
     """Labelled rows with, per feature, how many of its thresholds do not exceed the value."""
     columns = features()
     row = labelled.agg(
-        *[F.percentile_approx(c, F.array(*map(F.lit, QUANTILES)), 10_000).alias(f) for f, c in columns.items()]
+        *[F.percentile_approx(c, F.array(*map(F.lit, QUANTILES)), 10_000).alias(f) for f, c in columns.items()],
+        *[F.min(F.when(c > 0, c)).alias(f"least_{f}") for f, c in columns.items()],
     ).first()
-    thresholds = {f: sorted(set(row[f] or [])) for f in columns}
+    # The least positive value tells "some" from "none" where most texts have none.
+    thresholds = {f: sorted({*(row[f] or []), *filter(None, [row[f"least_{f}"]])}) for f in columns}
 
     def rank(f: str, c: Column) -> Column:
         passed = [F.when(c >= t, 1).otherwise(0) for t in thresholds[f]]
@@ -177,8 +180,11 @@ def _gain(bad: int, good: int, all_bad: int, all_good: int) -> float:
     return bad * (math.log2(bad / (bad + good)) - math.log2(all_bad / (all_bad + all_good)))
 
 
-def _grow(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
-    """Add the best condition until hardly a good row is covered; one aggregation per condition."""
+def _grow(rows: DataFrame, thresholds: dict[str, list[float]], failed: frozenset[str] = frozenset()) -> Rule:
+    """Add the best condition until hardly a good row is covered; one aggregation per condition.
+
+    A rule does not open with a statistic in ``failed``.
+    """
     rule: list[Condition] = []
     while len(rule) < MAX_CONDITIONS:
         counts: dict[str, dict[int, tuple[int, int]]] = {f: {} for f in thresholds}
@@ -193,7 +199,7 @@ def _grow(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
         if not all_bad or not all_good or all_good <= (1 - MIN_PRECISION) / 2 * (all_bad + all_good) and rule:
             break
         best, best_gain = None, 1e-9
-        for f in sorted(thresholds):
+        for f in sorted(set(thresholds) - (failed if not rule else set())):
             for k, t in enumerate(thresholds[f]):
                 above = [sum(v[i] for b, v in counts[f].items() if b > k) for i in (0, 1)]
                 for up, (bad, good) in ((True, above), (False, [all_bad - above[0], all_good - above[1]])):
@@ -225,15 +231,17 @@ def learn_rules(labelled: DataFrame) -> list[Rule]:
     binned, thresholds = _bins(labelled)
     rows = materialize(binned, "labelled")
     rules: list[Rule] = []
+    failed: frozenset[str] = frozenset()
     while len(rules) < MAX_RULES:
         left = rows.where(~_any(rules))
-        rule = _grow(left.where("grows"), thresholds)
-        if not rule:
-            break
-        rule, bad, good = _prune(left.where("not grows"), rule)
-        if bad < MIN_COVERED or bad < MIN_PRECISION * (bad + good):
+        grown = _grow(left.where("grows"), thresholds, failed)
+        if not grown:
             break
-        rules.append(rule)
+        rule, bad, good = _prune(left.where("not grows"), grown)
+        if bad >= MIN_COVERED and bad >= MIN_PRECISION * (bad + good):
+            rules.append(rule)
+        else:
+            failed |= {grown[0].feature}
     return rules
 
 
