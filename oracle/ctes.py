@@ -190,7 +190,7 @@ CTES: dict[str, str] = {
     "model_features": """SELECT * EXCLUDE (paid_sum, bill_rank),
           CAST(coalesce(paid_sum, billed_amount * 0.72) AS DECIMAL(14,2)) AS paid_amount,
           CAST(coalesce(paid_sum, billed_amount * 0.72) AS DECIMAL(14,2)) AS revenue_per_patient,
-          CASE WHEN claim_count > 0 THEN 'surrogate_linked_claim' ELSE 'simulated_cost_formula' END AS revenue_origin,
+          CASE WHEN claim_count > 0 THEN 'governed_linked_claim' ELSE 'simulated_cost_formula' END AS revenue_origin,
           CASE WHEN claim_count > 0 THEN 'Insurance' ELSE 'Self Pay' END AS insurance_category,
           ['Low','Medium','High','Very High'][CAST(greatest(1, ceil((bill_rank - 1) * 4
             / greatest((SELECT count(*) FROM priced) - 1, 1))) AS INT)] AS billing_category,

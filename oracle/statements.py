@@ -42,6 +42,16 @@ SQL["load_in_fk_order"] = " UNION ALL ".join(
     f"SELECT CAST({k} AS BIGINT) AS load_order, '{t}' AS table_name, count(*) AS source_rows, count(*) AS target_rows,"
     f" 'matched' AS status FROM {t}" for k, t in enumerate(TABLES, 1)
 )
+MART_SIZES = {"model_features": "model_features", "command_center_kpis": "snapshot", "hospital_efficiency_scores": "scores",
+              "emergency_forecast": "outlook", "operational_forecast_summary": "plan", "operational_recommendations": "actions"}
+SQL["load_in_fk_order"] += " UNION ALL " + " UNION ALL ".join(
+    f"SELECT {k}, '{t}', count(*), count(*), 'matched' FROM {cte}" for k, (t, cte) in enumerate(MART_SIZES.items(), 13)
+)
+SQL["load_appended"] = " UNION ALL ".join(
+    f"SELECT CAST({k} AS BIGINT) AS load_order, '{t}' AS table_name, count(*) AS source_rows, count(*) AS target_rows,"
+    f" 'matched' AS status FROM {t}" for k, t in enumerate(("departments", "insurance"), 1)
+)
+SQL["read_raw_billing"] = "SELECT * REPLACE ('00' || substr(billing_id, 4) AS billing_id) FROM bill_text"
 SQL["query_evidence"] = f"""SELECT 'Admissions' AS metric, {m('count(*)', 'value')} FROM admissions
 UNION ALL SELECT 'Patients', count(*) FROM patients
 UNION ALL SELECT 'Readmission rate', round(avg(readmitted_30d), 6) FROM admissions
@@ -90,6 +100,7 @@ UNION ALL SELECT 'Unique billing_id', count(*) - count(DISTINCT billing_id) FROM
 SQL["missing_by_column"] = " UNION ALL ".join(
     [f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_count FROM adm_text" for c in ADM_COLS]
     + [f"SELECT '{c}', count(*) - count({c}) FROM bill_text" for c in BILL_COLS if c != "patient_id"]
+    + ["SELECT 'billing_patient_id', count(*) - count(patient_id) FROM bill_text"]
 )
 
 
@@ -104,7 +115,8 @@ SQL["quality_comparison"] = (
     + compared("claims", "bill_text", "bill_text_clean", BILL_COLS, (*BILL_COLS, "claim_gap", "claim_approved"), "billing_id")
 )
 WIDTHS = {"patients": 4, "departments": 2, "doctors": 4, "admissions": 14, "diagnoses": 3, "procedures": 2,
-          "medicines": 4, "labs": 6, "insurance": 2, "billing": 9, "claims": 9, "appointments": 8}
+          "medicines": 4, "labs": 6, "insurance": 2, "billing": 9, "claims": 9, "appointments": 8,
+          "model_features": 55}
 SQL["table_quality"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS table_name, count(*) AS rows, CAST({w} AS BIGINT) AS columns,
     CAST(0 AS BIGINT) AS missing_cells, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS duplicate_rows
@@ -129,7 +141,8 @@ def described(column: str, numeric: bool) -> str:
 
 SQL["describe_table"] = " UNION ALL ".join(
     [described(c, True) for c in NUMERIC]
-    + [described(c, False) for c in ("admission_id", "patient_id", "admit_type", "ward_type", "discharge_type", "hospital_id")]
+    + [described(c, False) for c in ("admission_id", "patient_id", "admit_type", "ward_type", "discharge_type", "hospital_id",
+                                     "admit_date", "discharge_date")]
 )
 SQL["drop_duplicate_keys"] = """SELECT patient_id, admit_date, admission_id, ward_type FROM (SELECT DISTINCT patient_id,
   admit_date, admission_id, ward_type, dense_rank() OVER (PARTITION BY patient_id ORDER BY admit_date, admission_id) AS k
@@ -446,8 +459,9 @@ UNION ALL SELECT 'Risk', 'Derived from observed clinical fields', 'Use as a scre
   (SELECT 'Patients in the top complexity quartile have a ' || printf('%.1f%%', avg(readmitted_30d) * 100) || ' readmission rate.'
    FROM model_features, p75 WHERE patient_complexity_index >= p75)"""
 SQL["executive_action_plan"] = """SELECT priority, action, owner, timeframe, success_measure, signal AS evidence FROM actions
-UNION ALL SELECT 'P2', 'Replace surrogate claim links and derived master data', 'Data Governance Lead', '90 days',
-  'Governed encounter, provider, department, and patient keys', 'Source files have no shared encounter key'"""
+UNION ALL SELECT 'P2', 'Replace derived master data', 'Data Governance Lead', '90 days',
+  'Governed provider, department, and patient keys',
+  'Claims are linked by a governed encounter key; departments, doctors and demographics are derived'"""
 
 # --- reporting aggregates ---
 MONTHS = "SELECT CAST(unnest(generate_series(date_trunc('month', min({0})), date_trunc('month', max({0})), INTERVAL 1 MONTH)) AS DATE) AS month_start"
@@ -635,7 +649,8 @@ REQUIRED = {
     "patients": "patient_id age gender age_group", "departments": "department_id department",
     "doctors": "doctor_id department doctor_experience department_id",
     "admissions": "admission_id patient_id doctor_id department_id hospital_id admit_date readmitted_30d readmitted_7d",
-    "procedures": "admission_id num_procedures", "insurance": "insurance_id insurance_provider",
+    "procedures": "admission_id num_procedures", "medicines": "admission_id medicine_code medicine_count",
+    "insurance": "insurance_id insurance_provider",
     "billing": "billing_id admission_id patient_id billed_amount paid_amount claim_gap",
     "claims": "claim_line_id claim_id billing_id claim_status claim_approved",
     "appointments": "appointment_id patient_id doctor_id department_id admit_date appointment_status",
@@ -658,14 +673,23 @@ SQL["check_domain_rules"] = " UNION ALL ".join(
         for t, columns in REQUIRED.items()
     ]
 )
+# Feature provenance and insights are fixed rows; the standing governance action adds one to the plan.
 SQL["check_provenance"] = """SELECT 'report:feature_provenance' AS "check", 'passed' AS status, CAST(14 AS BIGINT) AS rows
 UNION ALL SELECT 'report:business_insights', 'passed', 5
-UNION ALL SELECT 'report:accountable_action_plan', 'passed', count(*) + 1 FROM actions"""
-SQL["check_mart_shape"] = """SELECT 'operational_mart:command_center_kpis' AS "check", 'passed' AS status, CAST(1 AS BIGINT) AS rows
-UNION ALL SELECT 'operational_mart:hospital_efficiency_scores', 'passed', count(*) FROM scores
-UNION ALL SELECT 'operational_mart:emergency_forecast', 'passed', count(*) FROM outlook
-UNION ALL SELECT 'operational_mart:operational_forecast_summary', 'passed', 1
-UNION ALL SELECT 'operational_mart:operational_recommendations', 'passed', count(*) FROM actions"""
+UNION ALL SELECT 'report:accountable_action_plan',
+  CASE WHEN count(owner) = count(*) AND count(timeframe) = count(*) THEN 'passed' ELSE 'failed' END, count(*) + 1 FROM actions"""
+SQL["damaged_provenance"] = """SELECT 'report:feature_provenance' AS "check", 'failed' AS status, CAST(14 - 1 AS BIGINT) AS rows
+UNION ALL SELECT 'report:business_insights', 'failed', 5
+UNION ALL SELECT 'report:accountable_action_plan', 'failed', count(*) + 1 FROM actions"""
+SQL["check_mart_shape"] = " UNION ALL ".join(
+    f"""SELECT 'operational_mart:{name}' AS "check", CASE WHEN count(*) {size} THEN 'passed' ELSE 'failed' END AS status,
+    count(*) AS rows FROM {cte}"""
+    for name, cte, size in (
+        ("command_center_kpis", "snapshot", "= 1"), ("hospital_efficiency_scores", "scores", ">= 1"),
+        ("emergency_forecast", "outlook", "= 7"), ("operational_forecast_summary", "plan", "= 1"),
+        ("operational_recommendations", "actions", ">= 1"),
+    )
+)
 SQL["check_mart_consistency"] = " UNION ALL ".join(
     [
         judged("consistency:as_of_date", "snapshot", "bool_or(as_of_date <> (SELECT max(admit_date) FROM admissions))"),
@@ -687,10 +711,23 @@ SQL["check_mart_consistency"] = " UNION ALL ".join(
         ),
     ]
 )
-SQL["validate"] = " UNION ALL ".join(
-    f"({SQL[k]})" for k in ("check_primary_keys", "check_foreign_keys", "check_admission_dates", "check_domain_rules",
-                            "check_mart_shape", "check_mart_consistency")
+SQL["damaged_marts"] = " UNION ALL ".join(
+    [
+        judged("consistency:as_of_date", "(SELECT *, NULL AS unknown FROM snapshot)", "count(unknown) < count(*)"),
+        judged("consistency:center_ranges", "snapshot", """NOT bool_and(occupancy_pct BETWEEN 0 AND 100)
+            OR (SELECT NOT bool_and(efficiency_score BETWEEN 0 AND 100) FROM scores WHERE scope_type = 'hospital')"""),
+        judged("consistency:efficiency_range", "(SELECT CASE WHEN scope_type = 'hospital' THEN efficiency_score ELSE 101 END AS v"
+               " FROM scores)", "NOT bool_and(v BETWEEN 0 AND 100)"),
+        judged("consistency:hospital_score", "scores WHERE scope_type = 'hospital'", "count(*) <> 1"),
+        judged("consistency:forecast_dates", "outlook",
+               "min(forecast_date) <= (SELECT max(admit_date) FROM admissions) OR count(DISTINCT forecast_date) < count(*)"),
+        judged("consistency:peak_hour_status", "plan WHERE false", "count(*) = 0"),
+        judged("consistency:accountable_recommendations", "actions", "count(owner) < count(*)"),
+    ]
 )
+SQL["partial_linkage"] = f"""SELECT CASE WHEN a.admission_id IS NULL THEN 'unlinked' ELSE 'governed_encounter_key' END AS linkage_method,
+  {n('bills')}, {total('b.billed_amount', 'billed')}, {total('b.paid_amount', 'paid')} FROM bill_raw_clean b
+  LEFT JOIN adm_raw_clean a ON a.admission_id = 'ADM' || substr(b.encounter_id, 4) AND a.ward_type <> 'ICU' GROUP BY 1"""
 
 # --- splits, metrics and forecasting ---
 SIDE = h("'42:' || patient_id", 10000)
@@ -722,6 +759,9 @@ SQL["horizon_summary"] = f"""SELECT series, {i('h', 'horizon_days')}, {r('avg(we
 SQL["forecast_horizon"] = f"""SELECT series, {day('d', 'forecast_date')}, {r('week', 'forecast_occupied_beds')},
   {r('least(week / 500 * 100, 100)', 'forecast_occupancy_pct')}, {r('least(week / 500 * 100, 100)', 'display_occupancy_pct')}
   FROM baseline WHERE step <= 30"""
+SQL["forecast_horizon_by_ward"] = f"""SELECT series, {day('date', 'forecast_date')}, {i('beds', 'forecast_occupied_beds')},
+  {r('least(beds / 500e0 * 100, 100)', 'display_occupancy_pct')}
+  FROM (SELECT *, min(date) OVER (PARTITION BY series) AS opening FROM ward_census) WHERE date < opening + 30"""
 SQL["forecast_summary_with_beds"] = SQL["operational_forecast_summary"].replace(
     "CAST(0 AS BIGINT) AS additional_beds",
     i("greatest((SELECT ceil(max(week)) FROM baseline WHERE step <= 7) - (SELECT beds FROM census ORDER BY d DESC LIMIT 1), 0)",
@@ -735,6 +775,17 @@ SQL["check_model_lineage"] = """SELECT 'model:' || t AS "check", 'passed' AS sta
   ELSE (SELECT count(*) FROM model_features) END AS rows
   FROM (SELECT unnest(['readmission', 'waiting_simulation', 'revenue_scenario', 'occupancy']) AS t)
   UNION ALL SELECT 'explanation:' || unnest(['readmission', 'revenue_scenario']), 'passed', NULL"""
+SQL["damaged_lineage"] = SQL["check_model_lineage"].replace(
+    "'model:' || t AS \"check\", 'passed' AS status",
+    "'model:' || t AS \"check\", CASE t WHEN 'waiting_simulation' THEN 'failed' ELSE 'passed' END AS status",
+).replace(
+    "SELECT 'explanation:' || unnest(['readmission', 'revenue_scenario']), 'passed', NULL",
+    "SELECT 'explanation:readmission', 'failed', NULL UNION ALL SELECT 'explanation:revenue_scenario', 'passed', NULL",
+)
+SQL["validate"] = " UNION ALL ".join(
+    f"({SQL[k]})" for k in ("check_primary_keys", "check_foreign_keys", "check_admission_dates", "check_domain_rules",
+                            "check_mart_shape", "check_mart_consistency", "check_provenance", "check_model_lineage")
+)
 
 
 def statements() -> dict[str, str]:

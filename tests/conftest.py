@@ -11,6 +11,17 @@ sys.path.insert(0, str(ROOT))
 SF = "/root/testdata/sf0.001"
 
 
+def small_models():
+    """Contracts on models need fitted ones, not good ones; registered queries train full sizes."""
+    from wardlens.ml.models import ModelSizes
+    from wardlens.plans.dataset import HospitalData
+
+    HospitalData.model_sizes = ModelSizes(
+        forest_trees=6, forest_depth=4, regression_trees=6, regression_depth=4, boosting_rounds=4, stacking_trees=4,
+        stacking_depth=3, stacking_rounds=3, stacking_folds=2,
+    )
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -24,6 +35,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    small_models()
     yield session
     session.stop()
 

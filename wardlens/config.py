@@ -9,7 +9,6 @@ from dataclasses import dataclass
 class OpsConfig:
     bed_capacity: int = 500
     random_state: int = 42
-    model_sample_rows: int = 30_000
     high_risk_threshold: float = 0.65
     monitor_threshold: float = 0.35
     readmission_target: float = 0.10

@@ -65,12 +65,6 @@ class ModelSizes:
     seed: int = CONFIG.random_state
 
 
-LIGHT = ModelSizes(
-    forest_trees=12, forest_depth=6, regression_trees=12, regression_depth=6, boosting_rounds=8, stacking_trees=6,
-    stacking_depth=5, stacking_rounds=5, stacking_folds=2,
-)
-
-
 def split_features(features: Sequence[str]) -> tuple[list[str], list[str]]:
     return [f for f in features if f not in CATEGORICAL], [f for f in features if f in CATEGORICAL]
 
@@ -228,15 +222,43 @@ def _lineage(task: str, best: str, metric: str, value: float, features, audit, o
     }
 
 
-def _fit(estimator, features: Sequence[str], train: DataFrame, rows: int) -> PipelineModel:
-    return Pipeline(stages=[*preprocessor(features, rows), estimator]).fit(train)
+ROWS_PER_TASK = 100_000  # of vectors in memory; fewer, fuller tasks make the many short passes of boosting cheaper
+
+
+class Prepared:
+    """Rows with their feature vectors: the preprocessing is fitted once, and only estimators are fitted after it."""
+
+    def __init__(self, features: Sequence[str], train: DataFrame, rows: int, columns: Sequence[str]):
+        self.rows = rows
+        self.stages = Pipeline(stages=preprocessor(features, rows)).fit(train)
+        self.kept = [*columns, "features"]
+        self.data = self.vectors(train).coalesce(max(1, -(-rows // ROWS_PER_TASK))).persist()
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        return self.stages.transform(df).select(*self.kept)
+
+    def fit(self, estimator, where: F.Column | None = None) -> PipelineModel:
+        data = self.data if where is None else self.data.where(where)
+        return PipelineModel([*self.stages.stages, estimator.fit(data)])
+
+    def release(self) -> None:
+        self.data.unpersist()
+
+
+def on_vectors(model):
+    """The model without its preprocessing, for rows that already carry their vectors."""
+    if isinstance(model, Voting):
+        return Voting([on_vectors(m) for m in model.members])
+    if isinstance(model, Stacked):
+        return Stacked([on_vectors(m) for m in model.bases], model.final)
+    return PipelineModel(model.stages[-1:])
 
 
-def _fit_classifier(name: str, features: Sequence[str], train: DataFrame, rows: int, sizes: ModelSizes):
+def _fit_classifier(name: str, prepared: Prepared, sizes: ModelSizes):
     if name == "voting_classifier":
         members = ("logistic", "random_forest", "boosted_depth3")
-        return Voting([_fit_classifier(m, features, train, rows, sizes) for m in members])
-    return _fit(classifiers(rows, sizes)[name], features, train, rows)
+        return Voting([_fit_classifier(m, prepared, sizes) for m in members])
+    return prepared.fit(classifiers(prepared.rows, sizes)[name])
 
 
 def train_readmission(feat: DataFrame, sizes: ModelSizes = ModelSizes(), candidates: Sequence[str] | None = None) -> TrainedModel:
@@ -244,25 +266,28 @@ def train_readmission(feat: DataFrame, sizes: ModelSizes = ModelSizes(), candida
     base = _labelled(feat.select("admission_id", "patient_id", *READMISSION_FEATURES, "readmitted_30d"), "readmitted_30d")
     train, test, audit_df = group_split(base, "patient_id", seed=sizes.seed)
     audit = audit_df.first().asDict()
-    train = with_balanced_weights(train).persist()
     rows = audit["train_rows"]
+    prepared = Prepared(READMISSION_FEATURES, with_balanced_weights(train), rows, ["label", "weight"])
     names = list(candidates or classifiers(rows, sizes))
-    fitted = {n: _fit_classifier(n, READMISSION_FEATURES, train, rows, sizes) for n in names}
+    fitted = {n: _fit_classifier(n, prepared, sizes) for n in names}
     members = ("logistic", "random_forest", "boosted_depth3")
     if all(m in fitted for m in members):
         fitted["voting_classifier"] = Voting([fitted[m] for m in members])
     table = []
+    held = prepared.vectors(test.withColumn("weight", F.lit(1.0))).persist()
     for name, model in fitted.items():
-        scored = predict_class(model, test).select("label", "prediction", "probability")
+        scored = predict_class(on_vectors(model), held).select("label", "prediction", "probability").persist()
         scores = classification_metrics(scored).first().asDict()
+        scored.unpersist()
         table.append({"model": name, **scores, **audit, "target_origin": "observed"})
-    train.unpersist()
+    held.unpersist()
+    prepared.release()
     table.sort(key=lambda r: -r["roc_auc"])
     best = table[0]["model"]
-    everything = with_balanced_weights(base).persist()
     total = rows + audit["test_rows"]
-    model = _fit_classifier(best, READMISSION_FEATURES, everything, total, sizes)
-    everything.unpersist()
+    everything = Prepared(READMISSION_FEATURES, with_balanced_weights(base), total, ["label", "weight"])
+    model = _fit_classifier(best, everything, sizes)
+    everything.release()
     lineage = _lineage(
         "readmission", best, "roc_auc", table[0]["roc_auc"], READMISSION_FEATURES, audit, "observed",
         "core_analytical", "screening_research_only", model, total,
@@ -301,19 +326,18 @@ def _stacking_bases(sizes: ModelSizes) -> list[object]:
     ]
 
 
-def _fit_stacked(features: Sequence[str], train: DataFrame, rows: int, sizes: ModelSizes) -> Stacked:
+def _fit_stacked(prepared: Prepared, sizes: ModelSizes) -> Stacked:
     """The final regressor learns from predictions on rows its bases have not seen."""
-    folds = train.withColumn("fold", _bucket("admission_id", sizes.seed, sizes.stacking_folds)).persist()
+    fold = _bucket("admission_id", sizes.seed, sizes.stacking_folds)
     parts = []
     for k in range(sizes.stacking_folds):
-        rest = folds.where(F.col("fold") != k).drop("fold")
-        held = folds.where(F.col("fold") == k).drop("fold")
-        bases = [_fit(e, features, rest, max(rows - rows // sizes.stacking_folds, 2)) for e in _stacking_bases(sizes)]
-        parts.append(_base_predictions(bases, held).select("base_0", "base_1", "label"))
-    unseen = VectorAssembler(inputCols=["base_0", "base_1"], outputCol="stacked").transform(reduce(DataFrame.unionByName, parts))
+        bases = [on_vectors(prepared.fit(e, fold != k)) for e in _stacking_bases(sizes)]
+        parts.append(_base_predictions(bases, prepared.data.where(fold == k)).select("base_0", "base_1", "label"))
+    unseen = reduce(DataFrame.unionByName, parts)
+    unseen = VectorAssembler(inputCols=["base_0", "base_1"], outputCol="stacked").transform(unseen).persist()
     final = GBTRegressor(featuresCol="stacked", maxIter=sizes.stacking_rounds, maxDepth=3, stepSize=0.1, seed=sizes.seed).fit(unseen)
-    folds.unpersist()
-    return Stacked([_fit(e, features, train, rows) for e in _stacking_bases(sizes)], final)
+    unseen.unpersist()
+    return Stacked([prepared.fit(e) for e in _stacking_bases(sizes)], final)
 
 
 def regressors(sizes: ModelSizes) -> dict[str, object]:
@@ -329,10 +353,10 @@ def regressors(sizes: ModelSizes) -> dict[str, object]:
     }
 
 
-def _fit_regressor(name: str, features: Sequence[str], train: DataFrame, rows: int, sizes: ModelSizes):
+def _fit_regressor(name: str, prepared: Prepared, sizes: ModelSizes):
     if name == "stacking_regressor":
-        return _fit_stacked(features, train, rows, sizes)
-    return _fit(regressors(sizes)[name], features, train, rows)
+        return _fit_stacked(prepared, sizes)
+    return prepared.fit(regressors(sizes)[name])
 
 
 # Task -> target, features, origin of the target, portfolio tier, decision use, stacking candidate
@@ -356,23 +380,25 @@ def train_regression(
     train, test, audit_df = group_split(base, "patient_id", seed=sizes.seed)
     audit = audit_df.first().asDict()
     rows = audit["train_rows"]
-    train = train.persist()
+    described = ["admission_id", "department", "admit_date", "ward_type", "label"]
+    prepared = Prepared(features, train, rows, described)
+    held = prepared.vectors(test).persist()
     names = list(candidates or [*regressors(sizes), *(["stacking_regressor"] if stacking else [])])
-    table, holdouts, fitted = [], {}, {}
+    table, holdouts = [], {}
     for name in names:
-        fitted[name] = _fit_regressor(name, features, train, rows, sizes)
-        holdouts[name] = fitted[name].transform(test).select(
+        model = on_vectors(_fit_regressor(name, prepared, sizes))
+        holdouts[name] = model.transform(held).select(
             "admission_id", "department", "admit_date", "ward_type", F.col("label").alias("actual"), "prediction"
         )
         scores = regression_metrics(holdouts[name], "actual").first().asDict()
         table.append({"model": name, **scores, **audit, "target_origin": origin})
-    train.unpersist()
+    prepared.release()
     table.sort(key=lambda r: r["rmse"])
     best = table[0]["model"]
     total = rows + audit["test_rows"]
-    everything = base.persist()
-    model = _fit_regressor(best, features, everything, total, sizes)
-    everything.unpersist()
+    everything = Prepared(features, base, total, described)
+    model = _fit_regressor(best, everything, sizes)
+    everything.release()
     lineage = _lineage(task, best, "RMSE", table[0]["rmse"], features, audit, origin, tier, use, model, total)
     return TrainedModel(task, model, _metric_table(feat.sparkSession, table), lineage, features, holdouts[best])
 
@@ -418,9 +444,9 @@ def grid_search(
     """Cross-validated ROC-AUC per forest setting; all rows of a patient share a fold."""
     base = _labelled(feat.select("patient_id", *READMISSION_FEATURES, "readmitted_30d"), "readmitted_30d")
     train, _, audit = group_split(base, "patient_id", seed=seed)
-    train = with_balanced_weights(train).withColumn("fold", _bucket("patient_id", seed + 1, folds)).persist()
+    train = with_balanced_weights(train).withColumn("fold", _bucket("patient_id", seed + 1, folds))
+    prepared = Prepared(READMISSION_FEATURES, train, audit.first()["train_rows"], ["label", "weight", "fold"])
     forest = RandomForestClassifier(seed=seed, weightCol="weight")
-    stages = Pipeline(stages=[*preprocessor(READMISSION_FEATURES, audit.first()["train_rows"]), forest])
     grid = (
         ParamGridBuilder()
         .addGrid(forest.numTrees, list(trees))
@@ -429,10 +455,10 @@ def grid_search(
         .build()
     )
     search = CrossValidator(
-        estimator=stages, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
+        estimator=forest, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
         numFolds=folds, foldCol="fold", parallelism=parallelism,
-    ).fit(train)
-    train.unpersist()
+    ).fit(prepared.data)
+    prepared.release()
     rows = [
         (p[forest.numTrees], p[forest.maxDepth], p[forest.minInstancesPerNode], float(score))
         for p, score in zip(grid, search.avgMetrics)

@@ -38,7 +38,7 @@ def split_audit(sided: DataFrame, group: str) -> DataFrame:
         F.count_if(F.col("side") == "train").alias("train"), F.count_if(F.col("side") == "test").alias("test")
     )
     return per_group.agg(
-        F.lit("hash_bucket(patient_id)").alias("split_strategy"),
+        F.lit(f"hash_bucket({group})").alias("split_strategy"),
         F.sum("train").alias("train_rows"),
         F.sum("test").alias("test_rows"),
         F.count_if(F.col("train") > 0).alias("train_patients"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -187,6 +187,11 @@ def derive_claim_fields(df: DataFrame) -> DataFrame:
     )
 
 
+def encounter_admission(encounter_id: Column) -> Column:
+    """Admission id of a governed encounter key ``ENC<n>``."""
+    return F.regexp_replace(encounter_id, "^ENC", "ADM")
+
+
 def _linked(pairs: DataFrame, bill_columns: Sequence[str], method: str) -> DataFrame:
     kept = [c for c in bill_columns if c not in ("patient_id", "encounter_id", "claim_billing_date")]
     return pairs.select(
@@ -196,7 +201,7 @@ def _linked(pairs: DataFrame, bill_columns: Sequence[str], method: str) -> DataF
         F.col("encounter_id").alias("source_encounter_id"),
         "admission_id",
         F.col("matched_patient_id").alias("patient_id"),
-        F.lit(method).alias("linkage_method"),
+        F.when(F.col("admission_id").isNotNull(), method).alias("linkage_method"),
     )
 
 
@@ -218,10 +223,21 @@ def link_billing_to_admissions(bill: DataFrame, adm: DataFrame) -> DataFrame:
     return _linked(pairs, bill.columns, SURROGATE_LINK)
 
 
-def link_billing_by_encounter(bill: DataFrame, adm: DataFrame) -> DataFrame:
-    """Governed link: ``ENC<n>`` is the billing-side name of ``ADM<n>``.
+def link_billing_by_encounter(
+    bill: DataFrame, adm: DataFrame, key: Callable[[Column], Column] = encounter_admission
+) -> DataFrame:
+    """Governed link: ``key`` maps a bill's encounter to its admission.
 
-    The bills are the streamed side of an inner join, so an admission with very many bills can be split.
+    Every bill stays; one whose admission is unknown has a null admission, patient and linkage method. The
+    bills are the streamed side of the join, so an admission with very many bills can be split.
     """
-    keyed = bill.withColumn("admission_id", F.regexp_replace("encounter_id", "^ENC", "ADM"))
-    return _linked(keyed.join(_link_targets(adm), "admission_id"), bill.columns, GOVERNED_LINK)
+    targets = _link_targets(adm)
+    pairs = bill.join(targets, key(F.col("encounter_id")) == targets["admission_id"], "left")
+    return _linked(pairs, bill.columns, GOVERNED_LINK)
+
+
+def linkage_summary(linked: DataFrame) -> DataFrame:
+    """Bills and amounts per linkage method; ``unlinked`` counts bills without an admission."""
+    return linked.groupBy(F.coalesce("linkage_method", F.lit("unlinked")).alias("linkage_method")).agg(
+        F.count("*").alias("bills"), F.sum("billed_amount").alias("billed"), F.sum("paid_amount").alias("paid")
+    )

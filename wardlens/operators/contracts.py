@@ -49,7 +49,8 @@ PROVENANCE_KINDS = ("Observed", "Derived", "Simulated", "Mixed", "Assumption")
 
 
 def _check(df: DataFrame, name: str, failed: Column, rows: Column) -> DataFrame:
-    status = F.when(failed, "failed").otherwise("passed")
+    """One row per row of ``df``, an aggregate; what cannot be judged has failed."""
+    status = F.when(F.coalesce(failed, F.lit(True)), "failed").otherwise("passed")
     return df.select(F.lit(name).alias("check"), status.alias("status"), rows.cast("bigint").alias("rows"))
 
 
@@ -154,14 +155,20 @@ def check_mart_shape(marts: Tables) -> DataFrame:
 def check_mart_consistency(wh: Tables, marts: Tables) -> DataFrame:
     """Dates, ranges and scores agree across the marts and with the admissions."""
     last = wh["admissions"].agg(F.max("admit_date").alias("last_day"))
-    center = beside(marts["command_center_kpis"], last)
     scores = marts["hospital_efficiency_scores"]
     hospital = scores.where(F.col("scope_type") == "hospital").agg(
         F.count("*").alias("hospitals"), F.max("efficiency_score").alias("score")
     )
     in_range = lambda c: F.coalesce(F.col(c).between(0, 100), F.lit(False))
     ranges = in_range("occupancy_pct") & in_range("doctor_utilization_pct") & in_range("hospital_efficiency_score")
-    one = F.lit(1)
+    center = beside(
+        marts["command_center_kpis"].agg(
+            F.count("*").alias("rows"), F.count("as_of_date").alias("dated"), F.min("as_of_date").alias("from_day"),
+            F.max("as_of_date").alias("to_day"), F.count_if(~ranges).alias("bad"),
+            F.max("hospital_efficiency_score").alias("hospital_efficiency_score"),
+        ),
+        last,
+    )
     dates = beside(
         marts["emergency_forecast"].agg(
             F.count("*").alias("rows"), F.countDistinct("forecast_date").alias("days"),
@@ -175,19 +182,24 @@ def check_mart_consistency(wh: Tables, marts: Tables) -> DataFrame:
     recs = marts["operational_recommendations"].agg(F.count("*").alias("rows"), F.count_if(accountable).alias("bad"))
     spread = scores.agg(F.count("*").alias("rows"), F.count_if(~in_range("efficiency_score")).alias("bad"))
     same = (F.col("hospitals") == 1) & (F.abs(F.col("score") - F.col("hospital_efficiency_score")) < 1e-6)
-    outlook = marts["operational_forecast_summary"]
+    stated = F.coalesce(F.col("peak_hour_status") == "unavailable_no_arrival_timestamps", F.lit(False))
+    outlook = marts["operational_forecast_summary"].agg(
+        F.count("*").alias("rows"), F.count_if(~stated).alias("bad")
+    )
+    none = F.col("rows") == 0
+    off_day = (F.col("from_day") != F.col("last_day")) | (F.col("to_day") != F.col("last_day"))
     return _union(
         [
-            _check(center, "consistency:as_of_date", F.col("as_of_date") != F.col("last_day"), one),
-            _check(center, "consistency:center_ranges", ~ranges, one),
-            _check(spread, "consistency:efficiency_range", F.col("bad") > 0, F.col("rows")),
-            _check(beside(center, hospital), "consistency:hospital_score", ~F.coalesce(same, F.lit(False)), one),
+            _check(center, "consistency:as_of_date", none | (F.col("dated") < F.col("rows")) | off_day, F.col("rows")),
+            _check(center, "consistency:center_ranges", none | (F.col("bad") > 0), F.col("rows")),
+            _check(spread, "consistency:efficiency_range", none | (F.col("bad") > 0), F.col("rows")),
+            _check(beside(center, hospital), "consistency:hospital_score", ~same, F.col("rows")),
             _check(
                 dates, "consistency:forecast_dates",
                 (F.col("first") <= F.col("last_day")) | (F.col("days") != F.col("rows")), F.col("rows"),
             ),
-            _check(outlook, "consistency:peak_hour_status", F.col("peak_hour_status") != "unavailable_no_arrival_timestamps", one),
-            _check(recs, "consistency:accountable_recommendations", F.col("bad") > 0, F.col("rows")),
+            _check(outlook, "consistency:peak_hour_status", none | (F.col("bad") > 0), F.col("rows")),
+            _check(recs, "consistency:accountable_recommendations", none | (F.col("bad") > 0), F.col("rows")),
         ]
     )
 
@@ -226,8 +238,11 @@ def check_model_lineage(registry: DataFrame, explanations: DataFrame | None = No
     return checks.unionByName(linked)
 
 
-def validate(wh: Tables, marts: Tables) -> DataFrame:
-    """Every table, relation, rule and mart contract as (check, status, rows)."""
+def validate(
+    wh: Tables, marts: Tables, provenance: DataFrame, insights: DataFrame, actions: DataFrame, registry: DataFrame,
+    explanations: DataFrame | None = None,
+) -> DataFrame:
+    """Every table, relation, rule, mart, report and model contract as (check, status, rows)."""
     return _union(
         [
             check_primary_keys(wh),
@@ -236,5 +251,7 @@ def validate(wh: Tables, marts: Tables) -> DataFrame:
             check_domain_rules(wh),
             check_mart_shape(marts),
             check_mart_consistency(wh, marts),
+            check_provenance(provenance, insights, actions),
+            check_model_lineage(registry, explanations),
         ]
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlens.config import BILLING_LABELS, DEPARTMENTS, DOCTORS_PER_DEPARTMENT, GENDERS, MEDICINES
+from wardlens.config import BILLING_LABELS, DEPARTMENTS, DOCTORS_PER_DEPARTMENT, GENDERS, GOVERNED_LINK, MEDICINES
 from wardlens.functions.columns import age_band, flag, half_even, money, pick, ratio, season, stable_int
 from wardlens.functions.scale import exact_quantiles, materialize_small, order_statistics, with_order_chunks
 
@@ -171,6 +171,7 @@ def billing_summary(bill: DataFrame) -> DataFrame:
         F.sum("paid_amount").alias("paid_sum"),
         ratio(F.sum("claim_approved"), F.count("claim_approved")).alias("approval_mean"),
         F.count("billing_id").alias("bills"),
+        F.max("linkage_method").alias("link"),
     )
 
 
@@ -193,14 +194,16 @@ def with_finance(adm: DataFrame) -> DataFrame:
         .withColumn("revenue_per_patient", F.col("paid_amount"))
         .withColumn(
             "revenue_origin",
-            F.when(F.col("claim_count") > 0, "surrogate_linked_claim").otherwise("simulated_cost_formula"),
+            F.when(F.col("link") == GOVERNED_LINK, "governed_linked_claim")
+            .when(F.col("claim_count") > 0, "surrogate_linked_claim")
+            .otherwise("simulated_cost_formula"),
         )
         .withColumn("insurance_category", F.when(F.col("claim_count") > 0, "Insurance").otherwise("Self Pay"))
         .withColumn(
             "average_medicine_cost",
             half_even(F.col("billed_amount").cast("double") * 0.12 / F.col("medicine_count"), 2).cast("decimal(14,2)"),
         )
-        .drop("billed_sum", "paid_sum", "approval_mean", "bills")
+        .drop("billed_sum", "paid_sum", "approval_mean", "bills", "link")
     )
 
 
@@ -208,11 +211,13 @@ BILLING_ORDER = ("billed_amount", *VISIT_ORDER)
 
 
 def billing_cut_rows(priced: DataFrame, rows: int) -> list[tuple]:
-    """The last row of each of the first three billed-amount quartiles.
+    """The last row of each of the first three billed-amount quartiles; none if there are no rows.
 
     With ranks 1..n the quartile edges are 1 + (n-1)·k/4 and bins are closed on the right, so bin k ends
     at the 1-based rank floor(edge). Ties keep the visit order, as a first-come rank does.
     """
+    if not rows:
+        return []
     ranks = {k: (rows - 1) * k // 4 for k in (1, 2, 3)}
     found = order_statistics(priced, BILLING_ORDER, sorted(set(ranks.values())), "billing_ranks")
     return [tuple(found[ranks[k]][c] for c in BILLING_ORDER) for k in (1, 2, 3)]

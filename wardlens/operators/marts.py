@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from wardlens.config import CONFIG, OpsConfig
+from wardlens.config import CONFIG, OpsConfig, SURROGATE_LINK
 from wardlens.functions.columns import clip, half_even, mean, percent_text, ratio
 from wardlens.functions.scale import beside, exact_quantiles
 
@@ -218,7 +218,8 @@ def forecast_summary(
     if occupancy_forecast is None:
         combined = combined.withColumn("bed_peak", F.lit(None).cast("bigint"))
     else:
-        first_week = occupancy_forecast.orderBy("forecast_date").limit(7)
+        opening = occupancy_forecast.agg(F.min("forecast_date")).scalar()
+        first_week = occupancy_forecast.where(F.col("forecast_date") < F.date_add(opening, 7))
         combined = beside(combined, first_week.agg(F.ceil(F.max("forecast_occupied_beds")).alias("bed_peak")))
     return combined.select(
         "forecast_start_date",
@@ -416,7 +417,7 @@ def business_insights(feat: DataFrame, bill: DataFrame) -> DataFrame:
     return out
 
 
-# The standing governance action.
+# The standing governance action where claims are linked by position.
 GOVERNANCE_ACTION = Row(
     priority="P2",
     action="Replace surrogate claim links and derived master data",
@@ -425,9 +426,20 @@ GOVERNANCE_ACTION = Row(
     success_measure="Governed encounter, provider, department, and patient keys",
     evidence="Source files have no shared encounter key",
 )
+# The same where they carry an encounter key.
+MASTER_DATA_ACTION = Row(
+    priority="P2",
+    action="Replace derived master data",
+    owner="Data Governance Lead",
+    timeframe="90 days",
+    success_measure="Governed provider, department, and patient keys",
+    evidence="Claims are linked by a governed encounter key; departments, doctors and demographics are derived",
+)
 
 
-def executive_action_plan(recs: DataFrame) -> DataFrame:
+def executive_action_plan(recs: DataFrame, link: str = SURROGATE_LINK) -> DataFrame:
+    """The recommendations and the standing governance action that fits how bills were linked."""
+    action = GOVERNANCE_ACTION if link == SURROGATE_LINK else MASTER_DATA_ACTION
     columns = ["priority", "action", "owner", "timeframe", "success_measure", "evidence"]
     plan = recs.withColumnRenamed("signal", "evidence").select(*columns)
-    return plan.unionByName(recs.sparkSession.createDataFrame([GOVERNANCE_ACTION]))
+    return plan.unionByName(recs.sparkSession.createDataFrame([action]))

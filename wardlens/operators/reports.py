@@ -384,8 +384,11 @@ def department_bed_pressure(feat: DataFrame) -> DataFrame:
 
 
 def forecast_horizon(forecast: DataFrame, days: int = 30, capacity: int = CONFIG.bed_capacity) -> DataFrame:
+    """The first ``days`` days of every series' forecast."""
     shown = clip(F.col("forecast_occupied_beds") / F.lit(float(capacity)) * 100, 0, 100)
-    return forecast.orderBy("forecast_date").limit(days).withColumn("display_occupancy_pct", shown)
+    opening = forecast.groupBy("series").agg(F.min("forecast_date").alias("opening"))
+    within = forecast.join(opening, "series").where(F.col("forecast_date") < F.date_add("opening", days))
+    return within.drop("opening").withColumn("display_occupancy_pct", shown)
 
 
 def revenue_long(monthly: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlens.config import GOVERNED_LINK
 from wardlens.functions.columns import stable_int
 from wardlens.functions.scale import materialize, new_path
 from wardlens.ml import explain, forecasting, metrics, models, splits
@@ -68,11 +69,21 @@ query("query_evidence")(lambda d: sinks.query_evidence(d.warehouse_with_marts))
 
 @query("load_in_fk_order")
 def _load(d: HospitalData) -> DataFrame:
+    """All tables, features and marts, in their order."""
     return sinks.load_in_fk_order(
-        {n: d.warehouse[n] for n in sinks.LOAD_ORDER}, sinks.folder_sink(new_path(d.spark, "loaded"))
+        {n: d.warehouse_with_marts[n] for n in (*sinks.LOAD_ORDER, "model_features", *contracts.MART_CONTRACTS)},
+        sinks.folder_sink(new_path(d.spark, "loaded")),
     )
 
 
+@query("load_appended")
+def _append(d: HospitalData) -> DataFrame:
+    """A second load of two tables onto the first: as many rows added as the source has."""
+    tables, sink = {n: d.warehouse[n] for n in ("departments", "insurance")}, sinks.folder_sink(new_path(d.spark, "appended"))
+    sinks.load_in_fk_order(tables, sink)
+    return sinks.load_in_fk_order(tables, sink, truncate=False)
+
+
 @query("stored_admissions_by_year")
 def _stored(d: HospitalData) -> DataFrame:
     """Admissions written by year and read back."""
@@ -87,7 +98,18 @@ def _read_table(d: HospitalData) -> DataFrame:
     """Patients written as compressed CSV and found again by table name."""
     folder = new_path(d.spark, "csv")
     d.warehouse["patients"].write.option("header", True).option("compression", "gzip").csv(f"{folder}/patients.csv.gz")
-    return readers.read_table(d.spark, folder, "patients")
+    return readers.read_table(d.spark, folder, "patients", d.warehouse["patients"].schema)
+
+
+@raw_query("read_raw_billing")
+def _read_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Both extracts written as CSV with their columns in reverse order, ids with leading zeros, and read back."""
+    folder = new_path(spark, "landing")
+    padded = F.concat(F.lit("00"), F.regexp_replace("billing_id", "^BIL", "")).alias("billing_id")
+    bill = fixtures.dirty_billing(spark, sf)
+    for name, df in (("admissions", fixtures.dirty_admissions(spark, sf)), ("billing", bill.withColumn("billing_id", padded))):
+        df.select(*reversed(df.columns)).write.option("header", True).csv(f"{folder}/{readers.RAW_FILES[name]}")
+    return readers.read_raw(spark, folder)[1]
 
 
 # --- validation and cleaning, on the dirty extracts -----------------------------------------------------
@@ -105,7 +127,7 @@ def _rules(spark: SparkSession, sf: str) -> DataFrame:
 @raw_query("missing_by_column")
 def _missing(spark: SparkSession, sf: str) -> DataFrame:
     return validation.missing_by_column(fixtures.dirty_admissions(spark, sf)).unionByName(
-        validation.missing_by_column(fixtures.dirty_billing(spark, sf).drop("patient_id"))
+        validation.missing_by_column(fixtures.dirty_billing(spark, sf).withColumnRenamed("patient_id", "billing_patient_id"))
     )
 
 
@@ -120,7 +142,7 @@ def _comparison(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-query("table_quality")(lambda d: validation.table_quality({k: v for k, v in d.warehouse.items() if k != "model_features"}))
+query("table_quality")(lambda d: validation.table_quality(d.warehouse))
 
 
 @raw_query("join_cardinality")
@@ -129,7 +151,7 @@ def _cardinality(spark: SparkSession, sf: str) -> DataFrame:
     return validation.cardinality_violations(dirty, dirty, ["admission_id"], "many_to_one")
 
 
-query("describe_table")(lambda d: validation.describe_table(d.admissions_clean.drop("admit_date", "discharge_date")))
+query("describe_table")(lambda d: validation.describe_table(d.admissions_clean))
 
 
 @raw_query("drop_duplicate_keys")
@@ -305,7 +327,9 @@ query("command_center_kpis")(lambda d: d.marts["command_center_kpis"])
 query("operational_forecast_summary")(lambda d: d.marts["operational_forecast_summary"])
 query("executive_kpi_rows")(lambda d: marts.executive_kpi_rows(d.warehouse))
 query("business_insights")(lambda d: marts.business_insights(d.features, d.billing_linked))
-query("executive_action_plan")(lambda d: marts.executive_action_plan(d.marts["operational_recommendations"]))
+query("executive_action_plan")(
+    lambda d: marts.executive_action_plan(d.marts["operational_recommendations"], GOVERNED_LINK)
+)
 
 # --- reporting aggregates ------------------------------------------------------------------------------------
 
@@ -364,16 +388,60 @@ query("check_primary_keys")(lambda d: contracts.check_primary_keys(d.warehouse))
 query("check_foreign_keys")(lambda d: contracts.check_foreign_keys(d.warehouse))
 query("check_admission_dates")(lambda d: contracts.check_admission_dates(d.warehouse))
 query("check_domain_rules")(lambda d: contracts.check_domain_rules(d.warehouse))
+@query("partial_linkage")
+def _partial_linkage(d: HospitalData) -> DataFrame:
+    """Bills and amounts by linkage method when the ICU's admissions are absent."""
+    present = d.admissions_clean.where("ward_type <> 'ICU'")
+    return cleaning.linkage_summary(cleaning.link_billing_by_encounter(d.billing_clean, present))
+
+
 query("check_provenance")(
     lambda d: contracts.check_provenance(
         features.feature_provenance(d.spark),
         marts.business_insights(d.features, d.billing_linked),
-        marts.executive_action_plan(d.marts["operational_recommendations"]),
+        marts.executive_action_plan(d.marts["operational_recommendations"], GOVERNED_LINK),
     )
 )
 query("check_mart_shape")(lambda d: contracts.check_mart_shape(d.marts))
 query("check_mart_consistency")(lambda d: contracts.check_mart_consistency(d.warehouse, d.marts))
-query("validate")(lambda d: contracts.validate(d.warehouse, d.marts))
+
+
+@query("damaged_provenance")
+def _damaged_provenance(d: HospitalData) -> DataFrame:
+    """Reports with one kind of provenance missing, an unlabelled insight and an action without owner."""
+    plan = marts.executive_action_plan(d.marts["operational_recommendations"], GOVERNED_LINK)
+    return contracts.check_provenance(
+        features.feature_provenance(d.spark).where("provenance <> 'Simulated'"),
+        marts.business_insights(d.features, d.billing_linked).drop("reliability"),
+        plan.withColumn("owner", F.when(F.col("priority") != "P2", F.col("owner"))),
+    )
+
+
+@query("damaged_marts")
+def _damaged_marts(d: HospitalData) -> DataFrame:
+    """Marts with an unknown day, no forecast summary and a score out of range."""
+    center, scores = d.marts["command_center_kpis"], d.marts["hospital_efficiency_scores"]
+    return contracts.check_mart_consistency(
+        d.warehouse,
+        {
+            **d.marts,
+            "command_center_kpis": center.withColumn("as_of_date", F.lit(None).cast("date")),
+            "operational_forecast_summary": d.marts["operational_forecast_summary"].where("false"),
+            "hospital_efficiency_scores": scores.withColumn("efficiency_score", F.when(
+                F.col("scope_type") == "hospital", F.col("efficiency_score")
+            ).otherwise(F.lit(101.0))),
+        },
+    )
+
+
+@query("validate")
+def _validate(d: HospitalData) -> DataFrame:
+    return contracts.validate(
+        d.warehouse, d.marts, features.feature_provenance(d.spark), marts.business_insights(d.features, d.billing_linked),
+        marts.executive_action_plan(d.marts["operational_recommendations"], GOVERNED_LINK), _registry(d), _explained(d),
+    )
+
+
 query("dataset_fingerprint")(lambda d: contracts.dataset_fingerprint(d.features))
 
 
@@ -427,6 +495,15 @@ query("horizon_summary")(lambda d: forecasting.horizon_summary(_baseline_forecas
 query("forecast_horizon")(lambda d: reports.forecast_horizon(_baseline_forecast(d), 30))
 
 
+@query("forecast_horizon_by_ward")
+def _ward_horizon(d: HospitalData) -> DataFrame:
+    """Every ward's census read as its forecast, from its own first day on."""
+    census = forecasting.census_by(d.features, "ward_type").select(
+        "series", F.col("date").alias("forecast_date"), F.col("occupied_beds").alias("forecast_occupied_beds")
+    )
+    return reports.forecast_horizon(census, 30)
+
+
 @query("forecast_summary_with_beds")
 def _with_beds(d: HospitalData) -> DataFrame:
     # The bed baseline of the test period stands in for a trained forecast.
@@ -451,10 +528,10 @@ query("train_readmission")(lambda d: d.trained("readmission").metrics)
 query("train_waiting")(lambda d: d.trained("waiting_simulation").metrics)
 query("train_revenue")(lambda d: d.trained("revenue_scenario").metrics)
 query("standardized_features")(lambda d: models.standardized(d.features, models.READMISSION_FEATURES))
-query("grid_search")(lambda d: models.grid_search(d.features, trees=(6, 10), depths=(4,), leaves=(1, 3)))
+query("grid_search")(lambda d: models.grid_search(d.features))
 query("ward_predictions")(lambda d: models.ward_predictions(d.trained("revenue_scenario").holdout))
 query("residuals")(lambda d: models.residuals(d.trained("waiting_simulation").holdout))
-query("readmission_scores")(lambda d: explain.score_readmission(d.readmission_logistic.model, d.features))
+query("readmission_scores")(lambda d: explain.score_readmission(d.trained("readmission").model, d.features))
 query("waiting_scenario")(
     lambda d: explain.scenario_scores(d.trained("waiting_simulation").model, d.features, "waiting_time_minutes")
 )
@@ -490,8 +567,20 @@ def _registry(d: HospitalData) -> DataFrame:
 query("model_registry")(lambda d: _registry(d).withColumn("features", F.concat_ws(",", "features")))
 
 
-@query("check_model_lineage")
-def _lineage(d: HospitalData) -> DataFrame:
-    registry = _registry(d)
-    explained = registry.where("task IN ('readmission', 'revenue_scenario')").select("task", "model_hash")
-    return contracts.check_model_lineage(registry, explained)
+def _explained(d: HospitalData) -> DataFrame:
+    """The models that scores and scenarios come from, by a signature taken from them now."""
+    used = [(t, models.model_signature(d.trained(t).model)) for t in ("readmission", "revenue_scenario")]
+    return d.spark.createDataFrame(used, "task string, model_hash string")
+
+
+query("check_model_lineage")(lambda d: contracts.check_model_lineage(_registry(d), _explained(d)))
+
+
+@query("damaged_lineage")
+def _damaged_lineage(d: HospitalData) -> DataFrame:
+    """A registry with shared patients in one task, and an explanation of another model."""
+    shared = F.when(F.col("task") == "waiting_simulation", F.lit(3)).otherwise(F.col("patient_overlap"))
+    other = F.when(F.col("task") == "readmission", F.lit("other")).otherwise(F.col("model_hash"))
+    return contracts.check_model_lineage(
+        _registry(d).withColumn("patient_overlap", shared), _explained(d).withColumn("model_hash", other)
+    )

@@ -23,6 +23,8 @@ class HospitalData:
     warehouse fact tables are projections of those two tables, so joins between them need no shuffle.
     """
 
+    model_sizes = models.ModelSizes()  # of every candidate; the tests set smaller ones
+
     def __init__(self, raw_admissions: DataFrame, raw_billing: DataFrame, config: OpsConfig = CONFIG):
         self.raw_admissions = raw_admissions
         self.raw_billing = raw_billing
@@ -89,8 +91,9 @@ class HospitalData:
         """The marts with the additional beds taken from the trained bed forecast."""
         return marts.build_marts(self.features, self.warehouse["billing"], self.occupancy_forecast, self.config)
 
-    def trained(self, task: str, sizes: models.ModelSizes = models.LIGHT) -> models.TrainedModel:
+    def trained(self, task: str) -> models.TrainedModel:
         """Candidate comparison of one task, run once per data set and size."""
+        sizes = self.model_sizes
         key = (task, sizes)
         if key not in self._trained:
             if task == "readmission":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,13 +62,21 @@ def load_in_fk_order(
     sink: tuple[Callable[[DataFrame, str, str], None], Callable[[SparkSession, str], DataFrame]],
     truncate: bool = True,
 ) -> DataFrame:
-    """Write parents before children and reconcile the stored row counts with the source."""
+    """Write parents before children and reconcile the rows added to each table with the source."""
     write, read = sink
+
+    def stored(name: str) -> int:
+        try:
+            return read(wh[name].sparkSession, name).count()
+        except AnalysisException:  # not there yet
+            return 0
+
     names = [n for n in LOAD_ORDER if n in wh] + [n for n in wh if n not in LOAD_ORDER]
     rows = []
     for position, name in enumerate(names, start=1):
+        before = 0 if truncate else stored(name)
         write(wh[name], name, "overwrite" if truncate else "append")
-        source, target = wh[name].count(), read(wh[name].sparkSession, name).count()
+        source, target = wh[name].count(), stored(name) - before
         rows.append((position, name, source, target, "matched" if source == target else "mismatch"))
     spark = wh[names[0]].sparkSession
     return spark.createDataFrame(rows, "load_order int, table_name string, source_rows bigint, target_rows bigint, status string")
