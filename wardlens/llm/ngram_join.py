@@ -376,9 +376,9 @@ def _links(docs: DataFrame, sets: DataFrame, edges: DataFrame, total: int, words
         F.greatest(
             F.ceil(F.count("*") / UNIT_ROWS), F.ceil(F.sum("n_shingles") / UNIT_SHINGLES), F.lit(1)
         ).cast("int").alias("blocks")
-    )
+    ).where("blocks > 1")  # the few large units
     dealt = (
-        members.join(sizes, "center")
+        members.join(sizes, "center", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
