@@ -1,17 +1,20 @@
 """Wall seconds of the pipeline stages and headline queries; prints one JSON line.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_SHARED_DIR (folder for
+written stages, removed at the end; a new temporary folder by default, as the bench runs on one machine).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlens.functions.scale import remove_intermediates
 from wardlens.plans.catalog import QUERIES
 from wardlens.plans.dataset import open_fixture
 
@@ -25,7 +28,8 @@ HEADLINES = (
     "q42_multi_risk_patients", "q46_readmission_gaps", "q55_readmission_by_age_group", "q57_largest_unpaid_claims",
     "q59_los_bucket_and_paid", "historical_occupancy", "latest_snapshot", "emergency_forecast", "monthly_activity",
     "payer_summary", "doctor_performance", "latest_encounter", "risk_class", "correlation_matrix",
-    "measures_by_department", "check_primary_keys", "check_foreign_keys", "classification_metrics",
+    "measures_by_department", "check_primary_keys", "check_foreign_keys", "classification_metrics", "occupancy_models",
+    "occupancy_forecast",
 )
 
 
@@ -44,6 +48,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -60,6 +65,7 @@ def main() -> None:
         timed(f"stage_{stage}", lambda s=stage: getattr(data, s))
     for name in HEADLINES:
         timed(name, lambda n=name: drain(QUERIES[n](spark, sf_dir)))
+    remove_intermediates(spark)
     print(
         json.dumps(
             {

@@ -62,3 +62,45 @@ def test_streamed_bills_get_the_ingest_rule(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "out"))
     expected = cleaning.derive_claim_fields(source)
     assert stored.select(expected.columns).exceptAll(expected).count() == 0 and stored.count() == source.count()
+
+
+def test_part_files_in_another_order_are_refused(spark, tmp_path):
+    folder = tmp_path / readers.RAW_FILES["admissions"]
+    folder.mkdir()
+    columns = list(fixtures.dirty_admissions(spark, SF).columns)
+    for n, order in enumerate((columns, columns[::-1])):
+        (folder / f"part-{n}.csv").write_text(",".join(order) + "\n" + ",".join(f"v_{c}" for c in order) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers._extract(spark, str(folder), tuple(columns)).collect()
+
+
+def test_csv_tables_keep_leading_zeros(spark, tmp_path):
+    spark.createDataFrame([("007", 1)], "id string, n int").write.option("header", True).csv(str(tmp_path / "t.csv"))
+    assert readers.read_table(spark, str(tmp_path), "t").first() == ("007", "1")
+    typed = readers.read_table(spark, str(tmp_path), "t", spark.createDataFrame([], "id string, n int").schema)
+    assert typed.first() == ("007", 1)
+
+
+def test_appended_loads_reconcile(spark, data, tmp_path):
+    tables, sink = {"departments": data.warehouse["departments"]}, sinks.folder_sink(str(tmp_path))
+    for _ in range(2):
+        (row,) = sinks.load_in_fk_order(tables, sink, truncate=False).collect()
+        assert (row["source_rows"], row["target_rows"], row["status"]) == (8, 8, "matched")
+    assert spark.read.parquet(str(tmp_path / "departments")).count() == 16
+
+
+def test_bills_without_admission_stay(spark):
+    bill = cleaning.clean_billing(fixtures.raw_billing(spark, SF))
+    adm = cleaning.clean_admissions(fixtures.raw_admissions(spark, SF)).where("ward_type <> 'ICU'")
+    linked = cleaning.link_billing_by_encounter(bill, adm)
+    assert linked.count() == bill.count()
+    lost = linked.where("admission_id IS NULL")
+    assert lost.count() > 0 and lost.where("patient_id IS NOT NULL OR linkage_method IS NOT NULL").count() == 0
+
+
+def test_features_of_an_empty_extract(spark):
+    from wardlens.operators.features import engineer_features
+
+    adm = cleaning.clean_admissions(fixtures.raw_admissions(spark, SF)).limit(0)
+    bill = cleaning.link_billing_by_encounter(cleaning.clean_billing(fixtures.raw_billing(spark, SF)), adm)
+    assert engineer_features(adm, bill).count() == 0

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class OpsConfig:
+    # Capacity, targets and thresholds.
     bed_capacity: int = 500
     random_state: int = 42
     high_risk_threshold: float = 0.65

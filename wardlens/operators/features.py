@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardlens.config import BILLING_LABELS, DEPARTMENTS, DOCTORS_PER_DEPARTMENT, GENDERS, GOVERNED_LINK, MEDICINES
 from wardlens.functions.columns import age_band, flag, half_even, money, pick, ratio, season, stable_int
 from wardlens.functions.scale import exact_quantiles, materialize_small, order_statistics, with_order_chunks
+from wardlens.ml.models import READMISSION_FEATURES, REVENUE_FEATURES, WAITING_FEATURES
 
 VISIT_ORDER = ("patient_id", "admit_date", "admission_id")
 
@@ -272,12 +273,8 @@ def engineer_features(adm: DataFrame, bill: DataFrame, partitions: int | None =
     return with_origins(with_billing_category(priced, cuts)).select(*FEATURE_COLUMNS)
 
 
-# Features a model row may not miss, the union of the model inputs.
-REQUIRED_FEATURES = (
-    "admit_type", "charlson_index", "creatinine", "department_load", "disease_severity_score", "haemoglobin",
-    "hba1c", "is_weekend_admission", "lab_abnormality_score", "los_days", "medicine_count", "num_procedures",
-    "patient_complexity_index", "previous_admissions", "readmission_history", "season", "systolic_bp", "ward_type",
-)
+# Features a model row may not miss.
+REQUIRED_FEATURES = tuple(sorted({*READMISSION_FEATURES, *WAITING_FEATURES, *REVENUE_FEATURES}))
 
 
 def feature_checks(feat: DataFrame) -> DataFrame:
