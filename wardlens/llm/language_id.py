@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.llm.exchange import text_batches
 from wardlens.llm.shipping import ship_package
@@ -193,13 +194,13 @@ def _scorer(model: Model) -> Scorer:
     return Scorer(model)
 
 
-def _predict(shared):
+def _predict(shared, text: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared.value)
         for batch in text_batches(batches):
-            found = [scorer.predict(t.as_py()) for t in batch.column("_text")]
+            found = [scorer.predict(t.as_py()) for t in batch.column(text)]
             langs, scores = zip(*found)
-            rest = batch.drop_columns(["_text"])
+            rest = batch.drop_columns(["_text"]) if text == "_text" else batch
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*rest.schema.names, "_lang", "_score"],
@@ -214,12 +215,15 @@ def predictions(docs: DataFrame, model: Model | None, carry: list[str]) -> DataF
         return docs.select(*[F.col(f"`{c}`") for c in carry], F.lit(UNDETERMINED).alias("_lang"), F.lit(0.0).alias("_score"))
     ship_package(docs.sparkSession)
     carried = [f"_c{n}" for n in range(len(carry))]
-    read = docs.select(
-        *[F.col(f"`{c}`").alias(n) for n, c in zip(carried, carry)], F.col("`text`").alias("_text")
-    )
-    ddl = read.drop("_text").schema.add("_lang", "string").add("_score", "double")
+    read = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in zip(carried, carry)])
+    ddl = T.StructType(read.schema.fields[:]).add("_lang", "string").add("_score", "double")
+    text = dict(zip(carry, carried)).get("text", "_text")
+    if text == "_text":
+        read = docs.select(
+            *[F.col(f"`{c}`").alias(n) for n, c in zip(carried, carry)], F.col("`text`").alias("_text")
+        )
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = read.mapInArrow(_predict(shared), ddl)
+    out = read.mapInArrow(_predict(shared, text), ddl)
     return out.select(*[F.col(n).alias(c) for n, c in zip(carried, carry)], "_lang", "_score")
 
 

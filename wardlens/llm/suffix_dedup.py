@@ -249,15 +249,16 @@ def _cut(length: int, carried: Sequence[str], as_text: bool):
     def cut(docs: pa.Table, found) -> pa.Table:
         texts, out = docs.column("_text"), []
         for n, row in enumerate(zip(docs.column("_id").to_pylist(), docs.column("_key").to_pylist())):
-            text = texts[n].as_py() or b""
-            kept, spans = text, ()
+            given = texts[n].as_py()
+            text = kept = given or b""
+            spans = ()
             if row in found:
                 starts, stops = removed_spans(*found[row], length)
                 spans = list(zip(starts.tolist(), stops.tolist()))
                 edges = [0, *(x for span in spans for x in span), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
             facts = (len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
-            out.append((kept.decode("utf-8", "ignore") if as_text else kept, *facts))
+            out.append((None if given is None else kept.decode("utf-8", "ignore") if as_text else kept, *facts))
         kinds = (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         columns = list(zip(*out)) if out else [()] * 5
         return pa.Table.from_arrays(
@@ -329,7 +330,8 @@ def suffix_dedup(docs: DataFrame, length: int = MIN_LENGTH) -> DataFrame:
     out = cut_repeats(docs, ["doc_id"], length=length)
     return out.select(
         "doc_id", F.col("_bytes").alias("n_bytes"), F.col("_removed").alias("n_removed"),
-        F.col("_spans").alias("n_spans"), F.col("_sha256").alias("kept_sha256"), F.col("_kept").alias("kept"),
+        F.col("_spans").alias("n_spans"), F.col("_sha256").alias("kept_sha256"),
+        F.coalesce("_kept", F.lit(b"")).alias("kept"),
     )
 
 
@@ -338,11 +340,9 @@ def deduplicated_documents(docs: DataFrame, length: int = MIN_LENGTH) -> DataFra
 
     ``n_chars`` becomes the new length. A text that loses nothing stays as it was, null included.
     """
-    names = docs.columns
-    out = cut_repeats(docs, names, length=length, as_text=True)
+    out = cut_repeats(docs, [c for c in docs.columns if c != "text"], length=length, as_text=True)
     changed = F.col("_removed") > 0
-    new = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast(docs.schema["n_chars"].dataType)}
-    columns = [
-        (F.when(changed, new[c]).otherwise(F.col(f"`{c}`")).alias(c) if c in new else F.col(f"`{c}`")) for c in names
-    ]
+    size = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+    new = {"text": F.col("_kept"), "n_chars": F.when(changed, size).otherwise(F.col("n_chars"))}
+    columns = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
     return out.where(~changed | (F.col("_removed") < F.col("_bytes"))).select(*columns)
