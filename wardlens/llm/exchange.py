@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS_PER_PARTITION = 2
+BUCKETS_PER_PARTITION = 1
 _PRIME, _FACTOR = 2147483647, 48271
 PACKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("data", pa.binary())])
 PACKED_DDL = "kind int, bucket int, data binary"
