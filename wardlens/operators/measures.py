@@ -25,15 +25,14 @@ def _sliced_admissions(wh: Tables, by: Sequence[str]) -> DataFrame:
     return adm
 
 
-def measures(wh: Tables, by: Sequence[str] = ()) -> DataFrame:
-    """Care, finance and workload measures for any admission, department or patient slicers.
-
-    Bills are summed per admission before the join, so each admission contributes one row.
-    """
+def _money(wh: Tables) -> DataFrame:
+    """Amounts and approvals per admission: stored ones, or summed from bills and claims."""
+    if getattr(wh, "bill_sums", None) is not None:
+        return wh.bill_sums.drop("fan")
     approvals = wh["claims"].groupBy("billing_id").agg(
         F.sum("claim_approved").alias("approved"), F.count("claim_approved").alias("rated")
     )
-    money = (
+    return (
         wh["billing"]
         .select("billing_id", "admission_id", "billed_amount", "paid_amount", "claim_gap")
         .join(approvals, "billing_id", "left")
@@ -43,6 +42,14 @@ def measures(wh: Tables, by: Sequence[str] = ()) -> DataFrame:
             F.sum("approved").alias("approved"), F.sum("rated").alias("rated"),
         )
     )
+
+
+def measures(wh: Tables, by: Sequence[str] = ()) -> DataFrame:
+    """Care, finance and workload measures for any admission, department or patient slicers.
+
+    Bills are summed per admission before the join, so each admission contributes one row.
+    """
+    money = _money(wh)
     doctors = wh["doctors"].agg(F.countDistinct("doctor_id")).scalar()
     weekend = flag(F.weekday("admit_date") >= 5)
     grouped = (

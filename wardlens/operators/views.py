@@ -30,6 +30,8 @@ def _bills_per_admission(wh: Tables, with_claims: bool = False) -> DataFrame:
     ``fan`` is the number of joined rows, so weighted averages equal those over the fanned-out join,
     while a heavily billed admission never becomes a heavy join key.
     """
+    if getattr(wh, "bill_sums", None) is not None:
+        return wh.bill_sums.select("admission_id", "fan", "paid", "rated", "approved")
     bills = wh["billing"].select("billing_id", "admission_id", "paid_amount")
     if not with_claims:
         return bills.groupBy("admission_id").agg(F.count("*").alias("fan"), F.sum("paid_amount").alias("paid"))
@@ -139,7 +141,14 @@ def doctor_utilization(wh: Tables) -> DataFrame:
 
 
 def billing_claims(wh: Tables) -> DataFrame:
-    """Flat bills with payer and claim; billing and claims share the billing id, so the join is co-located."""
+    """Flat bills with payer and claim: one scan of the bills they were projected from, where these are known."""
+    names = (
+        "billing_id", "patient_id", "encounter_id", "insurance_provider", "payment_method", "claim_id",
+        "claim_billing_date", "billed_amount", "paid_amount", "claim_status", "claim_gap", "claim_approved",
+    )
+    if getattr(wh, "bill_lines", None) is not None:
+        claim = F.coalesce("claim_id", F.concat(F.lit("NOCLAIM-"), "billing_id"))
+        return wh.bill_lines.withColumn("encounter_id", F.col("admission_id")).withColumn("claim_id", claim).select(*names)
     bills = wh["billing"].alias("b")
     payers = wh["insurance"].alias("i")
     lines = wh["claims"].select("billing_id", "claim_id", "claim_status", "claim_approved")

@@ -12,10 +12,20 @@ from wardlens.functions.columns import pick, position_in
 
 
 class Warehouse(Mapping):
-    """Read-only mapping of table name to DataFrame."""
+    """Read-only mapping of table name to DataFrame.
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
+    ``bill_lines`` may hold the bills that billing, claims and insurance were projected from, and ``bill_sums`` their
+    totals per admission, stored next to the features. Views read these instead of joining the projections again;
+    they are dropped when a table they stand for is replaced.
+    """
+
+    BILL_TABLES = ("billing", "claims", "insurance")
+
+    def __init__(
+        self, tables: Mapping[str, DataFrame], bill_lines: DataFrame | None = None, bill_sums: DataFrame | None = None
+    ):
         self._tables = dict(tables)
+        self.bill_lines, self.bill_sums = bill_lines, bill_sums
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -30,7 +40,9 @@ class Warehouse(Mapping):
         return len(self._tables)
 
     def with_tables(self, extra: Mapping[str, DataFrame]) -> Warehouse:
-        return Warehouse({**self._tables, **extra})
+        if any(n in extra for n in self.BILL_TABLES):
+            return Warehouse({**self._tables, **extra})
+        return Warehouse({**self._tables, **extra}, self.bill_lines, self.bill_sums)
 
     def register(self, prefix: str = "") -> None:
         """Expose every table as a temporary view for ``spark.sql``."""
@@ -117,6 +129,18 @@ def claims(bill: DataFrame, insurance: DataFrame) -> DataFrame:
     )
 
 
+def bill_sums(bill: DataFrame) -> DataFrame:
+    """Per admission: bills, amounts and approvals, as every bill has exactly one claim line."""
+    return bill.where(F.col("admission_id").isNotNull()).groupBy("admission_id").agg(
+        F.count("*").alias("fan"),
+        F.sum("paid_amount").cast("decimal(28,2)").alias("paid"),
+        F.sum("billed_amount").alias("billed"),
+        F.sum("claim_gap").alias("gap"),
+        F.count("claim_approved").alias("rated"),
+        F.sum("claim_approved").alias("approved"),
+    )
+
+
 def appointments(adm: DataFrame) -> DataFrame:
     return adm.select(
         F.concat(F.lit("APT-"), "admission_id").alias("appointment_id"),
@@ -127,9 +151,11 @@ def appointments(adm: DataFrame) -> DataFrame:
 
 
 def build_warehouse_tables(
-    feat: DataFrame, bill: DataFrame, dimensions: Mapping[str, DataFrame] | None = None
+    feat: DataFrame, bill: DataFrame, dimensions: Mapping[str, DataFrame] | None = None,
+    sums: DataFrame | None = None,
 ) -> Warehouse:
-    """All thirteen tables. ``dimensions`` may supply already written patients, doctors and insurance."""
+    """All thirteen tables. ``dimensions`` may supply already written patients, doctors and insurance, ``sums`` the
+    written ``bill_sums`` of the same bills."""
     given = dict(dimensions or {})
     payers = given.get("insurance") or insurance(bill)
     adm = admissions(feat)
@@ -148,5 +174,7 @@ def build_warehouse_tables(
             "claims": claims(bill, payers),
             "appointments": appointments(adm),
             "model_features": feat,
-        }
+        },
+        bill_lines=bill,
+        bill_sums=sums,
     )

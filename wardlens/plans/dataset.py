@@ -19,8 +19,8 @@ from wardlens.sources import fixtures
 class HospitalData:
     """Each stage is written at most once and read back by everything that follows.
 
-    Facts are bucketed on the key their joins use: features by admission id, bills by billing id. The
-    warehouse fact tables are projections of those two tables, so joins between them need no shuffle.
+    Features and the bill totals per admission are bucketed by admission id, bills by billing id. The warehouse fact
+    tables are projections of features and bills; views take bill amounts from the totals and flat bills from one scan.
     """
 
     model_sizes = models.ModelSizes()  # of every candidate; the tests set smaller ones
@@ -52,6 +52,12 @@ class HospitalData:
         buckets = bucket_count(self.spark, self.billing_clean.count())
         return materialize_bucketed(numbered, "billing", "billing_id", buckets)
 
+    @cached_property
+    def bill_sums(self) -> DataFrame:
+        """Bill totals per admission, bucketed like the features, so views join them without a shuffle."""
+        buckets = bucket_count(self.spark, self.admissions_clean.count())
+        return materialize_bucketed(warehouse.bill_sums(self.billing_linked), "bill_sums", "admission_id", buckets)
+
     @cached_property
     def features(self) -> DataFrame:
         buckets = bucket_count(self.spark, self.admissions_clean.count())
@@ -65,7 +71,7 @@ class HospitalData:
             "doctors": materialize_small(warehouse.doctors(self.features), "doctors"),
             "insurance": self.insurance,
         }
-        return warehouse.build_warehouse_tables(self.features, self.billing_linked, written)
+        return warehouse.build_warehouse_tables(self.features, self.billing_linked, written, self.bill_sums)
 
     @cached_property
     def marts(self) -> dict[str, DataFrame]:
