@@ -6,6 +6,7 @@ import datetime as dt
 
 import pandas as pd
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
 from wardlens.functions import columns as C
@@ -189,8 +190,10 @@ def test_contracts_fail_on_damage(spark, data):
     assert {r["check"] for r in checks if r["status"] == "failed"} == {"consistency:as_of_date"}
 
 
-def test_contracts_pass_on_the_fixture(data):
-    assert {r["status"] for r in contracts.validate(data.warehouse, data.marts).collect()} == {"passed"}
+def test_contracts_pass_on_the_fixture(spark, data):
+    from wardlens.plans.catalog import QUERIES
+
+    assert {r["status"] for r in QUERIES["validate"](spark, SF).collect()} == {"passed"}
 
 
 def test_fingerprint_ignores_order_and_sees_changes(spark):
