@@ -8,7 +8,6 @@ where the operator allows it, so a key shared by a third of all rows costs its b
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -16,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlens.functions.scale import materialize
+
 BUCKETS_PER_PARTITION = 1
 _PRIME, _FACTOR = 2147483647, 48271
 PACKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("data", pa.binary())])
@@ -102,10 +103,15 @@ def first_of_runs(sorted_keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are no longer referenced (it does so at a collection)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, after which Spark deletes the shuffle files of the write at once instead of some time later."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(key, before)
 
 
 def text_batches(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,6 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +29,7 @@ from pyspark.sql import types as T
 
 from wardlens.llm.exchange import text_batches
 from wardlens.llm.shipping import ship_package
+from wardlens.llm.task_cache import held
 
 FOLDS = 5
 SAMPLE_ROWS = 4000
@@ -189,14 +189,9 @@ class Scorer:
         return self.model.languages[best], float(odds[best] / odds.sum())
 
 
-@lru_cache(maxsize=1)
-def _scorer(model: Model) -> Scorer:
-    return Scorer(model)
-
-
 def _predict(shared, text: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared.value)
+        scorer = held(shared.value, Scorer)
         for batch in text_batches(batches):
             found = [scorer.predict(t.as_py()) for t in batch.column(text)]
             langs, scores = zip(*found)

@@ -29,7 +29,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.scale import materialize
 from wardlens.llm.components import component_roots
 from wardlens.llm.exchange import (
     PACKED_DDL,
@@ -37,12 +36,13 @@ from wardlens.llm.exchange import (
     bucket_total,
     by_bucket,
     first_of_runs,
+    id_bucket,
     packed_rows,
     packed_tables,
-    release,
     tables_of,
     text_batches,
     unpacked,
+    written,
 )
 from wardlens.llm.hashing import U64, set_digest, shingle_set
 from wardlens.llm.shipping import ship_package
@@ -158,11 +158,20 @@ def _route(total: int):
 _EDGES = pa.schema([("center", pa.int64()), ("node", pa.int64())])
 
 
-def _units(table: pa.Table) -> pa.Table:
-    """(center, row): holders of a shingle that has several, under the smallest of them.
+def _units(total: int):
+    """(center, row), packed by row bucket: holders of a shingle that has several, under the smallest of them.
 
     Equal sets hold the same shingles, so the smallest holder is always its class's representative.
     """
+
+    def run(table: pa.Table) -> pa.Table:
+        pairs = _held_pairs(table)
+        return packed_rows(by_bucket(0, id_bucket(pairs[:, 1], total), (pairs[:, 0], pairs[:, 1])))
+
+    return run
+
+
+def _held_pairs(table: pa.Table) -> np.ndarray:
     shingle, node = unpacked(table.column("data").to_pylist(), ("u8", "i8"))
     order = np.lexsort((node, shingle))
     shingle, node = shingle[order], node[order]
@@ -170,7 +179,13 @@ def _units(table: pa.Table) -> pa.Table:
     run = np.cumsum(first) - 1
     several = np.bincount(run, minlength=1)[run] > 1 if len(run) else np.zeros(0, bool)
     center = node[first][run] if len(run) else node
-    pairs = np.unique(np.stack([center[several], node[several]], axis=1), axis=0)
+    return np.unique(np.stack([center[several], node[several]], axis=1), axis=0)
+
+
+def _distinct_units(table: pa.Table) -> pa.Table:
+    """A set shares many shingles with its center, in many buckets; each pair stays once."""
+    pairs = np.stack(unpacked(table.column("data").to_pylist(), ("i8", "i8")), axis=1)
+    pairs = np.unique(pairs, axis=0)
     return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_EDGES)
 
 
@@ -337,22 +352,19 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     keyed = _keyed(docs)
     totals = group_totals(keyed.select("_text"), words)
     described = keyed.mapInArrow(_describe(words, percent, totals), _SETS_DDL)
-    sets = materialize(described.withColumn("row", F.monotonically_increasing_id()), "sets")
+    sets = written(described.withColumn("row", F.monotonically_increasing_id()), "sets")
 
     classes = sets.where("n_shingles > 0").groupBy("s1", "s2").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("least"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("front"),
     )
-    classes = materialize(classes, "classes")
+    classes = written(classes, "classes")
     routed = sets.where("n_shingles > 0").select("row", "s1", "s2", "route")
-    held = routed.mapInArrow(_route(total), PACKED_DDL).groupBy("bucket").applyInArrow(
-        _units, "center long, node long"
-    )
-    edges = materialize(held.distinct().join(classes.select("node"), "node", "left_semi"), "units")
-    release(spark)
+    held = routed.mapInArrow(_route(total), PACKED_DDL).groupBy("bucket").applyInArrow(_units(total), PACKED_DDL)
+    pairs = held.groupBy("bucket").applyInArrow(_distinct_units, "center long, node long")
+    edges = written(pairs.join(classes.select("node"), "node", "left_semi").select("center", "node"), "units")
 
-    links = materialize(_links(docs, sets, edges, total, words, percent), "links")
-    release(spark)
+    links = written(_links(docs, sets, edges, total, words, percent), "links")
     roots = component_roots(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
     placed = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     components = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.min("front").alias("front"))
@@ -390,7 +402,7 @@ def _links(docs: DataFrame, sets: DataFrame, edges: DataFrame, total: int, words
     pruned = dealt.select("*", unit).groupBy("bucket").applyInArrow(
         _prune(percent), "center long, low int, high int, node long, n_shingles long, block int"
     )
-    pruned = materialize(pruned, "pruned")
+    pruned = written(pruned, "pruned")
     wanted = pruned.select("*", unit).join(
         sets.select(F.col("row").alias("node"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "node"
     )

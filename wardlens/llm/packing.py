@@ -22,16 +22,15 @@ import random
 import struct
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlens.functions.scale import materialize
-from wardlens.llm.exchange import bucket_total, release, text_batches
+from wardlens.llm.exchange import bucket_total, text_batches, written
 from wardlens.llm.pretokens import PreTokens, Rules, merged, prove_rules
 from wardlens.llm.shipping import ship_package
+from wardlens.llm.task_cache import held
 
 CAPACITY = 2048
 END_ID = 0
@@ -71,11 +70,6 @@ class Encoder:
         return b"".join(parts)
 
 
-@lru_cache(maxsize=1)
-def _encoder(rules: Rules) -> Encoder:
-    return Encoder(rules)
-
-
 def cuts(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: a shorter first one if needed, then full ones."""
     first = length % capacity
@@ -88,7 +82,7 @@ def _tokenise(shared, capacity: int):
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
+        encoder = held(shared.value, Encoder)
         for batch in text_batches(batches):
             out = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -248,7 +242,7 @@ def _pack_level(items: DataFrame, capacity: int, level: int, shards: int) -> Dat
     problems = items.groupBy(F.pmod(F.xxhash64(F.lit(level), "uid"), F.lit(shards)).alias("shard")).agg(
         member.alias("members")
     )
-    problems = materialize(
+    problems = written(
         problems.select("shard", F.col("members.uid").alias("uids"), F.col("members.length").cast("array<int>").alias("lengths")),
         "shards",
     )
@@ -268,7 +262,7 @@ def _pack_level(items: DataFrame, capacity: int, level: int, shards: int) -> Dat
         evolved = inhabited.repartition(tasks, "shard", "island").mapInArrow(
             _evolve(capacity, epoch, level), _ELITE_DDL
         )
-        elites = materialize(evolved, "elites")
+        elites = written(evolved, "elites")
     best = elites.groupBy("shard").agg(
         F.max_by("numbers", F.struct("bins", "squares", -F.col("island"), -F.col("rank"))).alias("numbers")
     )
@@ -283,10 +277,10 @@ def pack_pieces(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     done, level, count = None, 0, items.count()
     while count:
         shards = -(-count // SHARD)
-        packed = materialize(_pack_level(items, capacity, level, shards), "packed")
+        packed = written(_pack_level(items, capacity, level, shards), "packed")
         fills = packed.groupBy("shard", "bin").agg(F.sum("length").alias("fill"))
         loose = fills.where(F.col("fill") < DENSE * capacity).select("shard", "bin")
-        again = materialize(packed.join(loose, ["shard", "bin"], "left_semi").select("uid", "length"), "loose")
+        again = written(packed.join(loose, ["shard", "bin"], "left_semi").select("uid", "length"), "loose")
         left = again.count()
         last = shards == 1 or left > count // 2 or left == 0
         final = packed if last else packed.join(again.select("uid"), "uid", "left_anti")
@@ -312,7 +306,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPAC
         shared = spark.sparkContext.broadcast(prove_rules(file.read()))
     read = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").alias("text"))
     pieces = read.mapInArrow(_tokenise(shared, capacity), _PIECES_DDL)
-    return materialize(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    return written(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
@@ -323,5 +317,4 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACIT
     )
     open_pieces = pieces.where(F.col("length") < capacity)
     placed = pack_pieces(open_pieces.select("uid", "length"), capacity)
-    release(docs.sparkSession)
     return full.unionByName(open_pieces.join(placed, "uid")).drop("uid")

@@ -34,7 +34,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.functions.scale import materialize
 from wardlens.llm.exchange import (
     PACKED,
     PACKED_DDL,
@@ -46,10 +45,10 @@ from wardlens.llm.exchange import (
     id_bucket_column,
     packed_rows,
     packed_tables,
-    release,
     tables_of,
     text_batches,
     unpacked,
+    written,
 )
 from wardlens.llm.hashing import U64, Windows
 from wardlens.llm.shipping import ship_package
@@ -301,18 +300,16 @@ def cut_repeats(
     rows = read.select("_id", "_key", "_text", "bucket")
 
     ranked = rows.drop("bucket").mapInArrow(_rank_anchors(length, total), PACKED_DDL)
-    judged = materialize(
+    judged = written(
         ranked.groupBy("kind", "bucket").applyInArrow(_judge_stretches(total), PACKED_DDL), "stretches"
     )
-    release(spark)
     texts = rows.mapInArrow(packed_tables(DOCS), PACKED_DDL)
     windows = texts.unionByName(judged.where(F.col("kind") == PROBE)).groupBy("bucket").applyInArrow(
         _rank_windows(length, total), PACKED_DDL
     )
-    singles = materialize(
+    singles = written(
         windows.groupBy("kind", "bucket").applyInArrow(_judge_windows(total), PACKED_DDL), "windows"
     )
-    release(spark)
     matches = judged.where(F.col("kind") == MATCH).unionByName(singles)
     carried = [f"_c{n}" for n in range(len(carry))]
     kinds = (T.StringType() if as_text else T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.StringType())

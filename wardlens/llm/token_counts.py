@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from wardlens.llm.exchange import text_batches
 from wardlens.llm.pretokens import PreTokens, Rules, Splitter, merged, prove_rules
 from wardlens.llm.shipping import ship_package
+from wardlens.llm.task_cache import held
 
 TOKEN_LIMIT = 2048
 MEMO = 400_000
@@ -96,14 +96,9 @@ class Counter:
         return totals
 
 
-@lru_cache(maxsize=1)
-def _counter(setup: Counting) -> Counter:
-    return Counter(setup)
-
-
 def _count(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(shared.value)
+        counter = held(shared.value, Counter)
         for batch in text_batches(batches):
             texts = batch.column("_text").to_pylist()
             yield pa.RecordBatch.from_arrays(
