@@ -6,10 +6,11 @@ from itertools import combinations
 
 import edge
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
-from wardlens.llm import components, ngram_join
+from wardlens.llm import components, exchange, ngram_join
 
 
 def shingles(text):
@@ -81,6 +82,39 @@ def test_edges(spark):
     assert result(edge.empty(spark)) == []
 
 
+def test_links_of_copies_whose_files_are_not_read_in_row_order(spark):
+    """Later partitions make larger files, which Spark reads first when it packs several into one partition."""
+    rng, parts = random.Random(11), 64
+    rows = [[] for _ in range(parts)]
+    for at in range(parts - 8):
+        one = family(1, rng)[0]
+        other = one.replace(one.split()[40], "changed", 1)
+        for text in (one, other):
+            for part in range(at, at + 8):
+                rows[part].append(text)
+    for at, texts in enumerate(rows):
+        texts += [""] * (16 - len(texts)) + [edge.sentence(rng, 30 * at + 1, "mnopq")]
+    data = [(n * 37 % 1088, t) for n, t in enumerate(t for texts in rows for t in texts)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(data, parts), "doc_id long, text string")
+    assert docs.rdd.getNumPartitions() == parts > spark.sparkContext.defaultParallelism
+    got = result(docs)
+    classes = {}
+    for i, t in data:
+        classes.setdefault(t, []).append(i)
+    links = brute([(min(ids), t) for t, ids in classes.items()])
+    least = {i: c for i, _, c in links}
+    want = sorted((str(i), len(shingles(t)), least[str(min(classes[t]))] if t else str(i)) for i, t in data)
+    assert got == want
+
+
+def test_routing_keeps_the_smallest_row_of_equal_sets():
+    batch = pa.RecordBatch.from_pydict({
+        "row": [1 << 33, 5, 7], "s1": [1, 1, 2], "s2": [3, 3, 3], "route": [np.array([9], "u8").tobytes()] * 3,
+    })
+    blobs = [b for out in ngram_join._route(1)([batch]) for b in out.column("data").to_pylist()]
+    assert exchange.unpacked(blobs, ("u8", "i8"))[1].tolist() == [5, 7]
+
+
 def test_one_document_of_each_component_stays(spark):
     docs = edge.documents(spark)
     out = ngram_join.one_per_component(docs)

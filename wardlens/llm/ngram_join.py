@@ -137,14 +137,18 @@ def _describe(words: int, percent: int, totals: np.ndarray):
 
 
 def _route(total: int):
-    """(shingle, row) entries, packed by shingle bucket; of equal sets in a batch only the first row's."""
+    """(shingle, row) entries, packed by shingle bucket; of equal sets in a batch only the smallest row's.
+
+    A batch need not be in row order, and the class's representative, its smallest row, must be routed.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
-            firsts: dict[tuple[int, int], tuple[int, bytes]] = {}
+            least: dict[tuple[int, int], tuple[int, bytes]] = {}
             for row, a, b, route in zip(*(batch.column(c).to_pylist() for c in ("row", "s1", "s2", "route"))):
-                firsts.setdefault((a, b), (row, route))
-            rows, routes = zip(*sorted(firsts.values()))
+                if (a, b) not in least or row < least[a, b][0]:
+                    least[a, b] = row, route
+            rows, routes = zip(*sorted(least.values()))
             routes = [np.frombuffer(r, U64) for r in routes]
             shingle = np.concatenate(routes)
             node = np.repeat(np.array(rows, "i8"), [len(r) for r in routes])
