@@ -92,6 +92,22 @@ def test_shards_are_consolidated(spark, monkeypatch, shard):
     assert check_layout(placed, 100) <= best_fit + (0 if shard > 300 else 4)
 
 
+def test_shards_of_loose_bins_are_consolidated_too(spark, monkeypatch):
+    """Pieces above half of the capacity leave most bins loose, and small ones gather in few shards' last bins."""
+    monkeypatch.setattr(packing, "SHARD", 40)
+    levels, pack_level = [], packing._pack_level
+    monkeypatch.setattr(packing, "_pack_level", lambda i, c, n, shards: levels.append(shards) or pack_level(i, c, n, shards))
+    rng = random.Random(12)
+    sizes = [rng.randint(55, 90) if n % 3 else rng.randint(1, 50) for n in range(480)]
+    items = spark.createDataFrame(list(enumerate(sizes)), "uid long, length long")
+    placed = packing.pack_pieces(items, 100).join(items, "uid").collect()
+    assert sorted(r.uid for r in placed) == list(range(480))
+    assert levels == sorted(set(levels), reverse=True) and levels[0] == 12 and levels[-1] == 1
+    best_fit = len(packing.Island(sizes, 100, 0).best_fit(sorted(range(480), key=lambda i: -sizes[i])))
+    print("sequences", check_layout(placed, 100), "best fit", best_fit, levels)
+    assert check_layout(placed, 100) <= best_fit + 4
+
+
 def test_crossover_keeps_every_piece_once_and_whole_donor_bins():
     rng = random.Random(2)
     island = packing.Island([rng.randint(1, 60) for _ in range(80)], 100, 1)

@@ -8,8 +8,8 @@
    piece twice are dissolved, and the displaced pieces are placed by best fit, longest first. Mutation dissolves the
    emptiest bins. Fewer bins win, then the larger sum of squared fills.
 4. After each of ``EPOCHS`` epochs an island's best packings move to the next island of the ring, as rows of a join.
-5. Bins of the best packing below ``DENSE`` of the capacity are dissolved and dealt to fewer shards, until one shard is left, so
-   the shards' last bins are filled across shards.
+5. Bins of the best packing below ``DENSE`` of the capacity, the emptiest first and with at most half of the pieces, are
+   dissolved and dealt to fewer shards, until one shard is left, so the shards' last bins are filled across shards.
 
 Cases: null and empty texts have no own token, just the end id; rows that repeat an id or a text are packed each; a document of
 exactly the capacity is not cut; other columns are ignored; an empty table gives an empty result. Equal
@@ -272,23 +272,44 @@ def _pack_level(items: DataFrame, capacity: int, level: int, shards: int) -> Dat
     )
 
 
+def _emptiest(packed: DataFrame, capacity: int, level: int, room: int) -> DataFrame:
+    """(shard, bin) of the emptiest bins below ``DENSE`` that hold about ``room`` pieces at most.
+
+    Of the bins of the last fill that has room a part is drawn by hash.
+    """
+    fills = packed.groupBy("shard", "bin").agg(F.sum("length").alias("fill"), F.count("*").alias("pieces"))
+    fills = fills.where(F.col("fill") < DENSE * capacity)
+    parts = 1 << 20
+    for row in fills.groupBy("fill").agg(F.sum("pieces").alias("pieces")).orderBy("fill").collect():
+        if row["pieces"] > room:
+            number = F.pmod(F.xxhash64(F.lit(level), "shard", "bin"), F.lit(parts))
+            drawn = (F.col("fill") < row["fill"]) | (
+                (F.col("fill") == row["fill"]) & (number < parts * room // row["pieces"])
+            )
+            break
+        room -= row["pieces"]
+    else:
+        drawn = F.lit(True)
+    return fills.where(drawn).select("shard", "bin")
+
+
 def pack_pieces(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(uid, sequence_id, offset) for pieces (uid, length) shorter than the capacity; sequence ids are odd."""
     done, level, count = None, 0, items.count()
+    shards = -(-count // SHARD)
     while count:
-        shards = -(-count // SHARD)
         packed = written(_pack_level(items, capacity, level, shards), "packed")
-        fills = packed.groupBy("shard", "bin").agg(F.sum("length").alias("fill"))
-        loose = fills.where(F.col("fill") < DENSE * capacity).select("shard", "bin")
+        loose = _emptiest(packed, capacity, level, count // 2)
         again = written(packed.join(loose, ["shard", "bin"], "left_semi").select("uid", "length"), "loose")
         left = again.count()
-        last = shards == 1 or left > count // 2 or left == 0
+        last = shards == 1 or left == 0
         final = packed if last else packed.join(again.select("uid"), "uid", "left_anti")
         final = final.withColumn("level", F.lit(level).cast("long"))
         done = final if done is None else done.unionByName(final)
         if last:
             break
         items, count, level = again, left, level + 1
+        shards = min(-(-count // SHARD), shards - 1)
     if done is None:
         return items.select("uid", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     before = Window.partitionBy("level", "shard", "bin").orderBy(F.desc("length"), "uid").rowsBetween(
