@@ -123,6 +123,19 @@ def test_one_document_of_each_component_stays(spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == sorted(want)
 
 
+def test_repeated_ids_and_texts_leave_one_row_and_wordless_rows_stay(spark):
+    words = "seven words that make a whole text"
+    data = [(1, words, "a"), (1, words, "b"), (1, words, "b"), (2, words, "c"), (3, "other words of a single row", "a")]
+    data += [(4, "", "a"), (4, "", "a"), (5, None, "a"), (5, None, "a"), (None, " ", "a"), (None, " ", "a")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)
+    out = ngram_join.one_per_component(docs)
+    assert out.columns == docs.columns
+    want = [data[0], *data[4:]]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    clashing = edge.documents(spark, repeat=True, null_id=True)
+    assert ngram_join.one_per_component(clashing.where("doc_id is null")).count() == 3
+
+
 def test_tree_bounds_never_rule_out_a_link():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 300).astype("u8")

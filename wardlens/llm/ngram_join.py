@@ -425,11 +425,26 @@ def ngram_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
 
 
 def one_per_component(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents of the smallest id of each component, in their own columns; texts without a word all stay."""
-    kept = jaccard_components(docs, words, percent).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+    """One document of the smallest id of each component, in its own columns; texts without a word all stay.
+
+    Of rows that repeat id and text the smallest in all columns stays.
+    """
+    found = jaccard_components(docs, words, percent)
+    keys = written(
+        found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
+            F.max("kept").alias("kept"), ((F.max("n_shingles") > 0) & (F.count("*") > 1)).alias("several")
+        ).where("kept"),
+        "kept",
     )
-    keys = [F.col("`doc_id`").cast("long").eqNullSafe(kept["_id"]), F.xxhash64(F.col("`text`")) == kept["_key"]]
-    out = docs.join(kept, keys[0] & keys[1], "left_semi")
-    repeats = docs.groupBy("doc_id").count().where("count > 1")
-    return out if repeats.isEmpty() else out.dropDuplicates()
+    own_id, own_key = F.col("`doc_id`").cast("long"), F.xxhash64(F.col("`text`"))
+
+    def held(keys: DataFrame) -> DataFrame:
+        return docs.join(keys, own_id.eqNullSafe(keys["_id"]) & (own_key == keys["_key"]), "left_semi")
+
+    several = keys.where("several").select("_id", "_key")
+    if several.isEmpty():
+        return held(keys.select("_id", "_key"))
+    fields = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(docs.columns)]
+    least = held(several).groupBy(own_id.alias("_id"), own_key.alias("_key")).agg(F.min(F.struct(*fields)).alias("row"))
+    once = least.select(*[F.col(f"row.c{n}").alias(c) for n, c in enumerate(docs.columns)])
+    return held(keys.where("not several").select("_id", "_key")).union(once)
