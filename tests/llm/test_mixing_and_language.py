@@ -90,6 +90,13 @@ def test_language_edges(spark):
     assert {(r.lang_pred, r.score) for r in language_id.identify_languages(unlabelled).collect()} == {("und", 0.0)}
 
 
+def test_a_table_that_teaches_no_language_is_refused_instead_of_dropped(spark):
+    unlabelled = edge.documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="no labelled document"):
+        language_id.with_known_language(unlabelled)
+    assert language_id.with_known_language(unlabelled.where("text is null or text = ''")).count() == 0
+
+
 def test_back_off_goes_from_words_to_shorter_ngrams():
     import numpy as np
 

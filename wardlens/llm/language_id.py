@@ -232,6 +232,12 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 
 
 def with_known_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told, in their own columns."""
-    out = predictions(docs, train(docs), docs.columns)
+    """The documents whose language can be told, in their own columns.
+
+    Without a labelled row to learn from no verdict is possible: a table with letters then raises an error.
+    """
+    model = train(docs)
+    if model is None and not docs.where(F.col("`text`").rlike(r"\p{L}")).isEmpty():
+        raise ValueError("no labelled document to learn languages from")
+    out = predictions(docs, model, docs.columns)
     return out.where(F.col("_lang") != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
