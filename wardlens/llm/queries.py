@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlens.llm import (
     arc_to_warc,
+    decontamination,
     exact_topk,
     importance_resampling,
     language_id,
@@ -17,7 +18,9 @@ from wardlens.llm import (
     ngram_join,
     packing,
     quality_rules,
+    spelling_variants,
     suffix_dedup,
+    token_alignment,
     token_counts,
 )
 
@@ -69,6 +72,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"), first, second)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_importance_resampling": op2_importance_resampling,
@@ -80,4 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_source_mix": op8_source_mix,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_decontamination": op13_decontamination,
 }
