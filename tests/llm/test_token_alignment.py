@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -135,8 +136,16 @@ def test_units_equal_the_libraries(monkeypatch):
 @pytest.mark.parametrize("few", [0, 64])
 def test_groups_of_many_links(monkeypatch, few):
     monkeypatch.setattr(token_alignment, "FEW", few)
-    found = token_alignment.align([5, 5, 7, 5], [1, 2, 1], [1, 1, 1, 1], [1, 1, 2])
-    pairs = found.pairs if isinstance(found.pairs, dict) else dict(zip(*(c.tolist() for c in found.pairs)))
     s = token_alignment.SECOND
-    assert found.groups == "5|1;5|2;7,5|1" and found.n_links == 4
-    assert pairs == {5 * s + 1: 2, 5 * s + 2: 1, 7 * s + 1: 1}
+
+    def align(a, b, a_sizes, b_sizes, ends):
+        ids = np.array(a), np.array(b)
+        return token_alignment.align(*ids, np.cumsum(a_sizes), np.cumsum(b_sizes), np.array(ends))
+
+    found = align([5, 5, 7, 5, 6], [1, 2, 4, 1, 3], [1] * 5, [1] * 5, [4, 5])
+    assert found.groups == ["5|1;5|2;7|4;5|1", "6|3"] and found.n_links.tolist() == [4, 1]
+    assert found.pairs.tolist() == [5 * s + 1, 5 * s + 2, 7 * s + 4, 6 * s + 3] and found.links.tolist() == [2, 1, 1, 1]
+    wide = align([5, 5, 7], [1, 2], [1, 1, 2], [3, 1], [4])
+    assert wide.groups == ["5,5,7|1,2"] and wide.n_links.tolist() == [6]
+    assert dict(zip(wide.pairs.tolist(), wide.links.tolist())) == {5 * s + 1: 2, 5 * s + 2: 2, 7 * s + 1: 1, 7 * s + 2: 1}
+    assert align([5, 7], [1, 2], [1, 3], [2, 2], [2, 4]) is None

@@ -21,6 +21,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
 import itertools
@@ -49,6 +50,7 @@ RADIX = 64  # partitions by the lowest bits of the first tokenizer's id
 BLOCK_IDS = 4096  # first ids of a block, the part of a run that the heap merges at once
 UNIT = 8_000_000  # records of a unit
 MEMO = 300_000  # units of text remembered
+JOINED = 256  # units encoded at once
 MEMO_LENGTH = 64  # characters of a remembered unit
 SECOND = 1 << 20  # a pair is first id * SECOND + second id
 DOC_BITS = 20  # of a document's number in its batch
@@ -79,59 +81,71 @@ def read_setup(first_file: str, second_file: str) -> Setup:
     return Setup(first, second, not any("▁" in p.lstrip("▁") for p in pieces))
 
 
+def _summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    starts = np.flatnonzero(first_of_runs(pairs)) if len(pairs) else np.empty(0, np.int64)
+    return pairs[starts], np.add.reduceat(n[order], starts) if len(starts) else n
+
+
 @dataclass
 class Aligned:
-    """One piece of text in both tokenizers: its tokens, groups and links, and how often each pair is linked."""
+    """Some pieces of text in both tokenizers: per piece its tokens, groups and links, and how often each pair is linked."""
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
-    pairs: dict[int, int] | tuple[np.ndarray, np.ndarray]
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups: list[str]
+    stops: np.ndarray  # of each piece's pairs
+    pairs: np.ndarray
+    links: np.ndarray
 
 
 FEW = 64  # links of a group that are listed one by one
 
 
-def align(a: Sequence[int], b: Sequence[int], a_sizes: Sequence[int], b_sizes: Sequence[int]) -> Aligned:
-    """Groups and links of two token sequences over the same bytes."""
-    groups, total = [], 0
-    pairs: dict[int, int] = {}
-    many: list[tuple[np.ndarray, np.ndarray]] = []
-    i = j = k = m = a_end = b_end = 0
-    while k < len(a):
-        a_end += a_sizes[k]
-        k += 1
-        while b_end < a_end:
-            b_end += b_sizes[m]
-            m += 1
-        if a_end != b_end:
-            continue
-        x, y = a[i:k], b[j:m]
-        i, j = k, m
-        total += len(x) * len(y)
-        groups.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-        if len(x) * len(y) <= FEW:
-            for p in x:
-                for q in y:
-                    pair = p * SECOND + q
-                    pairs[pair] = pairs.get(pair, 0) + 1
-        else:
-            (p, n), (q, o) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
-            many.append(((p[:, None].astype(np.int64) * SECOND + q).ravel(), (n[:, None].astype(np.int64) * o).ravel()))
-    found: dict[int, int] | tuple[np.ndarray, np.ndarray] = pairs
-    if many:
-        few = (np.fromiter(pairs.keys(), np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs)))
-        found = _summed(*(np.concatenate([c[k] for c in (few, *many)]) for k in (0, 1)))
-    return Aligned(len(a), len(b), len(groups), total, ";".join(groups), found)
-
-
-def _summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(pairs, kind="stable")
-    pairs = pairs[order]
-    starts = np.flatnonzero(first_of_runs(pairs)) if len(pairs) else np.empty(0, np.int64)
-    return pairs[starts], np.add.reduceat(n[order], starts) if len(starts) else n
+def align(a_ids: np.ndarray, b_ids: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, ends: np.ndarray) -> Aligned | None:
+    """Groups and links of pieces one after the other. All ``ends`` are in bytes; none if a piece ends inside a token."""
+    a_stops, b_stops = np.searchsorted(a_ends, ends, side="right"), np.searchsorted(b_ends, ends, side="right")
+    if not ((a_ends[a_stops - 1] == ends).all() and (b_ends[b_stops - 1] == ends).all()):
+        return None
+    n_a, n_b = np.diff(a_stops, prepend=0), np.diff(b_stops, prepend=0)
+    cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    per_a, per_b = (np.bincount(np.searchsorted(cuts, ends), minlength=len(cuts)) for ends in (a_ends, b_ends))
+    first_a, first_b = np.cumsum(per_a) - per_a, np.cumsum(per_b) - per_b
+    piece = np.repeat(np.arange(len(ends)), n_a)[first_a]  # of each group
+    starts = np.searchsorted(piece, np.arange(len(ends)))
+    total = per_a * per_b
+
+    few = np.flatnonzero(total <= FEW)
+    group = np.repeat(few, total[few])
+    at = np.arange(len(group)) - np.repeat(np.cumsum(total[few]) - total[few], total[few])
+    pair = a_ids[first_a[group] + at // per_b[group]] * SECOND + b_ids[first_b[group] + at % per_b[group]]
+    owners, pairs, links = [piece[group]], [pair], [np.ones(len(pair), np.int64)]
+    for g in np.flatnonzero(total > FEW).tolist():
+        (x, n), (y, o) = (
+            np.unique(ids[first[g] : first[g] + per[g]], return_counts=True)
+            for ids, first, per in ((a_ids, first_a, per_a), (b_ids, first_b, per_b))
+        )
+        owners.append(np.full(len(x) * len(y), piece[g]))
+        pairs.append((x[:, None] * SECOND + y).ravel())
+        links.append((n[:, None] * o).ravel())
+    owner, pair, n = np.concatenate(owners), np.concatenate(pairs), np.concatenate(links)
+    order = np.lexsort((pair, owner))
+    owner, pair, n = owner[order], pair[order], n[order]
+    new = np.flatnonzero(first_of_runs(owner) | first_of_runs(pair)) if len(pair) else np.empty(0, np.int64)
+    a_names, b_names = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
+    strings = [
+        f"{a_names[i]}|{b_names[j]}" if x == y == 1 else f"{','.join(a_names[i : i + x])}|{','.join(b_names[j : j + y])}"
+        for i, j, x, y in zip(first_a.tolist(), first_b.tolist(), per_a.tolist(), per_b.tolist())
+    ]
+    stops = np.append(starts[1:], len(piece))
+    return Aligned(
+        n_a, n_b, stops - starts, np.add.reduceat(total, starts) if len(starts) else total,
+        [";".join(strings[i:j]) for i, j in zip(starts.tolist(), stops.tolist())],
+        np.searchsorted(owner[new], np.arange(len(ends)), side="right"), pair[new], np.add.reduceat(n, new) if len(new) else n,
+    )
 
 
 class Units:
@@ -145,18 +159,16 @@ class Units:
         self.pairs, self.links = array("q"), array("q")
         self.groups: list[str] = []
 
-    def add(self, unit: Aligned) -> int:
+    def add(self, found: Aligned) -> int:
+        """Append units; the number of the first one."""
+        first = len(self.groups)
         for name, column in self.columns.items():
-            column.append(getattr(unit, name))
-        if isinstance(unit.pairs, dict):
-            self.pairs.extend(unit.pairs.keys())
-            self.links.extend(unit.pairs.values())
-        else:
-            self.pairs.frombytes(unit.pairs[0].tobytes())
-            self.links.frombytes(unit.pairs[1].tobytes())
-        self.stops.append(len(self.pairs))
-        self.groups.append(unit.groups)
-        return len(self.groups) - 1
+            column.frombytes(getattr(found, name).astype(np.int64).tobytes())
+        self.stops.frombytes((found.stops + len(self.pairs)).astype(np.int64).tobytes())
+        self.pairs.frombytes(found.pairs.tobytes())
+        self.links.frombytes(found.links.tobytes())
+        self.groups += found.groups
+        return first
 
     def keep(self, size: int) -> None:
         for column in self.columns.values():
@@ -186,8 +198,9 @@ class Aligner:
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_proto=setup.second)
         letters = _byte_letters()
-        self.a_bytes: dict[int, bytes] = {}
-        for token, i in self.first.get_vocab(with_added_tokens=True).items():
+        vocabulary = self.first.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
             known = all(c in letters for c in token)
             self.a_bytes[i] = bytes(letters[c] for c in token) if known else token.encode()
         self.b_bytes: list[bytes] = []
@@ -195,22 +208,47 @@ class Aligner:
             piece = self.second.id_to_piece(i)
             byte = re.fullmatch("<0x([0-9A-F]{2})>", piece) if self.second.is_byte(i) else None
             self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
+        self.a_sizes, self.b_sizes = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.a_bytes, self.b_bytes))
         self.cut_inside = setup.cut_inside
         self.regular = re.compile(f"[{REGULAR}](?:.*[{REGULAR}])?", re.DOTALL).fullmatch
-        self.known: dict[str, int] = {}  # only units without a space between two regular characters
+        self.known: dict[str, int] = {}  # between batches, only units without a space between two regular characters
         self.units = Units()
 
-    def whole(self, texts: list[str]) -> Iterator[Aligned | None]:
-        """Texts with a space before them, in one piece each; none where a tokenizer does not reproduce the bytes."""
+    def add(self, pieces: list[str], joined: int = 1) -> list[int]:
+        """Pieces aligned with a space before each; -1 where a tokenizer does not reproduce the bytes.
+
+        Pieces between which the text may be cut can be encoded ``joined``, so many at a time; where that does not work
+        out, they are encoded one by one.
+        """
+        chunks = [pieces[k : k + joined] for k in range(0, len(pieces), joined)]
+        if not chunks:
+            return []
+        texts = [" ".join(c) for c in chunks]
         firsts = self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         seconds = self.second.encode(texts, num_threads=1)
-        for text, x, b in zip(texts, firsts, seconds):
-            data, a = (" " + text).encode(), x.ids
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_parts) != data or b"".join(b_parts) != data:
-                yield None
+        good: list[list[str]] = []
+        a: list[int] = []
+        b: list[int] = []
+        out: dict[int, list[int]] = {}
+        for k, (chunk, text, first, y) in enumerate(zip(chunks, texts, firsts, seconds)):
+            x, data = first.ids, (" " + text).encode()
+            if data == b"".join(map(self.a_bytes.__getitem__, x)) == b"".join(map(self.b_bytes.__getitem__, y)):
+                good.append(chunk)
+                a += x
+                b += y
             else:
-                yield align(a, b, list(map(len, a_parts)), list(map(len, b_parts)))
+                out[k] = self.add(chunk) if len(chunk) > 1 else [-1]
+        if good:
+            a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
+            sizes = np.fromiter((len(p.encode()) + 1 for c in good for p in c), np.int64, sum(map(len, good)))
+            found = align(a_ids, b_ids, np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids]), np.cumsum(sizes))
+            if found is None:
+                return self.add(pieces)
+            first_number = self.units.add(found)
+            if not out:
+                return list(range(first_number, len(self.units.groups)))
+            numbers = iter(range(first_number, len(self.units.groups)))
+        return [n for k, c in enumerate(chunks) for n in (out[k] if k in out else itertools.islice(numbers, len(c)))]
 
     def cut(self, text: str) -> list[str]:
         """The text cut at single spaces between two regular characters."""
@@ -226,44 +264,47 @@ class Aligner:
             open_end = bool(part and regular(part[-1]))
         return out
 
-    def _split(self, text: str, new: dict[str, None]) -> list[str]:
-        """The units of a text; unknown ones are added to ``new``."""
-        parts = text.split(" ")
-        missing = [p for p in parts if p not in self.known] if self.cut_inside else parts
-        if self.cut_inside and all(map(self.regular, missing)):
-            new.update(dict.fromkeys(missing))
-            return parts
-        parts = self.cut(text)
-        new.update((p, None) for p in parts if p not in self.known)
-        return parts
+    def _units(self, texts: list[str]) -> tuple[list[list[str]], list[str], list[str]]:
+        """Every text's units, and the unknown ones: those without a space between two regular characters, and others."""
+        if not self.cut_inside:
+            return [[t] if t else [] for t in texts], [], list(dict.fromkeys(t for t in texts if t))
+        split = [t.split(" ") if t else [] for t in texts]
+        new = set(itertools.chain.from_iterable(split)) - self.known.keys()
+        odd = {p for p in new if not self.regular(p)}
+        others: dict[str, None] = {}
+        if odd:
+            for k, parts in enumerate(split):
+                if not odd.isdisjoint(parts):
+                    split[k] = self.cut(texts[k])
+                    new.update(u for u in split[k] if " " not in u and u not in odd and u not in self.known)
+                    others.update((u, None) for u in split[k] if " " in u or u in odd)
+        return split, list(new - odd), list(others)
 
     def align(self, texts: list[str]) -> Batch:
-        new: dict[str, None] = {}
-        split = [self._split(t, new) if t else [] for t in texts]
-        size, known = len(self.units.groups), self.known
-        first_room = max(0, MEMO - size)
-        lasting = [u for u in new if len(u) <= MEMO_LENGTH and " " not in u and self.regular(u)][:first_room] if self.cut_inside else []
-        passing = list(new.keys() - set(lasting))
-        extra: dict[str, int] = {}
-        for names, index in ((lasting, known), (passing, extra)):
-            for name, unit in zip(names, self.whole(names) if names else ()):
-                index[name] = -1 if unit is None else self.units.add(unit)
-            size = len(self.units.groups) if index is known else size
+        known = self.known
+        split, brief, others = self._units(texts)
+        brief.sort(key=len)  # short ones come back more often
+        room = max(0, min(MEMO - len(self.units.groups), bisect.bisect_right(brief, MEMO_LENGTH, key=len)))
+        known.update(zip(brief[:room], self.add(brief[:room], JOINED)))
+        size = len(self.units.groups)
+        passing = [*brief[room:], *others]
+        known.update(zip(passing, [*self.add(brief[room:], JOINED), *self.add(others)]))
         ids: list[list[int]] = []
         for text, names in zip(texts, split):
-            found = [known[u] if u in known else extra[u] for u in names] if extra else [known[u] for u in names]
+            found = list(map(known.__getitem__, names))
             if -1 in found:  # the units' differences might cancel out, so the whole text decides
-                unit = next(self.whole([text]))
-                found = [] if unit is None else [self.units.add(unit)]
+                found = [n for n in self.add([text]) if n >= 0]
             ids.append(found)
         try:
             return self._batch(ids)
         finally:
             self.units.keep(size)
+            for u in passing:
+                del known[u]
 
     def _batch(self, ids: list[list[int]]) -> Batch:
         units, sizes = self.units, np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((u for found in ids for u in found), np.int64, int(sizes.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(len(ids)), sizes)
         numbers = {}
         for name, column in units.columns.items():
