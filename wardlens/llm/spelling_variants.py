@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.scale import materialize, materialize_small
-from wardlens.llm.exchange import first_of_runs, text_batches
+from wardlens.llm.exchange import bucket_total, text_batches
 from wardlens.llm.shipping import ship_package
 from wardlens.llm.words import Words, ascii_lower
 
@@ -198,7 +198,7 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, unit: int = UNIT)
         *block, F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "word", "n"
     )
     unit_key = [*block, "first", "second"]
-    placed = paired.repartition(*unit_key).sortWithinPartitions(*unit_key)
+    placed = paired.repartition(bucket_total(words.sparkSession), *unit_key).sortWithinPartitions(*unit_key)
     return placed.mapInArrow(_match, "word string, near string, near_n long")
 
 
