@@ -49,8 +49,24 @@ SQL["load_in_fk_order"] += " UNION ALL " + " UNION ALL ".join(
 )
 SQL["load_appended"] = " UNION ALL ".join(
     f"SELECT CAST({k} AS BIGINT) AS load_order, '{t}' AS table_name, count(*) AS source_rows, count(*) AS target_rows,"
-    f" 'matched' AS status FROM {t}" for k, t in enumerate(("departments", "insurance"), 1)
+    f" 'matched' AS status FROM {t}" for k, t in enumerate(TABLES, 1)
+)
+ICU = "admission_id IN (SELECT admission_id FROM admissions WHERE ward_type = 'ICU')"
+ADDED = {t: ICU for t in ("admissions", "diagnoses", "procedures", "medicines", "labs", "appointments", "billing")}
+ADDED["claims"] = f"billing_id IN (SELECT billing_id FROM billing WHERE {ICU})"
+SQL["load_repeated"] = " UNION ALL ".join(
+    f"""SELECT CAST({k} AS BIGINT) AS load_order, '{t}' AS table_name, count(*) AS source_rows, added AS added_rows,
+    count(*) - added AS already_there, count(*) AS stored_rows
+    FROM {t}, (SELECT count(*) AS added FROM {t} WHERE {ADDED.get(t, 'false')}) GROUP BY added""" for k, t in enumerate(TABLES, 1)
 )
+SQL["load_interrupted"] = " UNION ALL ".join(
+    f"""SELECT CAST({k} AS BIGINT) AS load_order, '{t}' AS table_name, count(*) AS source_rows, count(*) AS added_rows,
+    CAST(0 AS BIGINT) AS already_there, count(*) AS stored_rows, count(*) AS rows_read, CAST(0 AS BIGINT) AS loads_seen_after_crash
+    FROM {t}""" for k, t in enumerate(TABLES, 1)
+)
+SQL["ingest_keyed_bills"] = f"""SELECT billing_id, claim_id, patient_id, encounter_id, {day('claim_billing_date')}, insurance_provider,
+  payment_method, claim_status, {m('billed_amount')}, {m('paid_amount')}, {m('greatest(billed_amount - paid_amount, 0)', 'claim_gap')},
+  {i("CASE WHEN claim_status = 'Paid' THEN 1 ELSE 0 END", 'claim_approved')} FROM bill_raw_clean"""
 SQL["read_raw_billing"] = "SELECT * REPLACE ('00' || substr(billing_id, 4) AS billing_id) FROM bill_text"
 SQL["query_evidence"] = f"""SELECT 'Admissions' AS metric, {m('count(*)', 'value')} FROM admissions
 UNION ALL SELECT 'Patients', count(*) FROM patients
@@ -213,6 +229,27 @@ def shown(c: str) -> str:
 
 
 SQL["engineer_features"] = f"SELECT {', '.join(shown(c) for c in FEATURES)} FROM model_features"
+
+
+def hashed(c: str) -> str:
+    """A value as the fingerprint reads it: text as it is, numbers in millionths."""
+    if c in TEXT or c.endswith("_date"):
+        text = f"CAST({c} AS VARCHAR)"
+    else:
+        text = f"CAST(CAST(floor(CAST({c} AS DOUBLE) * 1e6 + 0.5) AS BIGINT) AS VARCHAR)"
+    return f"coalesce('v' || {text}, 'n')"
+
+
+DIGESTS = f"(SELECT ward_type, md5(concat_ws('|', {', '.join(hashed(c) for c in sorted(FEATURES))})) AS d FROM model_features)"
+CONTENT = " || '-' || ".join(
+    f"CAST(CAST(coalesce(sum(CAST(concat('0x', substr(d, {k}, 15)) AS BIGINT)), 0) AS HUGEINT) AS VARCHAR)" for k in (1, 16)
+)
+SQL["dataset_fingerprint"] = f"SELECT {n('rows')}, {CONTENT} AS content_hash FROM {DIGESTS}"
+SQL["fingerprint_after_append"] = f"""SELECT ward_type AS part, {n('rows')}, {CONTENT} AS content_hash FROM {DIGESTS} GROUP BY ward_type
+  UNION ALL SELECT 'without ICU', count(*), {CONTENT} FROM {DIGESTS} WHERE ward_type <> 'ICU'
+  UNION ALL SELECT 'with ICU again', count(*), {CONTENT} FROM {DIGESTS}"""
+SQL["changed_wards"] = f"""SELECT ward_type, count(*) AS rows_before, CASE ward_type WHEN 'HDU' THEN count(*) ELSE 0 END AS rows_after
+  FROM model_features WHERE ward_type IN ('HDU', 'NICU') GROUP BY ward_type"""
 FAMILIES = {
     "department": "department", "doctor": "doctor_id", "demographics": "age gender",
     "medicine": "medicine_code medicine_count total_procedures",
@@ -769,6 +806,8 @@ SQL["forecast_summary_with_beds"] = SQL["operational_forecast_summary"].replace(
 SCALED = ("los_days", "num_procedures", "charlson_index", "hba1c", "creatinine", "haemoglobin", "systolic_bp",
           "previous_admissions", "readmission_history", "disease_severity_score", "lab_abnormality_score",
           "patient_complexity_index")
+SQL["sample_rows"] = """SELECT admission_id, patient_id FROM model_features ORDER BY md5('42:' || admission_id), admission_id
+  LIMIT 500"""
 SQL["standardized_features"] = f"""SELECT admission_id, {', '.join(r(f'({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()', c)
   for c in SCALED)} FROM model_features"""
 SQL["check_model_lineage"] = """SELECT 'model:' || t AS "check", 'passed' AS status, CASE WHEN t = 'occupancy' THEN (SELECT count(*) FROM days)
@@ -782,6 +821,9 @@ SQL["damaged_lineage"] = SQL["check_model_lineage"].replace(
     "SELECT 'explanation:' || unnest(['readmission', 'revenue_scenario']), 'passed', NULL",
     "SELECT 'explanation:readmission', 'failed', NULL UNION ALL SELECT 'explanation:revenue_scenario', 'passed', NULL",
 )
+SQL["damaged_artifact"] = """SELECT 'model:' || t AS "check", CASE t WHEN 'waiting_simulation' THEN 'failed' ELSE 'passed' END AS status,
+  CASE WHEN t = 'occupancy' THEN (SELECT count(*) FROM days) ELSE (SELECT count(*) FROM model_features) END AS rows
+  FROM (SELECT unnest(['readmission', 'waiting_simulation', 'revenue_scenario', 'occupancy']) AS t)"""
 SQL["validate"] = " UNION ALL ".join(
     f"({SQL[k]})" for k in ("check_primary_keys", "check_foreign_keys", "check_admission_dates", "check_domain_rules",
                             "check_mart_shape", "check_mart_consistency", "check_provenance", "check_model_lineage")

@@ -239,6 +239,30 @@ def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
     return out
 
 
+HOT_ROWS = 500_000  # joined rows of one key that a task should hold at most
+
+
+def left_join_salted(
+    one: DataFrame, many: DataFrame, key: str, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``one LEFT JOIN many`` in one pass over either side, with the rows of a frequent key spread over tasks.
+
+    ``sizes`` gives the rows of ``many`` per key as ``n``, if known; else they are counted. A key with more than ``hot_rows`` gets
+    several salts: its rows of ``many`` are dealt over them by a hash of the whole row, and its row of ``one`` joins
+    each. A copy that meets nothing is dropped: such a key has rows elsewhere. All other rows of ``one`` come once, as in
+    any left join. At most rows / ``hot_rows`` keys are frequent; their table is written, so Catalyst knows its size.
+    """
+    counts = sizes if sizes is not None else many.groupBy(key).agg(F.count("*").alias("n"))
+    salts = F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")
+    hot = materialize_small(counts.where((F.col("n") > hot_rows) & F.col(key).isNotNull()).select(key, salts), "hot_keys")
+    last = F.coalesce("_salts", F.lit(1)) - 1
+    left = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns])
+    right = many.join(hot, key, "left").withColumn("_salt", F.pmod(row, last + 1).cast("int")).drop("_salts")
+    joined = left.join(right.withColumn("_met", F.lit(True)), [key, "_salt"], "left")
+    return joined.where(F.col("_salts").isNull() | F.col("_met")).drop("_salts", "_salt", "_met")
+
+
 def join_many_to_one_keep_all(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """``one LEFT JOIN many`` with the fan-out side streamed.
 

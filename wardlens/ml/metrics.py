@@ -27,6 +27,24 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "probability") -
     return ranked.agg(F.try_divide(wins.cast("double"), pairs).alias("roc_auc"))
 
 
+def roc_auc_by(pred: DataFrame, by: str, label: str = "label", score: str = "probability") -> DataFrame:
+    """``roc_auc`` per value of ``by``, all from one sweep over the scores of all groups."""
+    counts = (
+        pred.where(F.col(label).isNotNull())
+        .groupBy(by, F.col(score).alias("score"))
+        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    )
+    ranked = running_totals(counts, [by, "score"], {"neg_up_to": F.col("neg")}, "roc")
+    # The sweep goes on from group to group: each group's own total starts where its smallest running total does.
+    per_group = ranked.groupBy(by).agg(
+        F.sum((F.col("pos") * (F.col("neg_up_to") * 2 - F.col("neg"))).cast("decimal(38,0)")).alias("wins"),
+        F.min(F.col("neg_up_to") - F.col("neg")).alias("before"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+    )
+    own = F.col("wins") - F.col("pos").cast("decimal(20,0)") * F.col("before") * 2
+    pairs = F.col("pos").cast("double") * F.col("neg") * 2
+    return per_group.select(by, F.try_divide(own.cast("double"), pairs).alias("roc_auc"))
+
+
 def classification_metrics(
     pred: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "probability"
 ) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.config import CONFIG
+from wardlens.ml.concurrent import run_all
 from wardlens.ml.metrics import classification_metrics, regression_metrics
 from wardlens.ml.splits import _bucket, group_split
 
@@ -208,7 +210,7 @@ def model_signature(model: object) -> str:
         if hasattr(last, "coefficients"):
             text = ",".join(repr(float(v)) for v in (*last.coefficients, last.intercept))
         else:
-            text = last.toDebugString
+            text = re.sub(r"uid=\w+", "", last.toDebugString)  # a name drawn per fit is no learned parameter
     return hashlib.sha256(text.encode()).hexdigest()
 
 
@@ -233,6 +235,7 @@ class Prepared:
         self.stages = Pipeline(stages=preprocessor(features, rows)).fit(train)
         self.kept = [*columns, "features"]
         self.data = self.vectors(train).coalesce(max(1, -(-rows // ROWS_PER_TASK))).persist()
+        self.data.count()  # once, before several fits ask for it at the same time
 
     def vectors(self, df: DataFrame) -> DataFrame:
         return self.stages.transform(df).select(*self.kept)
@@ -254,11 +257,17 @@ def on_vectors(model):
     return PipelineModel(model.stages[-1:])
 
 
-def _fit_classifier(name: str, prepared: Prepared, sizes: ModelSizes):
-    if name == "voting_classifier":
-        members = ("logistic", "random_forest", "boosted_depth3")
-        return Voting([_fit_classifier(m, prepared, sizes) for m in members])
-    return prepared.fit(classifiers(prepared.rows, sizes)[name])
+VOTERS = ("logistic", "random_forest", "boosted_depth3")
+
+
+def _fit_classifiers(names: Sequence[str], prepared: Prepared, sizes: ModelSizes) -> dict[str, object]:
+    """The named candidates, fitted side by side; members of the vote are fitted once."""
+    spark = prepared.data.sparkSession
+    single = list(dict.fromkeys(m for n in names for m in (VOTERS if n == "voting_classifier" else (n,))))
+    estimators = classifiers(prepared.rows, sizes)
+    slowest_first = sorted(single, key=lambda n: n in ("logistic", "random_forest"))
+    fitted = run_all(spark, {n: partial(prepared.fit, estimators[n]) for n in slowest_first})
+    return {n: Voting([fitted[m] for m in VOTERS]) if n == "voting_classifier" else fitted[n] for n in names}
 
 
 def train_readmission(feat: DataFrame, sizes: ModelSizes = ModelSizes(), candidates: Sequence[str] | None = None) -> TrainedModel:
@@ -269,24 +278,26 @@ def train_readmission(feat: DataFrame, sizes: ModelSizes = ModelSizes(), candida
     rows = audit["train_rows"]
     prepared = Prepared(READMISSION_FEATURES, with_balanced_weights(train), rows, ["label", "weight"])
     names = list(candidates or classifiers(rows, sizes))
-    fitted = {n: _fit_classifier(n, prepared, sizes) for n in names}
-    members = ("logistic", "random_forest", "boosted_depth3")
-    if all(m in fitted for m in members):
-        fitted["voting_classifier"] = Voting([fitted[m] for m in members])
-    table = []
+    if all(m in names for m in VOTERS):
+        names.append("voting_classifier")
+    fitted = _fit_classifiers(names, prepared, sizes)
     held = prepared.vectors(test.withColumn("weight", F.lit(1.0))).persist()
-    for name, model in fitted.items():
+
+    def scores(model) -> dict:
         scored = predict_class(on_vectors(model), held).select("label", "prediction", "probability").persist()
-        scores = classification_metrics(scored).first().asDict()
+        row = classification_metrics(scored).first().asDict()
         scored.unpersist()
-        table.append({"model": name, **scores, **audit, "target_origin": "observed"})
+        return row
+
+    found = run_all(feat.sparkSession, {n: partial(scores, m) for n, m in fitted.items()})
+    table = [{"model": n, **found[n], **audit, "target_origin": "observed"} for n in fitted]
     held.unpersist()
     prepared.release()
     table.sort(key=lambda r: -r["roc_auc"])
     best = table[0]["model"]
     total = rows + audit["test_rows"]
     everything = Prepared(READMISSION_FEATURES, with_balanced_weights(base), total, ["label", "weight"])
-    model = _fit_classifier(best, everything, sizes)
+    model = _fit_classifiers([best], everything, sizes)[best]
     everything.release()
     lineage = _lineage(
         "readmission", best, "roc_auc", table[0]["roc_auc"], READMISSION_FEATURES, audit, "observed",
@@ -326,24 +337,37 @@ def _stacking_bases(sizes: ModelSizes) -> list[object]:
     ]
 
 
-def _fit_stacked(prepared: Prepared, sizes: ModelSizes) -> Stacked:
+def _stacking_folds(prepared: Prepared, sizes: ModelSizes) -> dict[tuple, Callable[[], object]]:
+    """Every base fitted without every fold: independent of each other."""
+    fold = _bucket("admission_id", sizes.seed, sizes.stacking_folds)
+    count = len(_stacking_bases(sizes))
+    return {
+        ("fold", k, b): partial(prepared.fit, _stacking_bases(sizes)[b], fold != k)
+        for b in reversed(range(count)) for k in range(sizes.stacking_folds)
+    }
+
+
+def _stacked(prepared: Prepared, sizes: ModelSizes, bases: list[PipelineModel], folds: Mapping[tuple, PipelineModel]) -> Stacked:
     """The final regressor learns from predictions on rows its bases have not seen."""
     fold = _bucket("admission_id", sizes.seed, sizes.stacking_folds)
     parts = []
     for k in range(sizes.stacking_folds):
-        bases = [on_vectors(prepared.fit(e, fold != k)) for e in _stacking_bases(sizes)]
-        parts.append(_base_predictions(bases, prepared.data.where(fold == k)).select("base_0", "base_1", "label"))
+        blind = [on_vectors(folds["fold", k, b]) for b in range(len(bases))]
+        parts.append(_base_predictions(blind, prepared.data.where(fold == k)).select("base_0", "base_1", "label"))
     unseen = reduce(DataFrame.unionByName, parts)
-    unseen = VectorAssembler(inputCols=["base_0", "base_1"], outputCol="stacked").transform(unseen).persist()
+    unseen = VectorAssembler(inputCols=["base_0", "base_1"], outputCol="stacked").transform(unseen).coalesce(
+        prepared.data.rdd.getNumPartitions()
+    ).persist()
     final = GBTRegressor(featuresCol="stacked", maxIter=sizes.stacking_rounds, maxDepth=3, stepSize=0.1, seed=sizes.seed).fit(unseen)
     unseen.unpersist()
-    return Stacked([prepared.fit(e) for e in _stacking_bases(sizes)], final)
+    return Stacked(bases, final)
 
 
 def regressors(sizes: ModelSizes) -> dict[str, object]:
     boosted = dict(maxIter=sizes.boosting_rounds, seed=sizes.seed)
     return {
-        "linear_regression": LinearRegression(regParam=0.0),
+        # The one-hot slots of a column add up to one, so plain least squares has no single solution; this has, next to it.
+        "linear_regression": LinearRegression(regParam=1e-8, elasticNetParam=0.0, solver="normal"),
         "random_forest": RandomForestRegressor(
             numTrees=sizes.regression_trees, maxDepth=sizes.regression_depth, seed=sizes.seed, featureSubsetStrategy="all"
         ),
@@ -353,10 +377,22 @@ def regressors(sizes: ModelSizes) -> dict[str, object]:
     }
 
 
-def _fit_regressor(name: str, prepared: Prepared, sizes: ModelSizes):
-    if name == "stacking_regressor":
-        return _fit_stacked(prepared, sizes)
-    return prepared.fit(regressors(sizes)[name])
+def _fit_regressors(names: Sequence[str], prepared: Prepared, sizes: ModelSizes) -> dict[str, object]:
+    """The named candidates, fitted side by side. Stacking's boosted base is the candidate ``gradient_boosting``."""
+    spark = prepared.data.sparkSession
+    estimators = regressors(sizes)
+    single = [n for n in names if n != "stacking_regressor"]
+    work: dict = {}
+    if "stacking_regressor" in names:
+        work |= _stacking_folds(prepared, sizes)
+        work["stacking_forest"] = partial(prepared.fit, _stacking_bases(sizes)[0])
+        single = list(dict.fromkeys(["gradient_boosting", *single]))
+    work = {**{n: partial(prepared.fit, estimators[n]) for n in reversed(single)}, **work}
+    fitted = run_all(spark, work)
+    if "stacking_regressor" in names:
+        bases = [fitted["stacking_forest"], fitted["gradient_boosting"]]
+        fitted["stacking_regressor"] = _stacked(prepared, sizes, bases, fitted)
+    return {n: fitted[n] for n in names}
 
 
 # Task -> target, features, origin of the target, portfolio tier, decision use, stacking candidate
@@ -370,6 +406,10 @@ REGRESSION_TASKS = {
 }
 
 
+INPUTS = {"readmission": READMISSION_FEATURES, **{t: v[1] for t, v in REGRESSION_TASKS.items()}}
+TARGETS = {"readmission": "readmitted_30d", **{t: v[0] for t, v in REGRESSION_TASKS.items()}}
+
+
 def train_regression(
     feat: DataFrame, task: str, sizes: ModelSizes = ModelSizes(), candidates: Sequence[str] | None = None
 ) -> TrainedModel:
@@ -384,20 +424,20 @@ def train_regression(
     prepared = Prepared(features, train, rows, described)
     held = prepared.vectors(test).persist()
     names = list(candidates or [*regressors(sizes), *(["stacking_regressor"] if stacking else [])])
-    table, holdouts = [], {}
-    for name in names:
-        model = on_vectors(_fit_regressor(name, prepared, sizes))
-        holdouts[name] = model.transform(held).select(
+    holdouts = {
+        n: on_vectors(m).transform(held).select(
             "admission_id", "department", "admit_date", "ward_type", F.col("label").alias("actual"), "prediction"
         )
-        scores = regression_metrics(holdouts[name], "actual").first().asDict()
-        table.append({"model": name, **scores, **audit, "target_origin": origin})
+        for n, m in _fit_regressors(names, prepared, sizes).items()
+    }
+    found = run_all(feat.sparkSession, {n: lambda h=h: regression_metrics(h, "actual").first().asDict() for n, h in holdouts.items()})
+    table = [{"model": n, **found[n], **audit, "target_origin": origin} for n in names]
     prepared.release()
     table.sort(key=lambda r: r["rmse"])
     best = table[0]["model"]
     total = rows + audit["test_rows"]
     everything = Prepared(features, base, total, described)
-    model = _fit_regressor(best, everything, sizes)
+    model = _fit_regressors([best], everything, sizes)[best]
     everything.release()
     lineage = _lineage(task, best, "RMSE", table[0]["rmse"], features, audit, origin, tier, use, model, total)
     return TrainedModel(task, model, _metric_table(feat.sparkSession, table), lineage, features, holdouts[best])
@@ -428,6 +468,8 @@ REGISTRY_SCHEMA = T.StructType(
         T.StructField("decision_use", T.StringType()),
         T.StructField("model_hash", T.StringType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("artifact_hash", T.StringType()),
+        T.StructField("artifact_intact", T.BooleanType()),
     ]
 )
 
@@ -439,7 +481,7 @@ def registry(spark, lineages: Sequence[dict]) -> DataFrame:
 
 def grid_search(
     feat: DataFrame, trees: Sequence[int] = (80, 120), depths: Sequence[int] = (8, 12), leaves: Sequence[int] = (1, 3),
-    folds: int = 3, parallelism: int = 2, seed: int = CONFIG.random_state,
+    folds: int = 3, parallelism: int = 8, seed: int = CONFIG.random_state,
 ) -> DataFrame:
     """Cross-validated ROC-AUC per forest setting; all rows of a patient share a fold."""
     base = _labelled(feat.select("patient_id", *READMISSION_FEATURES, "readmitted_30d"), "readmitted_30d")

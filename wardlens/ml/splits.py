@@ -63,4 +63,4 @@ def sample_rows(df: DataFrame, key: str, rows: int | None = None, seed: int = CO
     """Repeatable sample: the rows with the smallest hash of their key. Without a size all rows are kept."""
     if rows is None:
         return df
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(rows)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(rows)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlens.functions.scale import beside
 from wardlens.sources.schemas import CONTRACT_KEYS, FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
@@ -204,21 +205,75 @@ def check_mart_consistency(wh: Tables, marts: Tables) -> DataFrame:
     )
 
 
+LANES = ((1, 15), (16, 15))  # hexadecimal digits of a row's MD5 that are added up: twice 60 bits
+WHOLE = 9e12  # numbers below it are compared by millionths
+
+
+def row_text(df: DataFrame) -> Column:
+    """All values of a row as one text, columns by name, the same in every engine: numbers in millionths, dates as text."""
+    parts = []
+    for field in sorted(df.schema.fields, key=lambda f: f.name):
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.NumericType):
+            number = value.cast("double")
+            millionths = F.floor(number * 1e6 + 0.5).cast("bigint").cast("string")
+            text = F.when(F.abs(number) < WHOLE, millionths).otherwise(number.cast("string"))
+        else:
+            text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.lit("v"), text), F.lit("n")))
+    return F.concat_ws("|", *parts)
+
+
+def fingerprint_state(df: DataFrame, *by: str) -> DataFrame:
+    """Row count and two sums of row hashes, per value of ``by``: sums of parts are the sums of the whole."""
+    keyed = df.select(*by, F.md5(row_text(df)).alias("_digest"))
+    lanes = [
+        F.coalesce(F.sum(F.conv(F.substring("_digest", at, size), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(f"lane_{k}")
+        for k, (at, size) in enumerate(LANES)
+    ]
+    return keyed.groupBy(*by).agg(F.count("*").alias("rows"), *lanes)
+
+
+def merged_state(parts: DataFrame, *by: str, removed: DataFrame | None = None) -> DataFrame:
+    """The state of all parts together, without the ``removed`` ones, from states alone: no row is read again."""
+    names = ("rows", *(f"lane_{k}" for k in range(len(LANES))))
+    if removed is not None:
+        parts = parts.unionByName(removed.select(*by, *[(-F.col(c)).alias(c) for c in names]))
+    kinds = dict(zip(names, ("bigint", "decimal(38,0)", "decimal(38,0)")))
+    return parts.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(kinds[c]).alias(c) for c in names])
+
+
+def changed_parts(before: DataFrame, after: DataFrame, by: str) -> DataFrame:
+    """Values of ``by`` whose rows differ between two states, with both row counts: where a table was changed."""
+    lanes = [f"lane_{k}" for k in range(len(LANES))]
+    old, new = (s.select(by, F.col("rows").alias(n), F.struct(*lanes).alias(f"{n}_sums")) for s, n in ((before, "rows_before"), (after, "rows_after")))
+    differs = ~F.col("rows_before_sums").eqNullSafe(F.col("rows_after_sums")) | ~F.col("rows_before").eqNullSafe(F.col("rows_after"))
+    return old.join(new, by, "full").where(differs).select(
+        by, F.coalesce("rows_before", F.lit(0)).alias("rows_before"), F.coalesce("rows_after", F.lit(0)).alias("rows_after")
+    )
+
+
+def content_hash() -> Column:
+    return F.concat_ws("-", *[F.col(f"lane_{k}").cast("string") for k in range(len(LANES))]).alias("content_hash")
+
+
 def dataset_fingerprint(df: DataFrame) -> DataFrame:
     """Row count and an order-independent content hash."""
-    columns = sorted(df.columns)
-    return df.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("content_hash"),
-    )
+    return fingerprint_state(df).select("rows", content_hash())
 
 
 def check_model_lineage(registry: DataFrame, explanations: DataFrame | None = None) -> DataFrame:
-    """Rules every registered model obeys: no shared patients, known origin and tier, a stated use."""
+    """Rules every registered model obeys: files as published, no shared patients, known origin and tier, a stated use.
+
+    ``registry`` may say in ``artifact_intact`` whether the stored files are unchanged; ``explanations`` gives per task the hash of
+    the model that its explanation was made from, and in ``report_intact`` whether the report is unchanged.
+    """
+    stored = F.col("artifact_intact") if "artifact_intact" in registry.columns else F.lit(True)
     rules = registry.select(
         F.concat(F.lit("model:"), "task").alias("check"),
         (
-            (F.coalesce("patient_overlap", F.lit(0)) == 0)
+            F.coalesce(stored, F.lit(True))
+            & (F.coalesce("patient_overlap", F.lit(0)) == 0)
             & F.col("target_origin").isin(*TARGET_ORIGINS)
             & F.col("portfolio_tier").isin(*PORTFOLIO_TIERS)
             & (F.coalesce(F.length("decision_use"), F.lit(0)) > 0)
@@ -230,9 +285,11 @@ def check_model_lineage(registry: DataFrame, explanations: DataFrame | None = No
     )
     if explanations is None:
         return checks
-    linked = explanations.join(registry.select("task", F.col("model_hash").alias("expected")), "task", "left").select(
+    reported = F.col("report_intact") if "report_intact" in explanations.columns else F.lit(True)
+    link = "artifact_hash" if "artifact_hash" in registry.columns else "model_hash"
+    linked = explanations.join(registry.select("task", F.col(link).alias("expected")), "task", "left").select(
         F.concat(F.lit("explanation:"), "task").alias("check"),
-        F.when(F.coalesce(F.col("model_hash") == F.col("expected"), F.lit(False)), "passed").otherwise("failed").alias("status"),
+        F.when(F.coalesce((F.col("model_hash") == F.col("expected")) & reported, F.lit(False)), "passed").otherwise("failed").alias("status"),
         F.lit(None).cast("bigint").alias("rows"),
     )
     return checks.unionByName(linked)

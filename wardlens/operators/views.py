@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from wardlens.config import CONFIG
 from wardlens.functions.columns import month_start, ratio
-from wardlens.functions.scale import beside, join_many_to_one_keep_all
+from wardlens.functions.scale import beside, left_join_salted
+from wardlens.operators.ledgers import VISIT_MONTH, visit_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -211,19 +212,17 @@ def bed_occupancy(wh: Tables) -> DataFrame:
     return daily_occupancy(wh)
 
 
-def patient_360(wh: Tables, patient_id: str | None = None) -> DataFrame:
-    """Every patient with admissions, clinical facts, bills and claims; newest first for one patient.
+P360_COLUMNS = (
+    "patient_id", "age", "gender", "admission_id", "admit_date", "discharge_date", "department", "doctor_id",
+    "disease_severity_score", "lab_abnormality_score", "medicine_code", "medicine_count", "billed_amount",
+    "paid_amount", "claim_status",
+)
 
-    Admissions and bills are the streamed sides, so one very frequent patient or one heavily billed
-    admission can be split across tasks. A patient filter is applied before any join.
-    """
-    people, adm, bills = wh["patients"], wh["admissions"], wh["billing"]
-    if patient_id is not None:
-        people = people.where(F.col("patient_id") == patient_id)
-        adm = adm.where(F.col("patient_id") == patient_id)
-    people = people.select("patient_id", "age", "gender")
+
+def _visits(wh: Tables, people: DataFrame) -> DataFrame:
+    """Patients with their visits from the tables, for a warehouse whose tables were replaced."""
     visits = (
-        adm.select("patient_id", "admission_id", "admit_date", "discharge_date", "department_id", "doctor_id")
+        wh["admissions"].select("patient_id", "admission_id", "admit_date", "discharge_date", "department_id", "doctor_id")
         .join(wh["departments"], "department_id", "left")
         .join(wh["doctors"].select("doctor_id", F.col("doctor_id").alias("known_doctor")), "doctor_id", "left")
         .withColumn("doctor_id", F.col("known_doctor"))
@@ -232,33 +231,57 @@ def patient_360(wh: Tables, patient_id: str | None = None) -> DataFrame:
         .join(wh["medicines"].select("admission_id", "medicine_code", "medicine_count"), "admission_id", "left")
         .drop("department_id", "known_doctor")
     )
-    money = bills.select("billing_id", "admission_id", "billed_amount", "paid_amount").join(
+    return left_join_salted(people, visits, "patient_id")
+
+
+def _money(wh: Tables) -> DataFrame:
+    """Bills with the status of their claim."""
+    if getattr(wh, "bill_lines", None) is not None:
+        return wh.bill_lines.select("billing_id", "admission_id", "billed_amount", "paid_amount", "claim_status")
+    return wh["billing"].select("billing_id", "admission_id", "billed_amount", "paid_amount").join(
         wh["claims"].select("billing_id", "claim_status"), "billing_id", "left"
     )
+
+
+def patient_360(wh: Tables, patient_id: str | None = None) -> DataFrame:
+    """Every patient with admissions, clinical facts, bills and claims; newest first for one patient.
+
+    Visits and bills are read once each: the features hold all that a visit shows, and a very frequently billed
+    admission is spread over tasks. One patient's report reads the stored ledgers, where months and row groups without the
+    patient are skipped.
+    """
+    if patient_id is not None and getattr(wh, "ledgers", None) is not None:
+        visits, bills = (ledger.where(F.col("patient_id") == patient_id) for ledger in wh.ledgers)
+        money = bills.select("admission_id", "billed_amount", "paid_amount", "claim_status")
+        return visits.join(money, "admission_id", "left").select(*P360_COLUMNS).orderBy(F.desc("admit_date"), "admission_id")
+    if getattr(wh, "visit_lines", None) is not None:
+        visits = visit_rows(wh.visit_lines)
+    else:
+        people = wh["patients"].select("patient_id", "age", "gender")
+        visits = _visits(wh, people)
     if patient_id is not None:
-        money = money.join(adm.select("admission_id"), "admission_id", "left_semi")
-    billed = join_many_to_one_keep_all(visits, money.drop("billing_id"), "admission_id")
-    rows = join_many_to_one_keep_all(people, billed, "patient_id").select(
-        "patient_id", "age", "gender", "admission_id", "admit_date", "discharge_date", "department", "doctor_id",
-        "disease_severity_score", "lab_abnormality_score", "medicine_code", "medicine_count", "billed_amount",
-        "paid_amount", "claim_status",
-    )
+        visits = visits.where(F.col("patient_id") == patient_id)
+    sums = getattr(wh, "bill_sums", None)
+    sizes = sums.select("admission_id", F.col("fan").alias("n")) if sums is not None else None
+    rows = left_join_salted(visits, _money(wh), "admission_id", sizes).select(*P360_COLUMNS)
     return rows if patient_id is None else rows.orderBy(F.desc("admit_date"), "admission_id")
 
 
 def monthly_operations_report(wh: Tables, year: int, month: int) -> DataFrame:
-    """Department table of one month; the date range reaches the scan."""
-    first = date(year, month, 1)
-    last = date(year, month, calendar.monthrange(year, month)[1])
-    chosen = wh["admissions"].where(F.col("admit_date").between(F.lit(first), F.lit(last)))
-    bills = wh["billing"].select("admission_id", "paid_amount").join(
-        chosen.select("admission_id"), "admission_id", "left_semi"
-    )
-    paid = bills.groupBy("admission_id").agg(F.count("*").alias("fan"), F.sum("paid_amount").alias("paid"))
+    """Department table of one month: that month's folder of the visit ledger, where there is one."""
+    if getattr(wh, "ledgers", None) is not None:
+        chosen = wh.ledgers[0].where((F.col(VISIT_MONTH) == year * 100 + month) & F.col("department_id").isNotNull())
+    else:
+        first = date(year, month, 1)
+        last = date(year, month, calendar.monthrange(year, month)[1])
+        admitted = wh["admissions"].where(F.col("admit_date").between(F.lit(first), F.lit(last)))
+        bills = wh["billing"].select("admission_id", "paid_amount").join(
+            admitted.select("admission_id"), "admission_id", "left_semi"
+        )
+        paid = bills.groupBy("admission_id").agg(F.count("*").alias("fan"), F.sum("paid_amount").alias("paid"))
+        chosen = admitted.join(paid, "admission_id", "left").join(F.broadcast(wh["departments"]), "department_id")
     return (
-        chosen.join(paid, "admission_id", "left")
-        .withColumn("fan", F.coalesce("fan", F.lit(1)))
-        .join(F.broadcast(wh["departments"]), "department_id")
+        chosen.withColumn("fan", F.coalesce("fan", F.lit(1)))
         .groupBy("department")
         .agg(
             F.count("admission_id").alias("admissions"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,17 +15,23 @@ class Warehouse(Mapping):
     """Read-only mapping of table name to DataFrame.
 
     ``bill_lines`` may hold the bills that billing, claims and insurance were projected from, and ``bill_sums`` their
-    totals per admission, stored next to the features. Views read these instead of joining the projections again;
-    they are dropped when a table they stand for is replaced.
+    totals per admission, stored next to the features; ``visit_lines`` are the features that the other tables were projected
+    from, and ``ledgers`` gives both sides stored by month and patient. Views read these instead of joining the projections
+    again; they are dropped when a table they stand for is replaced.
     """
 
     BILL_TABLES = ("billing", "claims", "insurance")
+    VISIT_TABLES = (
+        "patients", "departments", "doctors", "admissions", "diagnoses", "labs", "medicines", "model_features",
+    )
 
     def __init__(
-        self, tables: Mapping[str, DataFrame], bill_lines: DataFrame | None = None, bill_sums: DataFrame | None = None
+        self, tables: Mapping[str, DataFrame], bill_lines: DataFrame | None = None, bill_sums: DataFrame | None = None,
+        visit_lines: DataFrame | None = None, ledgers: Callable[[], tuple[DataFrame, DataFrame]] | None = None,
     ):
         self._tables = dict(tables)
-        self.bill_lines, self.bill_sums = bill_lines, bill_sums
+        self.bill_lines, self.bill_sums, self.visit_lines = bill_lines, bill_sums, visit_lines
+        self._ledgers = ledgers
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -40,9 +46,16 @@ class Warehouse(Mapping):
         return len(self._tables)
 
     def with_tables(self, extra: Mapping[str, DataFrame]) -> Warehouse:
-        if any(n in extra for n in self.BILL_TABLES):
-            return Warehouse({**self._tables, **extra})
-        return Warehouse({**self._tables, **extra}, self.bill_lines, self.bill_sums)
+        bills, visits = (not any(n in extra for n in names) for names in (self.BILL_TABLES, self.VISIT_TABLES))
+        return Warehouse(
+            {**self._tables, **extra}, self.bill_lines if bills else None, self.bill_sums if bills else None,
+            self.visit_lines if visits else None, self._ledgers if bills and visits else None,
+        )
+
+    @property
+    def ledgers(self) -> tuple[DataFrame, DataFrame] | None:
+        """The stored visits and bills, written when a report first asks for them."""
+        return self._ledgers() if self._ledgers is not None else None
 
     def register(self, prefix: str = "") -> None:
         """Expose every table as a temporary view for ``spark.sql``."""
@@ -152,10 +165,10 @@ def appointments(adm: DataFrame) -> DataFrame:
 
 def build_warehouse_tables(
     feat: DataFrame, bill: DataFrame, dimensions: Mapping[str, DataFrame] | None = None,
-    sums: DataFrame | None = None,
+    sums: DataFrame | None = None, ledgers: Callable[[], tuple[DataFrame, DataFrame]] | None = None,
 ) -> Warehouse:
     """All thirteen tables. ``dimensions`` may supply already written patients, doctors and insurance, ``sums`` the
-    written ``bill_sums`` of the same bills."""
+    written ``bill_sums`` of the same bills, ``ledgers`` both facts stored by month and patient."""
     given = dict(dimensions or {})
     payers = given.get("insurance") or insurance(bill)
     adm = admissions(feat)
@@ -177,4 +190,6 @@ def build_warehouse_tables(
         },
         bill_lines=bill,
         bill_sums=sums,
+        visit_lines=feat,
+        ledgers=ledgers,
     )

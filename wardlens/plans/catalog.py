@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 from wardlens.config import GOVERNED_LINK
 from wardlens.functions.columns import stable_int
-from wardlens.functions.scale import materialize, new_path
-from wardlens.ml import explain, forecasting, metrics, models, splits
+from wardlens.functions.scale import materialize, materialize_small, new_path
+from wardlens.ml import explain, forecasting, metrics, models, splits, store
 from wardlens.operators import cleaning, contracts, features, marts, measures, reports, validation, views
 from wardlens.operators.analyses import ANALYSES
 from wardlens.plans.dataset import HospitalData, open_fixture
-from wardlens.sources import fixtures, readers, sinks
+from wardlens.sources import fixtures, loads, readers, sinks
+from wardlens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,12 +79,66 @@ def _load(d: HospitalData) -> DataFrame:
 
 @query("load_appended")
 def _append(d: HospitalData) -> DataFrame:
-    """A second load of two tables onto the first: as many rows added as the source has."""
-    tables, sink = {n: d.warehouse[n] for n in ("departments", "insurance")}, sinks.folder_sink(new_path(d.spark, "appended"))
+    """A second load of all tables onto the first: as many rows added as the source has."""
+    tables, sink = {n: d.warehouse[n] for n in sinks.LOAD_ORDER}, sinks.folder_sink(new_path(d.spark, "appended"))
     sinks.load_in_fk_order(tables, sink)
     return sinks.load_in_fk_order(tables, sink, truncate=False)
 
 
+def _without_icu(d: HospitalData) -> dict[str, DataFrame]:
+    """The warehouse's tables less the ICU admissions and what belongs to them."""
+    wh = d.warehouse
+    gone = wh["admissions"].where("ward_type = 'ICU'").select("admission_id")
+    lost = wh["billing"].join(gone, "admission_id", "left_semi").select("billing_id")
+    out = {n: wh[n] for n in sinks.LOAD_ORDER}
+    for name in ("admissions", "diagnoses", "procedures", "medicines", "labs", "appointments"):
+        out[name] = wh[name].join(gone, "admission_id", "left_anti")
+    return {**out, **{n: wh[n].join(lost, "billing_id", "left_anti") for n in ("billing", "claims")}}
+
+
+@query("load_repeated")
+def _repeated(d: HospitalData) -> DataFrame:
+    """All tables loaded after a load without the ICU, then the same load again: only the ICU is added, once."""
+    target = loads.LoadedWarehouse(d.spark, new_path(d.spark, "loaded"))
+    target.load(_without_icu(d), "without-icu")
+    tables = {n: d.warehouse[n] for n in sinks.LOAD_ORDER}
+    target.load(tables, "all")
+    return target.load(tables, "all")
+
+
+@query("load_interrupted")
+def _interrupted(d: HospitalData) -> DataFrame:
+    """A load that dies before its billing table, then rows read by then and after its repetition."""
+    target = loads.LoadedWarehouse(d.spark, new_path(d.spark, "loaded"))
+    tables = {n: d.warehouse[n] for n in sinks.LOAD_ORDER}
+
+    def dying(df: DataFrame, path: str) -> None:
+        if "/billing/" in path:
+            raise InterruptedError
+        loads.write_parquet(df, path)
+
+    try:
+        target.load(tables, "first", dying)
+    except InterruptedError:
+        visible = len(target.committed())
+    report = target.load(tables, "first")
+    stored = sinks.table_counts({n: target.read(n) for n in sinks.LOAD_ORDER}).withColumnRenamed("rows", "rows_read")
+    return report.join(stored, "table_name").withColumn("loads_seen_after_crash", F.lit(visible))
+
+
+@query("ingest_keyed_bills")
+def _ingested(d: HospitalData) -> DataFrame:
+    """Bills that land in three files, one per batch; the third repeats bills of either earlier one. Stored once, with derived fields."""
+    landing, target, checkpoint = (new_path(d.spark, n) for n in ("bills-landing", "bills-stored", "bills-checkpoint"))
+    bills = d.billing_clean.drop("claim_gap", "claim_approved")
+    part = stable_int("billing_id", 10)
+    for chosen in (part < 6, part >= 6, (part == 1) | (part == 7)):
+        bills.where(chosen).coalesce(1).write.mode("append").parquet(landing)
+    arriving = ingest.arriving_bills(d.spark, landing, bills.schema, files_per_batch=1)
+    ingest.ingest_keyed_bills(arriving, target, checkpoint).awaitTermination()
+    return ingest.stored_bills(d.spark, target).drop(ingest.ARRIVED)
+
+
 @query("stored_admissions_by_year")
 def _stored(d: HospitalData) -> DataFrame:
     """Admissions written by year and read back."""
@@ -445,6 +500,32 @@ def _validate(d: HospitalData) -> DataFrame:
 query("dataset_fingerprint")(lambda d: contracts.dataset_fingerprint(d.features))
 
 
+@query("fingerprint_after_append")
+def _appended_fingerprint(d: HospitalData) -> DataFrame:
+    """Fingerprint per ward, of all wards but the ICU from their states, and of the whole with the ICU appended."""
+    states = contracts.fingerprint_state(d.features, "ward_type")
+    icu = states.where("ward_type = 'ICU'").drop("ward_type")
+    whole = contracts.merged_state(states.drop("ward_type"))
+    rest = contracts.merged_state(whole, removed=icu)
+    again = contracts.merged_state(rest.unionByName(icu))
+    parts = [states, *(s.withColumn("ward_type", F.lit(n)) for n, s in (("without ICU", rest), ("with ICU again", again)))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        F.col("ward_type").alias("part"), "rows", contracts.content_hash()
+    )
+
+
+@query("changed_wards")
+def _changed_wards(d: HospitalData) -> DataFrame:
+    """Where a copy of the features was changed: one value in the HDU, all rows of the NICU lost."""
+    first = d.features.where("ward_type = 'HDU'").agg(F.min("admission_id")).scalar()
+    copy = d.features.where("ward_type <> 'NICU'").withColumn(
+        "creatinine", F.when(F.col("admission_id") == first, F.col("creatinine") + 1).otherwise(F.col("creatinine"))
+    )
+    return contracts.changed_parts(
+        contracts.fingerprint_state(d.features, "ward_type"), contracts.fingerprint_state(copy, "ward_type"), "ward_type"
+    )
+
+
 @raw_query("orphaned_bills")
 def _orphans(spark: SparkSession, sf: str) -> DataFrame:
     """Foreign keys of a warehouse whose ICU admissions were lost."""
@@ -510,15 +591,15 @@ def _with_beds(d: HospitalData) -> DataFrame:
     return marts.forecast_summary(d.features, _baseline_forecast(d), marts.emergency_forecast(d.features))
 
 
-query("occupancy_models")(lambda d: forecasting.compare_occupancy_models(forecasting.occupancy_features(d.census)))
+query("occupancy_models")(lambda d: d.trained("occupancy").metrics)
 query("occupancy_forecast")(lambda d: d.occupancy_forecast)
 query("command_center_with_forecast")(lambda d: views.command_center(d.marts_with_forecast))
 
 
 @query("occupancy_forecast_by_department")
 def _department_beds(d: HospitalData) -> DataFrame:
-    daily = forecasting.census_by(d.features, "department")
-    model = forecasting.fit_occupancy(forecasting.occupancy_features(daily))
+    daily = materialize_small(forecasting.census_by(d.features, "department"), "department_census")
+    model = forecasting.fit_occupancy(forecasting.occupancy_features(daily), forecasting.BOOSTED, d.model_sizes)
     return forecasting.forecast_recursive(daily, model, horizon=30)
 
 
@@ -539,13 +620,22 @@ query("revenue_scenario")(
     lambda d: explain.scenario_scores(d.trained("revenue_scenario").model, d.features, "revenue_per_patient", 250)
 )
 query("readmission_drivers")(
-    lambda d: explain.linear_contributions(d.readmission_logistic.model, d.features, models.READMISSION_FEATURES)
-)
-query("readmission_importance")(
-    lambda d: explain.global_importance(d.readmission_logistic.model, d.features, models.READMISSION_FEATURES)
+    lambda d: explain.linear_contributions(d.trained("readmission").model, d.features, models.READMISSION_FEATURES)
 )
+query("readmission_importance")(lambda d: d.explanation("readmission"))
+query("revenue_importance")(lambda d: d.explanation("revenue_scenario"))
 query("top_positive_driver")(
-    lambda d: explain.top_positive_driver(d.readmission_logistic.model, d.features, models.READMISSION_FEATURES)
+    lambda d: explain.top_positive_driver(d.trained("readmission").model, d.features, models.READMISSION_FEATURES)
+)
+query("readmission_permutation_importance")(
+    lambda d: explain.permutation_importance(
+        d.trained("readmission").model, d.features, models.READMISSION_FEATURES, "readmitted_30d", classes=True
+    )
+)
+query("revenue_permutation_importance")(
+    lambda d: explain.permutation_importance(
+        d.trained("revenue_scenario").model, d.features, models.REVENUE_FEATURES, "revenue_per_patient"
+    )
 )
 query("department_forecast")(lambda d: reports.department_forecast(d.trained("revenue_scenario").holdout))
 
@@ -556,21 +646,26 @@ def _planned(d: HospitalData) -> DataFrame:
     return reports.planned_revenue_monthly(reports.planned_revenue_daily(scored))
 
 
+TASKS = ("readmission", "waiting_simulation", "revenue_scenario", "occupancy")
+EXPLAINED = ("readmission", "revenue_scenario")
+
+
 def _registry(d: HospitalData) -> DataFrame:
-    model_data = forecasting.occupancy_features(d.census)
-    scores = forecasting.compare_occupancy_models(model_data).where("model = 'linear_lags'").first().asDict()
-    signature = models.model_signature(forecasting.fit_occupancy(model_data))
-    lineages = [d.trained(t).lineage for t in ("readmission", "waiting_simulation", "revenue_scenario")]
-    return models.registry(d.spark, [*lineages, forecasting.occupancy_lineage(scores, d.census.count(), signature)])
+    """The stored models, their files judged as they are now."""
+    return models.registry(d.spark, [m.lineage() for m in d.stored_all(TASKS).values()])
 
 
 query("model_registry")(lambda d: _registry(d).withColumn("features", F.concat_ws(",", "features")))
 
 
 def _explained(d: HospitalData) -> DataFrame:
-    """The models that scores and scenarios come from, by a signature taken from them now."""
-    used = [(t, models.model_signature(d.trained(t).model)) for t in ("readmission", "revenue_scenario")]
-    return d.spark.createDataFrame(used, "task string, model_hash string")
+    """What the published explanations were made from."""
+    rows = []
+    for task in EXPLAINED:
+        d.explanation(task)
+        found = d.stored(task).explanation()
+        rows.append((task, found["model_hash"], found["report_intact"]))
+    return d.spark.createDataFrame(rows, "task string, model_hash string, report_intact boolean")
 
 
 query("check_model_lineage")(lambda d: contracts.check_model_lineage(_registry(d), _explained(d)))
@@ -584,3 +679,15 @@ def _damaged_lineage(d: HospitalData) -> DataFrame:
     return contracts.check_model_lineage(
         _registry(d).withColumn("patient_overlap", shared), _explained(d).withColumn("model_hash", other)
     )
+
+
+@query("damaged_artifact")
+def _damaged_artifact(d: HospitalData) -> DataFrame:
+    """A registry with one model's files changed after they were published."""
+    stored = d.stored_all(TASKS)
+    copies = store.ModelStore(d.spark, new_path(d.spark, "models"))
+    copy = copies.publish("copy", d.trained("waiting_simulation"))
+    d.trained("waiting_simulation").metrics.write.mode("append").parquet(f"{copy.artifact}/metrics")
+    return contracts.check_model_lineage(
+        models.registry(d.spark, [copy.lineage() if t == "waiting_simulation" else m.lineage() for t, m in stored.items()])
+    )

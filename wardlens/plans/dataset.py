@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import cached_property
+from collections.abc import Mapping, Sequence
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.config import CONFIG, OpsConfig
 from wardlens.functions.scale import bucket_count, materialize_bucketed, materialize_small
-from wardlens.ml import forecasting, models
-from wardlens.operators import cleaning, marts, warehouse
+from wardlens.ml import explain, forecasting, models, store
+from wardlens.ml.concurrent import run_all
+from wardlens.operators import cleaning, contracts, ledgers, marts, warehouse
 from wardlens.operators.features import engineer_features
 from wardlens.operators.warehouse import Warehouse
 from wardlens.sources import fixtures
@@ -31,6 +32,7 @@ class HospitalData:
         self.config = config
         self.spark = raw_admissions.sparkSession
         self._trained: dict[tuple, models.TrainedModel] = {}
+        self.models = store.ModelStore(self.spark)
 
     @cached_property
     def admissions_clean(self) -> DataFrame:
@@ -71,7 +73,12 @@ class HospitalData:
             "doctors": materialize_small(warehouse.doctors(self.features), "doctors"),
             "insurance": self.insurance,
         }
-        return warehouse.build_warehouse_tables(self.features, self.billing_linked, written, self.bill_sums)
+        return warehouse.build_warehouse_tables(self.features, self.billing_linked, written, self.bill_sums, lambda: self.ledgers)
+
+    @cached_property
+    def ledgers(self) -> tuple[DataFrame, DataFrame]:
+        """Visits and bills stored by month and patient, written when a report of one of either first needs them."""
+        return ledgers.visit_ledger(self.features, self.bill_sums), ledgers.bill_ledger(self.billing_linked)
 
     @cached_property
     def marts(self) -> dict[str, DataFrame]:
@@ -88,7 +95,7 @@ class HospitalData:
 
     @cached_property
     def occupancy_forecast(self) -> DataFrame:
-        model = forecasting.fit_occupancy(forecasting.occupancy_features(self.census))
+        model = self.trained("occupancy").model
         forecast = forecasting.forecast_recursive(self.census, model, capacity=self.config.bed_capacity)
         return materialize_small(forecast, "occupancy_forecast")
 
@@ -97,17 +104,41 @@ class HospitalData:
         """The marts with the additional beds taken from the trained bed forecast."""
         return marts.build_marts(self.features, self.warehouse["billing"], self.occupancy_forecast, self.config)
 
+    @cached_property
+    def fingerprint(self) -> str:
+        """Names the content of the features: models of equal features are the same models."""
+        row = contracts.dataset_fingerprint(self.features).first()
+        return f"{row['rows']}-{row['content_hash']}"
+
+    def _train(self, task: str) -> models.TrainedModel:
+        if task == "readmission":
+            return models.train_readmission(self.features, self.model_sizes)
+        if task == "occupancy":
+            return forecasting.train_occupancy(self.census, self.model_sizes)
+        return models.train_regression(self.features, task, self.model_sizes)
+
+    def stored(self, task: str) -> store.Stored:
+        """The task's model in the store: fitted once per content, sizes and inputs, whatever application asks."""
+        key = store.model_key(task, self.fingerprint, self.model_sizes, models.INPUTS.get(task, forecasting.OCCUPANCY_FEATURES))
+        return self.models.obtain(key, lambda: self._train(task))
+
+    def stored_all(self, tasks: Sequence[str]) -> dict[str, store.Stored]:
+        """The stored models of several tasks; those that are not there yet are trained side by side."""
+        _ = self.fingerprint, self.census  # before several threads ask for them
+        return run_all(self.spark, {t: partial(self.stored, t) for t in tasks})
+
     def trained(self, task: str) -> models.TrainedModel:
-        """Candidate comparison of one task, run once per data set and size."""
-        sizes = self.model_sizes
-        key = (task, sizes)
+        """The stored model with its metrics and held-out predictions."""
+        key = (task, self.model_sizes)
         if key not in self._trained:
-            if task == "readmission":
-                self._trained[key] = models.train_readmission(self.features, sizes)
-            else:
-                self._trained[key] = models.train_regression(self.features, task, sizes)
+            self._trained[key] = self.stored(task).read()
         return self._trained[key]
 
+    def explanation(self, task: str) -> DataFrame:
+        """The published importance of the registered model's inputs."""
+        target = models.TARGETS[task]
+        return self.stored(task).explain(lambda t: explain.global_importance(t.model, self.features, t.features, target=target))
+
     @cached_property
     def readmission_logistic(self) -> models.TrainedModel:
         return models.train_readmission(self.features, candidates=("logistic",))
