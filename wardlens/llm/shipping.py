@@ -1,30 +1,15 @@
-"""The package's own code for the Python workers, so executors need no installed copy."""
+"""The package's own code and batches of whole texts for the Python workers."""
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import SparkSession
 
-_shipped: set[str] = set()
-
+from wardlens.functions import shipping
 
 BATCH_ROWS = 2000  # rows of whole texts that go to a Python worker at once
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Spark distribute a zip of the package to all executors, once per application.
-
-    Also bounds the rows per Arrow batch, as the default of 10,000 is meant for narrow rows, not whole texts.
-    """
+    """Let Spark distribute the package, and bound the rows per Arrow batch, as the default is meant for narrow rows."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    base = Path(tempfile.mkdtemp()) / package.name
-    archive = shutil.make_archive(str(base), "zip", package.parent, package.name)
-    spark.sparkContext.addPyFile(archive)
-    _shipped.add(app)
+    shipping.ship_package(spark)
