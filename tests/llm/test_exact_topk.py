@@ -66,3 +66,23 @@ def test_scores_beyond_a_long_are_refused(spark):
     df = frame(spark, [(0, [1e30, 1.0], 0, 1, "s", b"", 7), (1, [1.0, 1.0], 0, 1, "s", b"", 7)])
     with pytest.raises(Exception, match="exceed 64-bit"):
         exact_topk.exact_topk(df, F.col("vec_id") % 100 == 0).collect()
+
+
+@pytest.mark.parametrize("large", [3e6, 2.5e9, 1e12])
+def test_large_components_are_exact(spark, large):
+    """A row never meets itself, so its own square may exceed a long."""
+    rng = random.Random(4)
+    data = [(i, [rng.choice([1.0, -1.0]) * (i % 7), 1.0], 0, 1, "s", b"", 7) for i in range(200)]
+    data += [(200, [large, 1.0], 0, 1, "s", b"", 7), (301, [-large / 3, 0.25], 0, 1, "s", b"", 7)]
+    if large > 2e9:
+        data = [d for d in data if d[0] != 301]
+    df = frame(spark, data).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert result(df, 20) == brute(df, 20, 10)
+
+
+def test_histograms_are_passed_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "CANDIDATE_BLOCK", 16)
+    monkeypatch.setattr(exact_topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(exact_topk, "HELD_BLOCKS", 2)
+    df = frame(spark, rows(random.Random(5), 200, dim=3))
+    assert result(df, 10, 4) == brute(df, 10, 4)

@@ -1,15 +1,16 @@
 """Exact top-k inner products by distributed histogram selection.
 
 Vectors are cut into blocks inside the tasks; the stated queries meet all candidates block by block (an
-equi-join on block numbers). Every round scores everything and counts, per query, how many scores fall into each of
-``BINS`` equal parts of the bracket that holds its k-th score; the counts are summed by Spark and the bracket
-shrinks to one part, until it is one integer wide. Then one pass keeps the scores above the k-th value and, of those equal
+equi-join on block numbers, dealt over salts). Every round scores everything and counts, per query, how many scores fall into
+each of ``BINS`` equal parts of the bracket that holds its k-th score. A task adds up the blocks it sees and sends only
+the parts that hold a score; Spark sums them, and the bracket shrinks to one part, until it is one integer wide. Then one pass keeps the scores above the k-th value and, of those equal
 to it, the smallest ids that are still needed, of each block first, so ties cost a block k rows per query at most.
 
 Cases: vectors that are null, empty or hold null, NaN or infinite components, and rows without an id, take no part; vectors meet
 only vectors of the same length; a candidate with the query's id is its own row; rows that repeat an id with the same vector
 are one query but as many candidates; fewer than k candidates are all returned; ties go to the smaller id; other
-columns are ignored; an empty table gives an empty result. A score beyond 2^62 raises an error.
+columns are ignored; an empty table gives an empty result. Components of any size are exact; only a score of 2^62 or more
+between two different ids raises an error.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ BINS = 256
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 SALTS = 16
-_BLOCK_DDL = "dim int, block long, ids binary, ints binary, largest long"
+HELD_BLOCKS = 32  # query blocks whose histograms a task holds before it passes them on
+LIMIT = 2**62  # scores stay below it
+_BLOCK_DDL = "dim int, block long, ids binary, ints binary, largest double, norm double"
 
 
 def _blocks(size: int):
@@ -43,15 +46,15 @@ def _blocks(size: int):
 
         def row(dim: int, ids: list, vectors: list) -> pa.RecordBatch:
             nonlocal number
-            ints = np.floor(np.array(vectors, np.float64) * SCALE)
-            largest = float(np.abs(ints).max())
-            if largest**2 * dim >= 2.0**62:
-                raise OverflowError("inner products of these vectors exceed 64-bit integers")
+            ints = np.floor(np.array(vectors, np.float64) * SCALE)  # whole numbers, exact as doubles
             number += 1
-            values = [[dim], [number], [np.array(ids, "i8").tobytes()], [ints.astype("i8").tobytes()], [int(largest)]]
-            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+            values = [
+                [dim], [number], [np.array(ids, "i8").tobytes()], [ints.tobytes()], [float(np.abs(ints).max())],
+                [float(np.sqrt((ints * ints).sum(axis=1)).max())],
+            ]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(values, kinds)], names=["dim", "block", "ids", "ints", "largest"]
+                [pa.array(v, t) for v, t in zip(values, kinds)], names=["dim", "block", "ids", "ints", "largest", "norm"]
             )
 
         for batch in batches:
@@ -68,66 +71,93 @@ def _blocks(size: int):
 
 
 def _matrix(blob: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(blob, "i8").reshape(-1, dim)
+    return np.frombuffer(blob, "f8").reshape(-1, dim)
 
 
-def _scores(queries: np.ndarray, candidates: np.ndarray, largest: int) -> np.ndarray:
-    """Integer inner products; through doubles where every partial sum is exact."""
-    if largest * queries.shape[1] < 2**53:
-        return (queries.astype("f8") @ candidates.astype("f8").T).astype("i8")
-    return queries @ candidates.T
+def _scores(queries: np.ndarray, candidates: np.ndarray, largest: float, counts: np.ndarray) -> np.ndarray:
+    """Integer inner products of the pairs that count.
+
+    Through doubles where every partial sum is exact, else through 64-bit integers; pairs whose terms might not fit
+    those, and only these, through Python's integers.
+    """
+    dim = queries.shape[1]
+    if largest * dim < 2**53:
+        return (queries @ candidates.T).astype("i8")
+    q_most, c_most = np.abs(queries).max(axis=1), np.abs(candidates).max(axis=1)
+    wide = q_most[:, None] * c_most[None, :] * dim >= float(LIMIT)
+    fit_q, fit_c = (np.where((most < 2.0**62)[:, None], rows, 0).astype("i8") for most, rows in ((q_most, queries), (c_most, candidates)))
+    with np.errstate(over="ignore"):
+        scores = fit_q @ fit_c.T
+    for q, c in zip(*np.nonzero(wide & counts)):
+        score = sum(int(a) * int(b) for a, b in zip(queries[q].tolist(), candidates[c].tolist()))
+        if abs(score) >= LIMIT:
+            raise OverflowError("inner products of these vectors exceed 64-bit integers")
+        scores[q, c] = score
+    return scores
 
 
 def _block_scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, candidate ids, scores, mask of pairs that count) of a pair of blocks."""
     dim = row["dim"]
     query_ids, ids = np.frombuffer(row["query_ids"], "i8"), np.frombuffer(row["ids"], "i8")
-    scores = _scores(_matrix(row["query_ints"], dim), _matrix(row["ints"], dim), row["largest"] * row["query_largest"])
-    return query_ids, ids, scores, query_ids[:, None] != ids[None, :]
+    counts = query_ids[:, None] != ids[None, :]
+    queries, candidates = _matrix(row["query_ints"], dim), _matrix(row["ints"], dim)
+    return query_ids, ids, _scores(queries, candidates, row["largest"] * row["query_largest"], counts), counts
 
 
-def _histograms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            query_ids, _, scores, counts = _block_scores(row)
-            low, step, _ = np.frombuffer(row["state"], "i8").reshape(3, -1)
-            part = (scores - low[:, None]) // step[:, None]
-            inside = counts & (part >= 0) & (part < BINS)
-            flat = (np.arange(len(query_ids))[:, None] * BINS + part)[inside]
-            counted = np.bincount(flat, minlength=len(query_ids) * BINS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["query_block"]]), pa.array([row["block"] % SALTS], pa.int64()),
-                    pa.array([counted.astype("i8").tobytes()], pa.binary()), pa.array([row["state"]], pa.binary()),
-                ],
-                names=["query_block", "salt", "counts", "state"],
-            )
+def _state(row: dict, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lower end of the bracket and needed rank of every query of a block; those that met nothing so far need nothing."""
+    low, need = np.full(size, LIMIT, "i8"), np.zeros(size, "i8")
+    for entry in row["state"]:
+        low[entry["place"]], need[entry["place"]] = entry["low"], entry["need"]
+    return low, need
 
 
-_COUNTS_DDL = "query_block long, salt long, counts binary, state binary"
+def _histograms(step: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
 
+        def flush() -> pa.RecordBatch:
+            parts = [(block, *np.divmod(np.flatnonzero(c), BINS), c[c > 0]) for block, c in held.items()]
+            held.clear()
+            columns = [np.concatenate([np.full(len(p[1]), p[0]) for p in parts]), *(np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))]
+            return pa.RecordBatch.from_arrays([pa.array(c.astype("i8")) for c in columns], names=["query_block", "place", "bin", "n"])
 
-def _summed(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(c, "i8") for c in table.column("counts").to_pylist()], axis=0)
-    return table.slice(0, 1).set_column(
-        table.schema.get_field_index("counts"), "counts", pa.array([total.tobytes()], pa.binary())
-    )
+        for batch in batches:
+            for row in batch.to_pylist():
+                query_ids, _, scores, counts = _block_scores(row)
+                low, need = _state(row, len(query_ids))
+                below = scores < low[:, None]
+                part = np.where(below, -1, scores - np.where(below, scores, low[:, None])) // step
+                inside = counts & ~below & (part < BINS) & (need > 0)[:, None]
+                flat = (np.arange(len(query_ids))[:, None] * BINS + part)[inside]
+                counted = np.bincount(flat, minlength=len(query_ids) * BINS)
+                if row["query_block"] in held:
+                    held[row["query_block"]] += counted
+                else:
+                    if len(held) >= HELD_BLOCKS:
+                        yield flush()
+                    held[row["query_block"]] = counted
+        if held:
+            yield flush()
+
+    return run
 
 
-def _narrowed(table: pa.Table) -> pa.Table:
-    """New state of a query block: each bracket becomes the part that holds the needed rank."""
-    table = _summed(table)
-    low, step, need = np.frombuffer(table.column("state")[0].as_py(), "i8").reshape(3, -1).copy()
-    counts = np.frombuffer(table.column("counts")[0].as_py(), "i8").reshape(len(low), BINS)
-    from_top = np.cumsum(counts[:, ::-1], axis=1)
-    hit = np.minimum((from_top < need[:, None]).sum(axis=1), BINS - 1)
-    above = np.where(hit > 0, from_top[np.arange(len(low)), np.maximum(hit - 1, 0)], 0)
-    low = low + (BINS - 1 - hit) * step
-    need = need - above
-    step = np.maximum(1, step // BINS)  # a power of BINS, so the parts of a bracket never reach beyond it
-    state = np.concatenate([low, step, need]).astype("i8").tobytes()
-    return pa.Table.from_arrays(
-        [table.column("query_block"), pa.array([state], pa.binary())], names=["query_block", "state"]
+def _narrowed(counted: DataFrame, state: DataFrame, step: int) -> DataFrame:
+    """(query_block, place, low, need) with each bracket cut to the part that holds the needed rank.
+
+    A query has at most ``BINS`` parts. One with fewer scores than needed goes on with the lowest part.
+    """
+    summed = counted.groupBy("query_block", "place", "bin").agg(F.sum("n").alias("n"))
+    from_top = Window.partitionBy("query_block", "place").orderBy(F.desc("bin"))
+    parts = summed.join(state, ["query_block", "place"]).withColumn("above", F.sum("n").over(from_top) - F.col("n"))
+    reached = parts.where(F.col("above") < F.col("need"))
+    last = reached.groupBy("query_block", "place").agg(
+        F.min(F.struct("bin", "low", (F.col("need") - F.col("above")).alias("need"))).alias("hit")
+    )
+    return last.select(
+        "query_block", "place", (F.col("hit.low") + F.col("hit.bin") * step).alias("low"), F.col("hit.need").alias("need")
     )
 
 
@@ -136,7 +166,7 @@ def _winners(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             query_ids, ids, scores, counts = _block_scores(row)
-            value, _, need = np.frombuffer(row["state"], "i8").reshape(3, -1)
+            value, need = _state(row, len(query_ids))
             q, c = np.nonzero(counts & (scores > value[:, None]))
             parts = [(q, c)]
             tied_q, tied_c = np.nonzero(counts & (scores == value[:, None]))
@@ -177,39 +207,41 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     queries = materialize(
         stated.mapInArrow(_blocks(QUERY_BLOCK), _BLOCK_DDL).select(
             "dim", F.col("block").alias("query_block"), F.col("ids").alias("query_ids"),
-            F.col("ints").alias("query_ints"), F.col("largest").alias("query_largest"),
+            F.col("ints").alias("query_ints"), F.col("largest").alias("query_largest"), F.col("norm").alias("query_norm"),
         ),
         "queries",
     )
-    meetings = candidates.select("dim", "block").join(queries.select("dim", "query_block"), "dim")
-    largest = candidates.agg(F.max(F.col("largest")), F.max("dim")).first()
-    bound = (largest[0] or 0) ** 2 * (largest[1] or 0) + 1
+    lanes = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
+    meetings = (
+        candidates.select("dim", "block", lanes.alias("salt"))
+        .join(queries.select("dim", "query_block", salt("query_block").alias("salt")), ["dim", "salt"])
+        .select("block", "query_block", salt("block").alias("lane"))
+    )
+    # No score is larger than the product of the largest norms, nor than the limit that scores are held to.
+    norms = candidates.agg(F.max("norm")).first()[0] or 0.0, queries.agg(F.max("query_norm")).first()[0] or 0.0
+    bound = LIMIT - 1 if norms[0] * norms[1] >= LIMIT / 2 else int(norms[0] * norms[1] * (1 + 1e-9)) + 1
     step = 1
-    while BINS * step < 2 * bound:
+    while BINS * step < 2 * bound + 1:
         step *= BINS
+    places = F.sequence(F.lit(0), (F.length("query_ids") / 8).cast("int") - 1)
+    state = queries.select("query_block", F.explode(places.cast("array<long>")).alias("place")).select(
+        "query_block", "place", F.lit(-bound).cast("long").alias("low"), F.lit(k).cast("long").alias("need")
+    )
 
-    def start(ids: Column) -> Column:
-        return F.concat(*[
-            F.unhex(F.repeat(F.lit(int(v).to_bytes(8, "little", signed=True).hex()), (F.length(ids) / 8).cast("int")))
-            for v in (-bound, step, k)
-        ])
+    def meeting() -> DataFrame:
+        """Pairs of blocks with the query block's state; its copies are dealt over lanes, as it meets all candidates."""
+        packed = state.groupBy("query_block").agg(F.collect_list(F.struct("place", "low", "need")).alias("state"))
+        asked = queries.drop("dim").join(packed, "query_block").withColumn("lane", lanes)
+        return meetings.join(candidates, "block").join(asked, ["query_block", "lane"])
 
-    state = queries.select("query_block", start(F.col("query_ids")).alias("state"))
     while True:
-        pairs = meetings.join(candidates.drop("dim"), "block").join(queries.drop("dim"), "query_block").join(
-            state, "query_block"
-        )
-        counted = pairs.mapInArrow(_histograms, _COUNTS_DDL)
-        summed = counted.groupBy("query_block", "salt").applyInArrow(_summed, _COUNTS_DDL)
-        narrowed = summed.groupBy("query_block").applyInArrow(_narrowed, "query_block long, state binary")
-        state = materialize(narrowed, "state")
+        counted = meeting().mapInArrow(_histograms(step), "query_block long, place long, bin long, n long")
+        state = materialize(_narrowed(counted, state, step), "state")
         if step == 1:
             break
         step //= BINS
-    pairs = meetings.join(candidates.drop("dim"), "block").join(queries.drop("dim"), "query_block").join(
-        state, "query_block"
-    )
-    winners = pairs.mapInArrow(_winners, "query_block long, place long, query_id long, vec_id long, score long")
+    winners = meeting().mapInArrow(_winners, "query_block long, place long, query_id long, vec_id long, score long")
     order = Window.partitionBy("query_block", "place").orderBy(F.desc("score"), "vec_id")
     return winners.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
