@@ -123,3 +123,99 @@ def test_memory_of_words_is_bounded(predicted, spark, monkeypatch):
     for r in rows[:60]:
         assert small.predict(r.text)[0] == whole.predict(r.text)[0]
     assert len(small.vectors) <= len(small.known) + 41
+
+
+def brute_languages(docs, words_kept, grams_kept):
+    """doc_id -> (language, score), from the definition: counts of all languages of every string that is frequent in any."""
+    import math
+    import re
+    from collections import Counter
+
+    def words_of(text):
+        return re.findall(r"[^\W\d_]+", (text or "").lower())
+
+    def strings(word, order):
+        marked = word if order == 1 else f"<{word}>"
+        return [word] if order == 0 else [marked[k : k + order] for k in range(len(marked) - order + 1)]
+
+    counts, rows = {}, docs.select("doc_id", "text", "lang").collect()
+    taught = [r for r in rows if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 5]
+    for r in taught:
+        for word in words_of(r.text):
+            for order in range(5):
+                counts.setdefault((r.lang, order), Counter()).update(strings(word, order))
+    languages = sorted({r.lang for r in taught})
+    kept = {}
+    for order in range(5):
+        top = set()
+        for lang in languages:
+            own = counts.get((lang, order), Counter())
+            top |= set(sorted(own, key=lambda g: (-own[g], g))[: words_kept if order == 0 else grams_kept])
+        kept[order] = top
+
+    def vector(string, order):
+        out = []
+        for lang in languages:
+            own = counts.get((lang, order), Counter())
+            out.append(math.log((own[string] + 0.5) / (sum(own.values()) + 0.5 * (len(kept[order]) + 1))))
+        return out
+
+    def of_word(word):
+        for order in (0, 4, 3, 2, 1):
+            found = [vector(s, order) for s in strings(word, order) if s in kept[order]]
+            if found:
+                return [sum(v) / len(found) for v in zip(*found)]
+        return None
+
+    default = max(languages, key=lambda lang: (sum(r.lang == lang for r in taught), -languages.index(lang)))
+    memo, out = {}, {}
+    for r in rows:
+        words = words_of(r.text)
+        used = [memo.setdefault(w, of_word(w)) for w in words]
+        used = [v for v in used if v is not None]
+        if not words:
+            out[r.doc_id] = ("und", 0.0)
+        elif not used:
+            out[r.doc_id] = (default, 1 / len(languages))
+        else:
+            mean = [sum(v) / len(used) for v in zip(*used)]
+            odds = [math.exp(m - max(mean)) for m in mean]
+            out[r.doc_id] = (languages[odds.index(max(odds))], max(odds) / sum(odds))
+    return out
+
+
+@pytest.mark.parametrize("kept", [None, 12])
+def test_predictions_equal_the_definition(spark, monkeypatch, kept):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    if kept:  # few strings, so that most words back off and some end in a single letter or nothing
+        monkeypatch.setattr(language_id, "WORDS", kept)
+        monkeypatch.setattr(language_id, "GRAMS", kept)
+        extra = [(10_000 + k, t, "fr" if k == 1 else None) for k, t in enumerate(["日本語 テキスト", "ñandú ž", "1 2", "日 the"])]
+        docs = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(extra, "doc_id long, text string, lang string"))
+    want = brute_languages(docs, kept or language_id.WORDS, kept or language_id.GRAMS)
+    for r in language_id.identify_languages(docs).collect():
+        assert r.lang_pred == want[r.doc_id][0] and r.score == pytest.approx(want[r.doc_id][1], abs=1e-9)
+
+
+def test_a_script_that_was_never_seen_is_not_known(spark):
+    scorer = language_id.Scorer(language_id.train(spark.read.parquet(f"{SF}/documents.parquet")))
+    language, score = scorer.predict("日本語 テキスト")
+    assert score == 1 / len(scorer.model.languages) and language == scorer.model.languages[scorer.model.default]
+
+
+def test_too_many_languages_are_refused(spark):
+    docs = spark.range(40).selectExpr("id doc_id", "'some text' text", "concat('l', id) lang")
+    with pytest.raises(ValueError, match="most_languages"):
+        language_id.train(docs, most_languages=10)
+
+
+def test_the_stage_fills_languages_by_the_prediction(spark):
+    """A constant model, or one that predicts at random, fails here."""
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    hidden = given.withColumn("lang", F.when(language_id.held_out(F.col("doc_id")), F.lit(None)).otherwise(F.col("lang")))
+    truth = {r.doc_id: r.lang for r in given.collect()}
+    told = {r.doc_id: r.lang for r in language_id.with_known_language(hidden).collect()}
+    held = [i for i in told if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len({truth[i] for i in held}) > 1
+    assert sum(told[i] == truth[i] for i in held) >= 0.97 * len(held)
+    assert all(told[i] == truth[i] for i in told if i not in held)

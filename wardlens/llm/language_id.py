@@ -1,9 +1,9 @@
 """Word-first language identification with back-off to character n-grams.
 
 Learning: corpus counts per language of whole words and of the character n-grams (orders 1 to 4, over words with
-boundary marks) of a bounded, hash-drawn sample of labelled documents (``SAMPLE_ROWS`` per language); per
-language the ``WORDS`` most frequent words and ``GRAMS`` most frequent n-grams of each order are kept, so the
-model's size does not follow the corpus. Prediction: a known word adds its log frequency in each language. An
+boundary marks, which are no 1-grams) of a bounded, hash-drawn sample of labelled documents (``SAMPLE_ROWS`` per language). The
+``WORDS`` most frequent words and ``GRAMS`` most frequent n-grams of each order of any language are kept, each with its
+counts in all languages, so the model's size follows the number of languages (at most ``MOST_LANGUAGES``), not the corpus. Prediction: a known word adds its log frequency in each language. An
 unseen word adds the mean log frequency of its 4-grams known in any language, else of its 3-, 2- or 1-grams, else
 nothing. The mean over all words decides; the score is the softmax of that mean.
 
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlens.functions.scale import materialize_small
 from wardlens.llm.exchange import text_batches
 from wardlens.llm.shipping import ship_package
 from wardlens.llm.task_cache import held
@@ -38,6 +39,7 @@ GRAMS = 5_000
 ORDERS = (4, 3, 2, 1)
 SMOOTHING = 0.5
 MEMO_WORDS = 200_000
+MOST_LANGUAGES = 64  # beyond it training is refused: the model holds a number per kept string and language
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -48,7 +50,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def grams_of(word: str, order: int) -> list[str]:
-    marked = f"<{word}>"
+    marked = f"<{word}>" if order > 1 else word
     return [marked[i : i + order] for i in range(len(marked) - order + 1)]
 
 
@@ -96,7 +98,7 @@ def _log_frequencies(rows: list, languages: tuple[str, ...], totals: dict[str, i
     return tuple(grams), np.log((counts + SMOOTHING) / (total + SMOOTHING * (len(grams) + 1))).tobytes()
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, most_languages: int = MOST_LANGUAGES) -> Model | None:
     """Learn from the rows of ``docs`` (text, lang, doc_id) that are not held out and have a language."""
     ship_package(docs.sparkSession)
     rows = docs.select(
@@ -106,25 +108,26 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     if not sizes:
         return None
     languages = tuple(sorted(sizes))
+    if len(languages) > most_languages:
+        raise ValueError(f"{len(languages)} languages are labelled, more than most_languages={most_languages}")
     parts = 1 << 20
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(math.ceil(parts * sample_rows / n)))])
     drawn = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(parts)) < share[F.col("lang")]
-    counts = (
+    counts = materialize_small(
         rows.where(drawn).select("lang", "text")
         .mapInArrow(_count, "lang string, order int, gram string, n long")
-        .groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
+        .groupBy("lang", "order", "gram").agg(F.sum("n").alias("n")),
+        "language_counts",
     )
     best = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "gram")
     kept = F.when(F.col("order") == 0, WORDS).otherwise(GRAMS)
-    totals = Window.partitionBy("lang", "order")
-    model_rows = (
-        counts.withColumn("rank", F.row_number().over(best)).withColumn("total", F.sum("n").over(totals))
-        .where(F.col("rank") <= kept).select("lang", "order", "gram", "n", "total").collect()
-    )
+    frequent = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= kept).select("order", "gram").distinct()
+    model_rows = counts.join(frequent, ["order", "gram"], "left_semi").collect()
+    totals = counts.groupBy("lang", "order").agg(F.sum("n").alias("total")).collect()
     tables = []
     for order in (0, *ORDERS):
         own = [r for r in model_rows if r["order"] == order]
-        tables.append(_log_frequencies(own, languages, {r["lang"]: r["total"] for r in own}))
+        tables.append(_log_frequencies(own, languages, {r["lang"]: r["total"] for r in totals if r["order"] == order}))
     default = languages.index(min(sizes, key=lambda lang: (-sizes[lang], lang)))
     return Model(languages, default, tuple(tables))
 
@@ -232,12 +235,13 @@ def identify_languages(docs: DataFrame) -> DataFrame:
 
 
 def with_known_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told, in their own columns.
+    """The documents with a letter, in their own columns; a null ``lang`` is filled with the predicted language.
 
-    Without a labelled row to learn from no verdict is possible: a table with letters then raises an error.
+    Every text with a letter has a best language and stays, also one in a script that no label teaches. Without a labelled row to learn from no verdict is possible: a table with letters then raises an error.
     """
     model = train(docs)
     if model is None and not docs.where(F.col("`text`").rlike(r"\p{L}")).isEmpty():
         raise ValueError("no labelled document to learn languages from")
     out = predictions(docs, model, docs.columns)
-    return out.where(F.col("_lang") != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
+    told = F.coalesce(F.col("`lang`"), F.col("_lang").cast(docs.schema["lang"].dataType)).alias("lang")
+    return out.where(F.col("_lang") != UNDETERMINED).select(*[told if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
