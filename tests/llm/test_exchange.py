@@ -92,3 +92,16 @@ def test_written_frames_restore_the_setting(spark):
     before = spark.conf.get(key)
     assert exchange.written(spark.range(5).repartition(2), "t").count() == 5
     assert spark.conf.get(key) == before
+
+
+def test_totals_of_many_task_groups_are_added_up(spark, monkeypatch):
+    """Rows of several groups of tasks, as many tasks would send, give the same sums as one group."""
+    import numpy as np
+
+    from wardlens.llm import exchange, ngram_join
+
+    rng = np.random.default_rng(2)
+    arrays = [(int(kind), int(bucket), rng.integers(0, 9, 4)) for kind in range(5) for bucket in (0, 1, 7) for _ in range(3)]
+    rows = spark.createDataFrame([(k, b, a.astype("i8").tobytes()) for k, b, a in arrays], exchange.PACKED_DDL).repartition(6)
+    found = {r["bucket"]: np.frombuffer(r["data"], "i8").tolist() for r in exchange.added_up(rows, ngram_join._add_slices).collect()}
+    assert found == {b: sum(a for _, c, a in arrays if c == b).tolist() for b in (0, 1, 7)}

@@ -8,10 +8,11 @@ where the operator allows it, so a key shared by a third of all rows costs its b
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +97,23 @@ def packed_rows(rows: Iterable[tuple[int, int, bytes]]) -> pa.Table:
     )
 
 
+TASKS_PER_SUM = 1024
+
+
+def task_group() -> int:
+    """Number of the group of tasks whose packed totals are added up first."""
+    return TaskContext.get().partitionId() // TASKS_PER_SUM
+
+
+def added_up(totals: DataFrame, add: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """One packed row per bucket from every task's rows, whose kind is their ``task_group``.
+
+    Added in two levels, so no group holds more rows than ``TASKS_PER_SUM`` or the number of task groups.
+    """
+    first = totals.groupBy("kind", "bucket").applyInArrow(add, PACKED_DDL)
+    return first.groupBy("bucket").applyInArrow(add, PACKED_DDL)
+
+
 def first_of_runs(sorted_keys: np.ndarray) -> np.ndarray:
     """True where a new key starts."""
     out = np.ones(len(sorted_keys), bool)

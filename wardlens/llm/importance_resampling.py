@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.scale import materialize, order_statistics
-from wardlens.llm.exchange import PACKED_DDL, packed_rows, text_batches
+from wardlens.llm.exchange import PACKED_DDL, added_up, packed_rows, task_group, text_batches
 from wardlens.llm.hashing import U64, ascii_words, sequence_hashes, word_hashes
 from wardlens.llm.mixing import uniform
 from wardlens.llm.shipping import ship_package
@@ -53,7 +53,7 @@ def _count(shared):
                 if i in target:
                     totals[0] += counts
         parts = np.split(totals, SLICES, axis=1)
-        yield from packed_rows((0, s, part.tobytes()) for s, part in enumerate(parts)).to_batches()
+        yield from packed_rows((task_group(), s, part.tobytes()) for s, part in enumerate(parts)).to_batches()
 
     return run
 
@@ -100,7 +100,7 @@ def importance_weights(docs: DataFrame, labels: DataFrame, target_rows: int = TA
     target = spark.sparkContext.broadcast(frozenset(r["i"] for r in drawn.collect()))
     read = docs.select(F.col("`doc_id`").cast("long").alias("_id"), F.col("`text`").cast("string").alias("_text"))
     totals = np.zeros((SLICES, 2, BUCKETS // SLICES), np.int64)
-    for row in read.mapInArrow(_count(target), PACKED_DDL).groupBy("bucket").applyInArrow(_add, PACKED_DDL).collect():
+    for row in added_up(read.mapInArrow(_count(target), PACKED_DDL), _add).collect():
         totals[row["bucket"]] = np.frombuffer(row["data"], np.int64).reshape(2, -1)
     counts = totals.transpose(1, 0, 2).reshape(2, BUCKETS)
     ratios = spark.sparkContext.broadcast(log_ratios(counts[0], counts[1]))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from wardlens.llm.components import component_roots
 from wardlens.llm.exchange import (
     PACKED_DDL,
+    added_up,
     blobs_of,
     bucket_total,
     by_bucket,
@@ -40,6 +41,7 @@ from wardlens.llm.exchange import (
     packed_rows,
     packed_tables,
     tables_of,
+    task_group,
     text_batches,
     unpacked,
     written,
@@ -80,7 +82,7 @@ def _count_groups(words: int):
             for text in batch.column(0):
                 totals += np.bincount(_group(shingle_set(text.as_py(), words)), minlength=GROUPS)
         parts = totals.reshape(SLICES, -1)
-        yield from packed_rows((0, s, part.tobytes()) for s, part in enumerate(parts)).to_batches()
+        yield from packed_rows((task_group(), s, part.tobytes()) for s, part in enumerate(parts)).to_batches()
 
     return run
 
@@ -95,7 +97,7 @@ def _add_slices(table: pa.Table) -> pa.Table:
 
 def group_totals(texts: DataFrame, words: int = WORDS) -> np.ndarray:
     """How many documents' shingles fall into each of the ``GROUPS`` groups; 512 KB whatever the corpus."""
-    counted = texts.mapInArrow(_count_groups(words), PACKED_DDL).groupBy("bucket").applyInArrow(_add_slices, PACKED_DDL)
+    counted = added_up(texts.mapInArrow(_count_groups(words), PACKED_DDL), _add_slices)
     totals = np.zeros((SLICES, GROUPS // SLICES), np.int64)
     for row in counted.collect():
         totals[row["bucket"]] = np.frombuffer(row["data"], np.int64)
