@@ -29,7 +29,8 @@ HEADLINES = (
     "q59_los_bucket_and_paid", "historical_occupancy", "latest_snapshot", "emergency_forecast", "monthly_activity",
     "payer_summary", "doctor_performance", "latest_encounter", "risk_class", "correlation_matrix",
     "measures_by_department", "check_primary_keys", "check_foreign_keys", "classification_metrics", "occupancy_models",
-    "occupancy_forecast",
+    "occupancy_forecast", "monthly_operations_report", "patient_360_report", "dataset_fingerprint", "train_waiting",
+    "waiting_scenario",
 )
 
 
