@@ -315,3 +315,33 @@ def cleaned(
     text = F.when(F.size("_gone") == 0, F.col("_text")).otherwise(F.array_join(kept, ""))
     names = [text.alias(c) if c == "text" else F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)]
     return found.withColumn("_gone", gone).select(*names)
+
+
+def statement(window: int = WINDOW) -> str:
+    """DuckDB statement of the digest columns over ``documents`` and ``benchmark``, by a join of all windows."""
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"regexp_extract_all({lowered}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents
+), items AS (
+  SELECT item_id, w, least(len(w), {window}) AS size FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[k : k + size - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM items)
+), places AS (
+  SELECT r, size, k, array_to_string(w[k : k + size - 1], ' ') AS s
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), found AS (
+  SELECT r, k, size, item_id FROM places JOIN windows USING (size, s)
+), hits AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS place FROM (SELECT DISTINCT r, k, size FROM found))
+  GROUP BY r
+), owners AS (
+  SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found WHERE item_id IS NOT NULL GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN owners USING (r)
+"""
