@@ -5,10 +5,13 @@ import random
 
 import edge
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
-from wardlens.llm import suffix_dedup
+from wardlens.llm import prefix_doubling, suffix_dedup
+
+FINDS = [suffix_dedup.anchored_matches, prefix_doubling.matches]
 
 
 def brute(rows, length):
@@ -31,8 +34,8 @@ def brute(rows, length):
     return sorted(out)
 
 
-def result(docs, length):
-    rows = suffix_dedup.suffix_dedup(docs, length).collect()
+def result(docs, length, find=suffix_dedup.anchored_matches):
+    rows = suffix_dedup.suffix_dedup(docs, length, find).collect()
     for r in rows:
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
     return sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
@@ -42,23 +45,26 @@ def pairs(docs):
     return [(r.doc_id, (r.text or "").encode()) for r in docs.select("doc_id", "text").collect()]
 
 
-def test_fixture(spark):
+@pytest.mark.parametrize("find", FINDS)
+def test_fixture(spark, find):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    assert result(docs, 50) == brute(pairs(docs), 50)
+    assert result(docs, 50, find) == brute(pairs(docs), 50)
 
 
+@pytest.mark.parametrize("find", FINDS)
 @pytest.mark.parametrize("repeat", [False, True])
-def test_edges(spark, repeat):
+def test_edges(spark, repeat, find):
     docs = edge.documents(spark, repeat, null_id=repeat)
-    assert result(docs, 50) == brute(pairs(docs), 50)
+    assert result(docs, 50, find) == brute(pairs(docs), 50)
 
 
+@pytest.mark.parametrize("find", FINDS)
 @pytest.mark.parametrize("length", [2, 7, 20])
-def test_random_strings_with_many_overlaps(spark, length):
+def test_random_strings_with_many_overlaps(spark, length, find):
     rng = random.Random(length)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 60))) for _ in range(60)]
     docs = spark.createDataFrame([(i * 3 % 61, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    assert result(docs, length) == brute(pairs(docs), length)
+    assert result(docs, length, find) == brute(pairs(docs), length)
 
 
 def test_blocks_of_a_long_text_give_the_same_windows():
@@ -91,3 +97,14 @@ def test_cut_characters_go(spark):
         "doc_id long, text string, n_chars long",
     )
     assert {r.doc_id: r.text for r in suffix_dedup.deduplicated_documents(docs).collect()}[2] == "a"
+
+
+def test_plain_form_with_blocks_and_without_rows(spark, monkeypatch):
+    monkeypatch.setattr(prefix_doubling, "PAIR_ROWS", 64)
+    parts = list(prefix_doubling._first_pairs(8, 8)([pa.RecordBatch.from_pydict({"_id": [3], "_key": [0], "_text": [b"abc" * 99]})]))
+    rows = [r for part in parts for r in part.to_pylist()]
+    text = b"abc" * 99
+    assert [r["at"] for r in rows] == list(range(len(text) - 15)) and len(parts) > 2
+    assert all(r["r1"].to_bytes(8, "big") + r["r2"].to_bytes(8, "big") == text[r["at"] : r["at"] + 16] for r in rows)
+    assert result(edge.empty(spark), 50, prefix_doubling.matches) == []
+    assert prefix_doubling.offsets(50) == (8, [8, 16, 18])

@@ -1,8 +1,8 @@
-"""Removal of byte strings that also start in an earlier document, by sparse distributed prefix doubling.
+"""Removal of byte strings that also start in an earlier document, by minimizer anchors with hashed windows.
 
-Prefix doubling sorts (position, rank) pairs at growing lengths and drops a position once its rank is unique.
-Sorting every byte position at every length would move tens of bytes per text byte and round, so three things
-are thinned without losing a match:
+A substitute for prefix doubling, which sorts the (position, rank) pairs of all bytes at growing offsets. That form is
+in ``prefix_doubling`` and gives the same rows through ``find=prefix_doubling.matches``; it moves tens of bytes per text
+byte and round (figures in README.md). From it stays that a position leaves once its name is unique:
 
 * Ranks are 64-bit names of the strings themselves (prefix sums of a polynomial), so the rank at ``p + h``
   needs no join; equal strings get equal names in every task.
@@ -26,7 +26,7 @@ empty result. Other columns never clash, as only id and text are read (or carrie
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +90,7 @@ def stretches(data: np.ndarray, length: int, block: int = BLOCK) -> Iterator[tup
         yield names[at[first]], windows.spans(first, last + length), first + start, last - first + 1
 
 
-def _texts(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, int, bytes]]:
+def texts_of(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, int, bytes]]:
     """(id, text key, bytes) of the rows with an id, each (id, key) once, in id order."""
     ids, keys = batch.column("_id").to_pylist(), batch.column("_key").to_pylist()
     texts = batch.column("_text")
@@ -116,7 +116,7 @@ def _rank_anchors(length: int, total: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             parts: list[list[np.ndarray]] = [[] for _ in ENTRY]
-            for i, key, text in _texts(batch):
+            for i, key, text in texts_of(batch):
                 for anchor, name, first, count in stretches(np.frombuffer(text, np.uint8), length):
                     n = len(first)
                     for part, a in zip(parts, (anchor, name, np.full(n, i), np.full(n, key), first, count)):
@@ -174,7 +174,7 @@ def _rank_windows(length: int, total: int):
     def run(table: pa.Table) -> pa.Table:
         parts: list[list[np.ndarray]] = [[] for _ in WINDOW]
         wanted = _ranges_by_row(*unpacked(blobs_of(table, PROBE), RANGE))
-        for i, k, text in (row for docs in tables_of(blobs_of(table, DOCS)) for row in _texts(docs)):
+        for i, k, text in (row for docs in tables_of(blobs_of(table, DOCS)) for row in texts_of(docs)):
             if (i, k) not in wanted:
                 continue
             at = _covered(*wanted.pop((i, k)))
@@ -275,6 +275,22 @@ def _cut(length: int, carried: Sequence[str], as_text: bool):
 OUTPUT = ("_kept", "_bytes", "_removed", "_spans", "_sha256")
 
 
+def anchored_matches(rows: DataFrame, length: int, total: int) -> DataFrame:
+    """Packed matched windows of ``rows`` (_id, _key, _text, bucket), in ranges."""
+    ranked = rows.drop("bucket").mapInArrow(_rank_anchors(length, total), PACKED_DDL)
+    judged = written(
+        ranked.groupBy("kind", "bucket").applyInArrow(_judge_stretches(total), PACKED_DDL), "stretches"
+    )
+    texts = rows.mapInArrow(packed_tables(DOCS), PACKED_DDL)
+    windows = texts.unionByName(judged.where(F.col("kind") == PROBE)).groupBy("bucket").applyInArrow(
+        _rank_windows(length, total), PACKED_DDL
+    )
+    singles = written(
+        windows.groupBy("kind", "bucket").applyInArrow(_judge_windows(total), PACKED_DDL), "windows"
+    )
+    return judged.where(F.col("kind") == MATCH).unionByName(singles)
+
+
 def cut_repeats(
     docs: DataFrame,
     carry: Sequence[str],
@@ -282,10 +298,12 @@ def cut_repeats(
     text_col: str = "text",
     length: int = MIN_LENGTH,
     as_text: bool = False,
+    find: Callable[[DataFrame, int, int], DataFrame] = anchored_matches,
 ) -> DataFrame:
     """Columns ``carry`` of ``docs`` and, per row, _kept (remaining bytes), _bytes, _removed, _spans and _sha256.
 
-    With ``as_text`` the remaining bytes are text; a character of which only some bytes remain goes.
+    With ``as_text`` the remaining bytes are text; a character of which only some bytes remain goes. ``find`` finds the
+    matched windows.
     """
     spark, total = docs.sparkSession, bucket_total(docs.sparkSession)
     ship_package(spark)
@@ -299,18 +317,7 @@ def cut_repeats(
     )
     rows = read.select("_id", "_key", "_text", "bucket")
 
-    ranked = rows.drop("bucket").mapInArrow(_rank_anchors(length, total), PACKED_DDL)
-    judged = written(
-        ranked.groupBy("kind", "bucket").applyInArrow(_judge_stretches(total), PACKED_DDL), "stretches"
-    )
-    texts = rows.mapInArrow(packed_tables(DOCS), PACKED_DDL)
-    windows = texts.unionByName(judged.where(F.col("kind") == PROBE)).groupBy("bucket").applyInArrow(
-        _rank_windows(length, total), PACKED_DDL
-    )
-    singles = written(
-        windows.groupBy("kind", "bucket").applyInArrow(_judge_windows(total), PACKED_DDL), "windows"
-    )
-    matches = judged.where(F.col("kind") == MATCH).unionByName(singles)
+    matches = find(rows, length, total)
     carried = [f"_c{n}" for n in range(len(carry))]
     kinds = (T.StringType() if as_text else T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.StringType())
     schema = T.StructType(
@@ -322,9 +329,9 @@ def cut_repeats(
     return cut.select(*[F.col(f"_c{n}").alias(c) for n, c in enumerate(carry)], *OUTPUT)
 
 
-def suffix_dedup(docs: DataFrame, length: int = MIN_LENGTH) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = MIN_LENGTH, find=anchored_matches) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes."""
-    out = cut_repeats(docs, ["doc_id"], length=length)
+    out = cut_repeats(docs, ["doc_id"], length=length, find=find)
     return out.select(
         "doc_id", F.col("_bytes").alias("n_bytes"), F.col("_removed").alias("n_removed"),
         F.col("_spans").alias("n_spans"), F.col("_sha256").alias("kept_sha256"),
