@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 # Above this many distinct values a single aggregation buffer no longer holds the histogram of a column. Both ways
 # are exact (tests compare them); the limit only decides where the counting happens.
 HISTOGRAM_LIMIT = 100_000
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 400_000
+# Most bytes of files or compressed shuffle data that a task reads, unless the session sets them. Spark's own 128 and 64 MB
+# unpack to more wide rows than a core's share of the memory can sort.
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
 
 _local_dirs: dict[str, str] = {}
 _bucketed_tables: dict[str, list[str]] = {}
@@ -54,12 +57,20 @@ def remove_intermediates(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bound_tasks(spark: SparkSession) -> None:
+    """Let tasks grow in number instead of size, so that the sorts of a stage do not spill. What the session sets stays."""
+    for name, size in TASK_BYTES.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, size)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss, gives Catalyst its size.
 
     A small result read back this way is broadcast by Catalyst only if its real size is under
     ``spark.sql.autoBroadcastJoinThreshold``; a large one is shuffled, so no join needs a hint.
     """
+    bound_tasks(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -86,6 +97,7 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, parti
     writes exactly one bucket without another shuffle.
     """
     spark = df.sparkSession
+    bound_tasks(spark)
     path = new_path(spark, name)
     table = f"wardlens_{name}_{uuid.uuid4().hex[:12]}"
     placed = df if partitioned else df.repartition(buckets, key)

@@ -223,6 +223,21 @@ def link_billing_to_admissions(bill: DataFrame, adm: DataFrame) -> DataFrame:
     return _linked(pairs, bill.columns, SURROGATE_LINK)
 
 
+PLACE = "place"  # where a bill is stored: next to its admission, or by its own id if it names none
+
+
+def place_billing_by_encounter(bill: DataFrame, adm: DataFrame, partitions: int) -> DataFrame:
+    """``link_billing_by_encounter`` with its rows left in ``partitions`` hash partitions of ``place``.
+
+    ``place`` is the admission id wherever a bill is linked, so bills move once and are summed per admission where they are.
+    """
+    placed = bill.withColumn(PLACE, F.coalesce(encounter_admission(F.col("encounter_id")), "billing_id"))
+    targets = _link_targets(adm).repartition(partitions, "admission_id")
+    known = (F.col(PLACE) == targets["admission_id"]) & F.col("encounter_id").isNotNull()
+    pairs = placed.repartition(partitions, PLACE).join(targets, known, "left")
+    return _linked(pairs, placed.columns, GOVERNED_LINK)
+
+
 def link_billing_by_encounter(
     bill: DataFrame, adm: DataFrame, key: Callable[[Column], Column] = encounter_admission
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardlens.config import BILLING_LABELS, DEPARTMENTS, DOCTORS_PER_DEPARTMENT, GENDERS, GOVERNED_LINK, MEDICINES
@@ -172,7 +172,21 @@ def billing_summary(bill: DataFrame) -> DataFrame:
         F.sum("paid_amount").alias("paid_sum"),
         ratio(F.sum("claim_approved"), F.count("claim_approved")).alias("approval_mean"),
         F.count("billing_id").alias("bills"),
-        F.max("linkage_method").alias("link"),
+        governed_link().alias("link"),
+    )
+
+
+def governed_link() -> Column:
+    """The governed method if it is the largest of a group's methods, else null: as flags, so that no strings are sorted."""
+    method = F.col("linkage_method")
+    return F.when(F.max(method == GOVERNED_LINK) & ~F.max(method > GOVERNED_LINK), GOVERNED_LINK)
+
+
+def summary_of_sums(sums: DataFrame) -> DataFrame:
+    """``billing_summary`` read from the stored totals per admission."""
+    return sums.select(
+        "admission_id", F.col("billed").alias("billed_sum"), F.col("paid").alias("paid_sum"),
+        ratio(F.col("approved"), F.col("rated")).alias("approval_mean"), "bills", "link",
     )
 
 
@@ -248,26 +262,33 @@ def with_origins(df: DataFrame) -> DataFrame:
     )
 
 
-def engineer_features(adm: DataFrame, bill: DataFrame, partitions: int | None = None) -> DataFrame:
+def engineer_features(
+    adm: DataFrame, bill: DataFrame, partitions: int | None = None, sums: DataFrame | None = None
+) -> DataFrame:
     """All features, one row per admission.
 
     The wide rows are moved once, by admission id: visit history and bill summary are narrow tables joined
     on that key, department figures are small. With ``partitions`` all sides of those joins share one
-    partitioning, which a table bucketed into that many buckets can be written from directly.
+    partitioning, which a table bucketed into that many buckets can be written from directly. ``sums`` may supply the
+    written totals of the same bills, bucketed alike.
     """
 
     def spread(df: DataFrame) -> DataFrame:
         return df if partitions is None else df.repartition(partitions, "admission_id")
 
-    shaped = with_derived_dimensions(adm)
-    timed = with_waiting_time(with_load(shaped, department_daily(shaped)))
-    waits = average_wait_by_department(timed)
-    summary = billing_summary(bill)
-    cuts = billing_cut_rows(with_amounts(adm.join(summary, "admission_id", "left")), adm.count())
+    daily = department_daily(with_derived_dimensions(adm))
+
+    def timed(df: DataFrame) -> DataFrame:
+        return with_waiting_time(with_load(with_derived_dimensions(df), daily))
+
+    waits = average_wait_by_department(timed(adm))
+    summary = spread(billing_summary(bill)) if sums is None else summary_of_sums(sums)
+    cuts = billing_cut_rows(with_amounts(spread(adm).join(summary, "admission_id", "left")), adm.count())
     joined = (
-        spread(timed.join(F.broadcast(waits), "department", "left"))
+        timed(spread(adm))  # moved before its derived columns widen it
+        .join(F.broadcast(waits), "department", "left")
         .join(spread(visit_history(adm)), "admission_id")
-        .join(spread(summary), "admission_id", "left")
+        .join(summary, "admission_id", "left")
     )
     priced = with_finance(with_clinical_scores(joined))
     return with_origins(with_billing_category(priced, cuts)).select(*FEATURE_COLUMNS)

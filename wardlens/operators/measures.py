@@ -28,7 +28,7 @@ def _sliced_admissions(wh: Tables, by: Sequence[str]) -> DataFrame:
 def _money(wh: Tables) -> DataFrame:
     """Amounts and approvals per admission: stored ones, or summed from bills and claims."""
     if getattr(wh, "bill_sums", None) is not None:
-        return wh.bill_sums.drop("fan")
+        return wh.bill_sums.drop("fan", "bills", "link")
     approvals = wh["claims"].groupBy("billing_id").agg(
         F.sum("claim_approved").alias("approved"), F.count("claim_approved").alias("rated")
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from wardlens.config import DEPARTMENTS
 from wardlens.functions.columns import pick, position_in
+from wardlens.operators.cleaning import PLACE
+from wardlens.operators.features import governed_link
 
 
 class Warehouse(Mapping):
@@ -143,14 +145,17 @@ def claims(bill: DataFrame, insurance: DataFrame) -> DataFrame:
 
 
 def bill_sums(bill: DataFrame) -> DataFrame:
-    """Per admission: bills, amounts and approvals, as every bill has exactly one claim line."""
-    return bill.where(F.col("admission_id").isNotNull()).groupBy("admission_id").agg(
+    """Per admission: bills, amounts, approvals and link, as every bill has exactly one claim line."""
+    key = PLACE if PLACE in bill.columns else "admission_id"  # equal for linked bills
+    return bill.where(F.col("admission_id").isNotNull()).groupBy(F.col(key).alias("admission_id")).agg(
         F.count("*").alias("fan"),
         F.sum("paid_amount").cast("decimal(28,2)").alias("paid"),
         F.sum("billed_amount").alias("billed"),
         F.sum("claim_gap").alias("gap"),
         F.count("claim_approved").alias("rated"),
         F.sum("claim_approved").alias("approved"),
+        F.count("billing_id").alias("bills"),
+        governed_link().alias("link"),
     )
 
 

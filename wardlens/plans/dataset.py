@@ -20,7 +20,7 @@ from wardlens.sources import fixtures
 class HospitalData:
     """Each stage is written at most once and read back by everything that follows.
 
-    Features and the bill totals per admission are bucketed by admission id, bills by billing id. The warehouse fact
+    Features, bills and the bill totals per admission are bucketed by admission id. The warehouse fact
     tables are projections of features and bills; views take bill amounts from the totals and flat bills from one scan.
     """
 
@@ -47,24 +47,32 @@ class HospitalData:
         return materialize_small(warehouse.insurance(self.billing_clean), "insurance")
 
     @cached_property
-    def billing_linked(self) -> DataFrame:
-        """Linked bills with their payer number, so billing and claims are projections of one table."""
-        linked = cleaning.link_billing_by_encounter(self.billing_clean, self.admissions_clean)
+    def buckets(self) -> int:
+        """Of bills, their totals and features alike: all three lie by admission."""
+        return bucket_count(self.spark, max(self.billing_clean.count(), self.admissions_clean.count()))
+
+    @cached_property
+    def placed_bills(self) -> DataFrame:
+        """Linked bills with their payer number, stored by admission."""
+        linked = cleaning.place_billing_by_encounter(self.billing_clean, self.admissions_clean, self.buckets)
         numbered = warehouse.with_insurance_id(linked, self.insurance)
-        buckets = bucket_count(self.spark, self.billing_clean.count())
-        return materialize_bucketed(numbered, "billing", "billing_id", buckets)
+        return materialize_bucketed(numbered, "billing", cleaning.PLACE, self.buckets, partitioned=True)
+
+    @cached_property
+    def billing_linked(self) -> DataFrame:
+        """The linked bills, so billing and claims are projections of one table."""
+        return self.placed_bills.drop(cleaning.PLACE)
 
     @cached_property
     def bill_sums(self) -> DataFrame:
         """Bill totals per admission, bucketed like the features, so views join them without a shuffle."""
-        buckets = bucket_count(self.spark, self.admissions_clean.count())
-        return materialize_bucketed(warehouse.bill_sums(self.billing_linked), "bill_sums", "admission_id", buckets)
+        sums = warehouse.bill_sums(self.placed_bills)
+        return materialize_bucketed(sums, "bill_sums", "admission_id", self.buckets, partitioned=True)
 
     @cached_property
     def features(self) -> DataFrame:
-        buckets = bucket_count(self.spark, self.admissions_clean.count())
-        feat = engineer_features(self.admissions_clean, self.billing_linked, buckets)
-        return materialize_bucketed(feat, "features", "admission_id", buckets, partitioned=True)
+        feat = engineer_features(self.admissions_clean, self.billing_linked, self.buckets, self.bill_sums)
+        return materialize_bucketed(feat, "features", "admission_id", self.buckets, partitioned=True)
 
     @cached_property
     def warehouse(self) -> Warehouse:

@@ -57,15 +57,16 @@ def raw_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    # Lines repeat per order and line number: combine them before joining the order attributes.
-    combined = lines.groupBy("l_orderkey", "l_linenumber").agg(
+    # Lines repeat per order and line number: combine them before joining the order attributes. They move once, by order.
+    # Smallest labels are compared as flags, which a hash aggregate keeps; smallest strings would be sorted for.
+    smallest = lambda c, v: F.max(F.col(c) == v) & ~F.max(F.col(c) < v)
+    combined = lines.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_shipdate").cast("date").alias("claim_billing_date"),
-        F.min("l_returnflag").alias("flag"),
-        F.min("l_linestatus").alias("state"),
+        smallest("l_returnflag", "R").alias("denied"),
+        (smallest("l_returnflag", "N") & smallest("l_linestatus", "O")).alias("pending"),
         F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).alias("gross"),
     )
-    denied = F.col("flag") == "R"
-    pending = (F.col("flag") == "N") & (F.col("state") == "O")
+    denied, pending = F.col("denied"), F.col("pending")
     line = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     method = F.col("l_linenumber") % 3
     return (
