@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardlens.functions import scale
 from wardlens.operators import cleaning, features, warehouse
+from wardlens.plans.catalog import QUERIES
 from wardlens.sources import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -81,3 +82,12 @@ def test_task_sizes_of_the_session_stay(spark):
         assert spark.conf.get(name) == scale.TASK_BYTES[name]
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_landing_bills_are_not_gathered(spark, data, monkeypatch):
+    def gathered(*_):
+        raise AssertionError("all bills in one task")
+
+    monkeypatch.setattr(type(data.billing_clean), "coalesce", gathered)
+    found = QUERIES["ingest_keyed_bills"](spark, SF)
+    assert found.count() == data.billing_clean.count() == found.select("billing_id").distinct().count()

@@ -128,14 +128,15 @@ def _interrupted(d: HospitalData) -> DataFrame:
 
 @query("ingest_keyed_bills")
 def _ingested(d: HospitalData) -> DataFrame:
-    """Bills that land in three files, one per batch; the third repeats bills of either earlier one. Stored once, with derived fields."""
+    """Bills that land in three deliveries, one per batch; the third repeats bills of either earlier one. Stored once, with derived fields."""
     landing, target, checkpoint = (new_path(d.spark, n) for n in ("bills-landing", "bills-stored", "bills-checkpoint"))
     bills = d.billing_clean.drop("claim_gap", "claim_approved")
     part = stable_int("billing_id", 10)
     for chosen in (part < 6, part >= 6, (part == 1) | (part == 7)):
-        bills.where(chosen).coalesce(1).write.mode("append").parquet(landing)
-    arriving = ingest.arriving_bills(d.spark, landing, bills.schema, files_per_batch=1)
-    ingest.ingest_keyed_bills(arriving, target, checkpoint).awaitTermination()
+        bills.where(chosen).write.mode("append").parquet(landing)
+        # One batch for all files that have landed; the next start goes on after it.
+        arriving = ingest.arriving_bills(d.spark, landing, bills.schema, files_per_batch=1_000_000)
+        ingest.ingest_keyed_bills(arriving, target, checkpoint).awaitTermination()
     return ingest.stored_bills(d.spark, target).drop(ingest.ARRIVED)
 
 
