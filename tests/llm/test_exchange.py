@@ -105,3 +105,24 @@ def test_totals_of_many_task_groups_are_added_up(spark, monkeypatch):
     rows = spark.createDataFrame([(k, b, a.astype("i8").tobytes()) for k, b, a in arrays], exchange.PACKED_DDL).repartition(6)
     found = {r["bucket"]: np.frombuffer(r["data"], "i8").tolist() for r in exchange.added_up(rows, ngram_join._add_slices).collect()}
     assert found == {b: sum(a for _, c, a in arrays if c == b).tolist() for b in (0, 1, 7)}
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Packed rows are large: neither a batch nor a group's batch may hold tens of megabytes."""
+    from pyspark.sql import functions as F
+
+    from wardlens.llm.shipping import ship_package
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "rows"])
+
+    def pieces(group):
+        return pa.table({"pieces": [group.column("data").num_chunks], "rows": [group.num_rows]})
+
+    ship_package(spark)
+    packed = spark.range(0, 400, 1, 1).select(F.lit(0).alias("kind"), F.lit(0).alias("bucket"), F.expr("cast(repeat('ab', 50000) as binary)").alias("data"))
+    found = packed.mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r.rows for r in found) == 400 and max(r.bytes for r in found) < 10 << 20
+    (group,) = packed.groupBy("bucket").applyInArrow(pieces, "pieces long, rows long").collect()
+    assert group.rows == 400 and group.pieces > 3

@@ -119,12 +119,14 @@ def _rank_anchors(length: int, total: int):
             for i, key, text in texts_of(batch):
                 for anchor, name, first, count in stretches(np.frombuffer(text, np.uint8), length):
                     n = len(first)
-                    for part, a in zip(parts, (anchor, name, np.full(n, i), np.full(n, key), first, count)):
-                        part.append(a)
+                    for part, a, kind in zip(parts, (anchor, name, np.full(n, i), np.full(n, key), first, count), ENTRY):
+                        part.append(a.astype(kind, copy=False))
             if not parts[0]:
                 continue
-            columns = [np.concatenate(p).astype(t) for p, t in zip(parts, ENTRY)]
+            columns = [np.concatenate(p) for p in parts]
+            parts.clear()
             known, home = _split_off_known(columns[1], columns[2], columns)
+            columns.clear()
             target = (home[0] % U64(total)).astype(np.int64)
             rows = list(by_bucket(1, target, [*_short(home[0]), *_short(home[1]), *home[2:]]))
             rows += by_bucket(0, id_bucket(known[2], total), known[2:])
