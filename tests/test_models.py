@@ -143,3 +143,16 @@ def test_one_series_per_department(data):
         data.census.select("date", F.col("occupied_beds").alias("h")), "date"
     )
     assert total.where("d <> h").count() == 0
+
+
+def test_tasks_of_a_fit_stop_at_the_cores(spark, data):
+    """Every task of a forest's pass sends statistics of all its nodes, so tasks beyond the cores only add shuffle."""
+    assert [models.fit_tasks(n, 12) for n in (0, 1, 100_000, 100_001, 900_000)] == [1, 1, 1, 2, 9]
+    assert models.fit_tasks(9_000_000, 12) == 12
+    assert models.fit_tasks(54_000_000, 12) == 54
+    rows = 90 * models.ROWS_PER_TASK
+    spread = models._labelled(data.features, "waiting_time_minutes").repartition(40)
+    prepared = models.Prepared(models.WAITING_FEATURES, spread, rows, ["label"])
+    assert prepared.data.rdd.getNumPartitions() == max(9, spark.sparkContext.defaultParallelism)
+    assert prepared.data.count() == data.features.count()
+    prepared.release()
