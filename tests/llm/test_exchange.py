@@ -87,6 +87,23 @@ def test_one_object_at_a_time():
     assert task_cache.held("a", list) is not first
 
 
+def test_tasks_that_hold_much_forget_earlier_objects(spark):
+    """A model of an earlier stage must not stay in the workers while texts are packed or their stretches named."""
+    from wardlens.llm import language_id, ngram_join, suffix_dedup
+
+    texts = pa.RecordBatch.from_pydict({"_id": [1], "_key": [0], "_text": [b"x" * 60], "bucket": pa.array([0], pa.int32())})
+    labelled = pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["some words"]})
+    totals = np.zeros(ngram_join.GROUPS, np.int64)
+    for run, batches in (
+        (exchange.packed_tables(0), [texts]), (suffix_dedup._rank_anchors(50, 4), [texts]), (language_id._count, [labelled]),
+        (ngram_join._describe(5, 80, totals), []),
+    ):
+        first = task_cache.held("model", list)
+        list(run(iter(batches)))
+        assert task_cache.held("model", list) is not first
+    task_cache.release()
+
+
 def test_written_frames_restore_the_setting(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key)

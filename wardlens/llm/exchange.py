@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.functions.scale import materialize
+from wardlens.llm.task_cache import release
 
 BUCKETS_PER_PARTITION = 1
 _PRIME, _FACTOR = 2147483647, 48271
@@ -147,6 +148,7 @@ def packed_tables(kind: int, bucket_name: str = "bucket"):
     """Rows of a table as compressed Arrow streams, one per (batch, bucket); ``tables_of`` reads them back."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in text_batches(batches):
             target = batch.column(bucket_name).to_numpy()

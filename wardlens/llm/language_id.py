@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from wardlens.functions.scale import materialize_small
 from wardlens.llm.exchange import text_batches
 from wardlens.llm.shipping import ship_package
-from wardlens.llm.task_cache import held
+from wardlens.llm.task_cache import held, release
 
 FOLDS = 5
 SAMPLE_ROWS = 4000
@@ -60,6 +60,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, order, gram, n) of each batch; order 0 holds whole words."""
+    release()
     for batch in text_batches(batches):
         found: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):

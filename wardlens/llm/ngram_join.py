@@ -48,6 +48,7 @@ from wardlens.llm.exchange import (
 )
 from wardlens.llm.hashing import U64, set_digest, shingle_set
 from wardlens.llm.shipping import ship_package
+from wardlens.llm.task_cache import release
 
 WORDS = 5
 PERCENT = 80
@@ -77,6 +78,7 @@ def _count_groups(words: int):
     """Totals of the shingle groups over a task's documents, as ``SLICES`` packed rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         totals = np.zeros(GROUPS, np.int64)
         for batch in batches:
             for text in batch.column(0):
@@ -116,6 +118,7 @@ _SETS_DDL = "doc_id long, text_key long, n_shingles long, s1 long, s2 long, rout
 
 def _describe(words: int, percent: int, totals: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in text_batches(batches):
             sizes, first, second, routes, counts = [], [], [], [], []
             for text in batch.column("_text"):

@@ -52,6 +52,7 @@ from wardlens.llm.exchange import (
 )
 from wardlens.llm.hashing import U64, Windows
 from wardlens.llm.shipping import ship_package
+from wardlens.llm.task_cache import release
 
 MIN_LENGTH = 50
 BLOCK = 1 << 20  # windows hashed at once; bounds the memory that a very long text takes
@@ -114,27 +115,35 @@ def _split_off_known(names, docs, columns):
 
 def _rank_anchors(length: int, total: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in text_batches(batches):
-            parts: list[list[np.ndarray]] = [[] for _ in ENTRY]
-            for i, key, text in texts_of(batch):
-                for anchor, name, first, count in stretches(np.frombuffer(text, np.uint8), length):
-                    n = len(first)
-                    for part, a, kind in zip(parts, (anchor, name, np.full(n, i), np.full(n, key), first, count), ENTRY):
-                        part.append(a.astype(kind, copy=False))
-            if not parts[0]:
-                continue
-            columns = [np.concatenate(p) for p in parts]
-            parts.clear()
-            known, home = _split_off_known(columns[1], columns[2], columns)
-            columns.clear()
-            target = (home[0] % U64(total)).astype(np.int64)
-            rows = list(by_bucket(1, target, [*_short(home[0]), *_short(home[1]), *home[2:]]))
-            rows += by_bucket(0, id_bucket(known[2], total), known[2:])
-            yield from packed_rows(rows).to_batches()
+            yield from packed_rows(_anchor_rows(batch, length, total)).to_batches()
 
     return run
 
 
+def _anchor_rows(batch: pa.RecordBatch, length: int, total: int) -> list[tuple[int, int, bytes]]:
+    """The packed stretches of one batch; the columns they are made of go with the call."""
+    parts: list[list[np.ndarray]] = [[] for _ in ENTRY]
+    for i, key, text in texts_of(batch):
+        for anchor, name, first, count in stretches(np.frombuffer(text, np.uint8), length):
+            n = len(first)
+            for part, a, kind in zip(parts, (anchor, name, np.full(n, i), np.full(n, key), first, count), ENTRY):
+                part.append(a.astype(kind, copy=False))
+    if not parts[0]:
+        return []
+    columns = [np.concatenate(p) for p in parts]
+    parts.clear()
+    known, home = _split_off_known(columns[1], columns[2], columns)
+    columns.clear()
+    target = (home[0] % U64(total)).astype(np.int64)
+    entries = [*_short(home[0]), *_short(home[1]), *home[2:]]
+    home.clear()
+    rows = list(by_bucket(0, id_bucket(known[2], total), known[2:]))
+    known.clear()
+    return list(by_bucket(1, target, entries)) + rows
+
+
 def _short(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The upper ``NAME_BITS`` bits of names, as two narrow columns."""
     return (names >> U64(32)).astype("u4"), (names >> U64(16) & U64(0xFFFF)).astype("u2")
