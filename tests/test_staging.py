@@ -91,3 +91,23 @@ def test_landing_bills_are_not_gathered(spark, data, monkeypatch):
     monkeypatch.setattr(type(data.billing_clean), "coalesce", gathered)
     found = QUERIES["ingest_keyed_bills"](spark, SF)
     assert found.count() == data.billing_clean.count() == found.select("billing_id").distinct().count()
+
+
+def test_only_repeated_keys_move_before_the_first_row_is_kept(spark, monkeypatch):
+    """Extracts without repeats are stored once and not sorted by key; repeats, null keys too, give the same first rows."""
+    rows = [(f"K{n % 40}" if n % 7 else None, n % 11, f"v{n}") for n in range(50)] + [("U1", 1, "a"), ("U2", 2, "b")]
+    raw = spark.createDataFrame(rows, "k string, o int, v string")
+    plain = rows_of(cleaning.drop_duplicate_keys(raw, "k", ["o", "v"]))
+    for most in (100, 0):
+        monkeypatch.setattr(cleaning, "MOST_REPEATED", most)
+        first, stored = cleaning.first_rows(raw, "k", "some")
+        assert rows_of(first) == plain and not stored
+    bills = fixtures.raw_billing(spark, SF)
+    adm = fixtures.raw_admissions(spark, SF)
+    wanted = [rows_of(cleaning.typed_billing(bills)), rows_of(cleaning.typed_admissions(adm))]
+    monkeypatch.setattr(cleaning, "drop_duplicate_keys", None)  # no row is left for it
+    clean = cleaning.clean_billing(bills)
+    assert "Exchange" not in plan_of(clean) and clean.count() == len(wanted[0])
+    assert cleaning.clean_admissions(adm).count() == len(wanted[1])
+    typed = cleaning._typed_once(bills, "billing_id", "billing", cleaning.typed_billing)
+    assert rows_of(typed) == wanted[0]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlens.config import GOVERNED_LINK, SURROGATE_LINK
 from wardlens.functions.columns import flag
-from wardlens.functions.scale import count_columns, exact_quantiles, materialize, with_row_index
+from wardlens.functions.scale import count_columns, exact_quantiles, materialize, materialize_small, with_row_index
 
 ADMISSION_NUMERICS = (
     "los_days", "num_procedures", "charlson_index", "hba1c", "creatinine", "haemoglobin", "systolic_bp",
@@ -33,6 +33,38 @@ def drop_duplicate_keys(df: DataFrame, key: str, order: Sequence[str]) -> DataFr
     return df.groupBy(key).agg(first).select(*[F.col(key) if c == key else F.col(f"first.{c}") for c in df.columns])
 
 
+MOST_REPEATED = 100_000  # repeated keys that are sent to every task; beyond them all rows meet by key
+
+
+def first_rows(raw: DataFrame, key: str, name: str) -> tuple[DataFrame, bool]:
+    """The first row per key, in the order of the other columns, and whether it is a stored table as it is.
+
+    The rows are written once. A pass over hashes of the keys finds those that repeat, and only their rows meet in a
+    shuffle; equal hashes of different keys send a few rows more on that way and change nothing.
+    """
+    stored = materialize(raw, name)
+    order = [c for c in raw.columns if c != key]
+    hashed = stored.withColumn("_hash", F.xxhash64(F.col(key)))
+    repeated = materialize_small(hashed.groupBy("_hash").count().where("count > 1").select("_hash"), f"{name}_repeated")
+    several = repeated.count()
+    if not several:
+        return stored, True
+    if several > MOST_REPEATED:
+        return drop_duplicate_keys(stored, key, order), False
+    once = hashed.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
+    copies = hashed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
+    return once.unionByName(drop_duplicate_keys(copies, key, order)), False
+
+
+def _typed_once(raw: DataFrame, key: str, name: str, to_types: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The first rows with their types, as a table that is not computed again: texts are parsed once, other casts are cheap."""
+    first, stored = first_rows(raw, key, f"{name}_raw")
+    typed = to_types(first)
+    before = dict(raw.dtypes)
+    parsed = any(before[c] == "string" and kind != "string" for c, kind in typed.dtypes)
+    return typed if stored and not parsed else materialize(typed, f"{name}_typed")
+
+
 def coerce_dates(df: DataFrame, columns: Sequence[str], dayfirst: bool = False) -> DataFrame:
     """Parse text dates; anything unreadable becomes null. Date and timestamp columns are only cast."""
     types = dict(df.dtypes)
@@ -113,9 +145,8 @@ class CleaningRules:
     fences: Mapping[str, tuple[float, float]] = field(default_factory=dict)
 
 
-def typed_admissions(raw: DataFrame) -> DataFrame:
-    """First row per admission with readable dates and numbers."""
-    first = drop_duplicate_keys(raw, "admission_id", [c for c in raw.columns if c != "admission_id"])
+def typed_admissions(first: DataFrame) -> DataFrame:
+    """Admissions with readable dates and numbers."""
     return to_numbers(coerce_dates(first, ["admit_date", "discharge_date"]), ADMISSION_NUMERICS)
 
 
@@ -140,17 +171,16 @@ def apply_admission_rules(typed: DataFrame, rules: CleaningRules) -> DataFrame:
 
 
 def clean_admissions(raw: DataFrame) -> DataFrame:
-    """Deduplicate and type the extract once, as a written table; learn the rules from its narrow columns.
+    """Store, deduplicate and type the extract once; learn the rules from its narrow columns.
 
     The result is a row-wise transformation of that table.
     """
-    typed = materialize(typed_admissions(raw), "admissions_typed")
+    typed = _typed_once(raw, "admission_id", "admissions", typed_admissions)
     return apply_admission_rules(typed, fit_admissions(typed))
 
 
-def typed_billing(raw: DataFrame) -> DataFrame:
-    """First row per bill with readable dates and amounts; billing dates are day-first."""
-    first = drop_duplicate_keys(raw, "billing_id", [c for c in raw.columns if c != "billing_id"])
+def typed_billing(first: DataFrame) -> DataFrame:
+    """Bills with readable dates and amounts; billing dates are day-first."""
     dated = coerce_dates(first, ["claim_billing_date"], dayfirst=True)
     return to_numbers(dated, ["billed_amount", "paid_amount"], "decimal(14,2)")
 
@@ -172,7 +202,7 @@ def apply_billing_rules(typed: DataFrame, rules: CleaningRules) -> DataFrame:
 
 
 def clean_billing(raw: DataFrame) -> DataFrame:
-    typed = materialize(typed_billing(raw), "billing_typed")
+    typed = _typed_once(raw, "billing_id", "billing", typed_billing)
     return apply_billing_rules(typed, fit_billing(typed))
 
 
