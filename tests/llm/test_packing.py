@@ -128,3 +128,12 @@ def test_evolution_improves_on_best_fit_decreasing():
     for _ in range(30):
         population = island.evolve(population)
     assert len(population[0]) <= len(start) and island.fitness(population[0]) >= island.fitness(start)
+
+
+def test_every_packing_is_judged_once(monkeypatch):
+    judged = []
+    fitness = packing.Island.fitness
+    monkeypatch.setattr(packing.Island, "fitness", lambda self, p: judged.append(id(p)) or fitness(self, p))
+    sizes = [random.Random(2).randint(600, 1500) for _ in range(300)]
+    packing.Island(sizes, 2048, 1).evolve([])
+    assert len(judged) <= packing.POPULATION + packing.GENERATIONS * (packing.POPULATION // 2)

@@ -106,34 +106,35 @@ class Bins:
 
     def __init__(self, sizes: Sequence[int], capacity: int, packing: Packing = ()):
         self.sizes, self.capacity = sizes, capacity
-        self.by_free: dict[int, list[list[int]]] = {}
-        self.mask = 0
-        self.all: Packing = []
+        self.by_free: list[list[list[int]]] = [[] for _ in range(capacity + 1)]
+        self.all: Packing = list(packing)
         for items in packing:
-            self.all.append(items)
-            self._open(items, capacity - sum(sizes[i] for i in items))
-
-    def _open(self, items: list[int], free: int) -> None:
-        if free:
-            self.by_free.setdefault(free, []).append(items)
-            self.mask |= 1 << free
+            self.by_free[capacity - sum(map(sizes.__getitem__, items))].append(items)
+        self.mask = sum(1 << free for free, items in enumerate(self.by_free) if free and items)
 
     def place(self, pieces: Iterable[int]) -> Packing:
-        sizes, by_free = self.sizes, self.by_free
+        sizes, by_free, mask = self.sizes, self.by_free, self.mask
         for i in pieces:
             size = sizes[i]
-            fits = self.mask >> size
+            fits = mask >> size
             if fits:
                 free = size + (fits & -fits).bit_length() - 1
-                items = by_free[free].pop()
-                if not by_free[free]:
-                    self.mask ^= 1 << free
+                same = by_free[free]
+                items = same.pop()
+                if not same:
+                    mask ^= 1 << free
                 items.append(i)
-                self._open(items, free - size)
+                free -= size
             else:
                 items = [i]
                 self.all.append(items)
-                self._open(items, self.capacity - size)
+                free = self.capacity - size
+            if free:
+                same = by_free[free]
+                if not same:
+                    mask |= 1 << free
+                same.append(items)
+        self.mask = mask
         return self.all
 
 
@@ -146,8 +147,8 @@ class Island:
         self.place_in_order = {i: n for n, i in enumerate(self.longest_first)}
 
     def fitness(self, packing: Packing) -> tuple[int, int]:
-        sizes = self.sizes
-        return -len(packing), sum(sum(sizes[i] for i in items) ** 2 for items in packing)
+        size = self.sizes.__getitem__
+        return -len(packing), sum([sum(map(size, items)) ** 2 for items in packing])
 
     def best_fit(self, pieces: Iterable[int], packing: Packing = ()) -> Packing:
         return Bins(self.sizes, self.capacity, packing).place(pieces)
@@ -158,8 +159,8 @@ class Island:
         return self.best_fit(sorted(self.longest_first, key=lambda i: (-keys[i], i)))
 
     def cross(self, host: Packing, donor: Packing) -> Packing:
-        sizes = self.sizes
-        filled = sorted(donor, key=lambda items: (-sum(sizes[i] for i in items), items[0]))
+        size = self.sizes.__getitem__
+        filled = sorted(donor, key=lambda items: (-sum(map(size, items)), items[0]))
         filled = filled[: max(1, len(filled) // 3)]
         injected = self.random.sample(filled, max(1, len(filled) // 2))
         inside = {i for items in injected for i in items}
@@ -170,7 +171,7 @@ class Island:
                 rest.append(items)
             else:
                 displaced += [i for i in items if i not in inside]
-        rest.sort(key=lambda items: (sum(sizes[i] for i in items), items[0]))
+        rest.sort(key=lambda items: (sum(map(size, items)), items[0]))
         for items in rest[:2]:  # mutation: the emptiest bins are dissolved too
             displaced += items
         child += [list(items) for items in rest[2:]]
@@ -184,13 +185,15 @@ class Island:
         lower_bound = -(-sum(self.sizes) // self.capacity)
         while len(population) < POPULATION:
             population.append(self.newcomer())
-        population.sort(key=self.fitness, reverse=True)
+        fittest_first = {"key": lambda scored: scored[0], "reverse": True}
+        scored = sorted(((self.fitness(p), p) for p in population), **fittest_first)
         for _ in range(GENERATIONS):
+            population = [p for _, p in scored]
             if len(population[0]) == lower_bound:
                 break  # no packing has fewer bins
             children = [self.cross(*self.random.sample(population, 2)) for _ in range(POPULATION // 2)]
-            population = sorted(population + children, key=self.fitness, reverse=True)[:POPULATION]
-        return population[:ELITES]
+            scored = sorted([*scored, *((self.fitness(p), p) for p in children)], **fittest_first)[:POPULATION]
+        return [p for _, p in scored[:ELITES]]
 
 
 def _numbers(packing: Packing, count: int) -> list[int]:
