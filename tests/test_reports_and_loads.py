@@ -146,6 +146,31 @@ def test_composite_and_null_keys(spark, tmp_path):
     assert (report["added_rows"], report["already_there"], report["stored_rows"]) == (1, 3, 4)
 
 
+def test_a_first_load_makes_its_source_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        made.add(1)
+        return True
+
+    rows = spark.createDataFrame([(f"a{n}", "m", n) for n in range(40)], "admission_id string, medicine_code string, medicine_count int")
+    target = loads.LoadedWarehouse(spark, str(tmp_path))
+    report = target.load({"medicines": rows.where(F.udf(seen, "boolean")("medicine_count"))}, "one").first()
+    assert (report["source_rows"], report["added_rows"], report["stored_rows"]) == (40, 40, 40)
+    assert made.value == 40
+
+
+def test_the_bills_to_leave_out_are_found_once(data, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalog, "materialize_small", lambda df, name: written.append(name) or scale.materialize_small(df, name))
+    tables = catalog._without_icu(data)
+    assert written == ["lost_bills"]
+    wh = data.warehouse
+    icu = wh["admissions"].where("ward_type = 'ICU'")
+    kept = wh["billing"].join(icu, "admission_id", "left_anti").count()
+    assert tables["billing"].count() == tables["claims"].count() == kept < wh["billing"].count()
+
+
 BILL = "billing_id string, claim_status string, billed_amount decimal(14,2), paid_amount decimal(14,2)"
 
 

@@ -89,7 +89,7 @@ def _without_icu(d: HospitalData) -> dict[str, DataFrame]:
     """The warehouse's tables less the ICU admissions and what belongs to them."""
     wh = d.warehouse
     gone = wh["admissions"].where("ward_type = 'ICU'").select("admission_id")
-    lost = wh["billing"].join(gone, "admission_id", "left_semi").select("billing_id")
+    lost = materialize_small(wh["billing"].join(gone, "admission_id", "left_semi").select("billing_id"), "lost_bills")
     out = {n: wh[n] for n in sinks.LOAD_ORDER}
     for name in ("admissions", "diagnoses", "procedures", "medicines", "labs", "appointments"):
         out[name] = wh[name].join(gone, "admission_id", "left_anti")

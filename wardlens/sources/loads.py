@@ -64,9 +64,9 @@ class LoadedWarehouse:
                     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
                     new = new.join(known, same, "left_anti")
                 write(new, path)
-                entries[name] = {
-                    "source": tables[name].count(), "added": self.spark.read.schema(new.schema).parquet(path).count(),
-                }
+                added = self.spark.read.schema(new.schema).parquet(path).count()
+                # With nothing stored every row of the source was written: it is not made again to be counted.
+                entries[name] = {"source": added if stored is None else tables[name].count(), "added": added}
             marker = {"load_id": load_id, "number": len(done), "tables": entries}
             publish_text(self.spark, self._marker(load_id), json.dumps(marker), uuid.uuid4().hex[:8])
             done = self.committed()
